@@ -17,6 +17,9 @@ from forkline.functions import bytesx
 
 TRANSFER_TOPIC = "ddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
 
+# columns made by Chain._header_columns, in its order
+HEADER_COLUMNS = ["hash", "parent_hash", "gas_limit", "base_fee", "miner", "state_root", "extra_data"]
+
 LATENCY_BUCKETS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5]
 
 
@@ -204,35 +207,35 @@ class Chain:
 
         def block(fork):
             items = F.col("items") if fork == 0 else F.filter("items", lambda x: x["tx_index"] != 9)
-            header = F.struct(F.col("block_number").alias("number"), F.unix_seconds("timestamp").alias("timestamp"),
-                              "gas_used", *self._header_columns(F.lit(fork)))
-            header = F.struct(*[header[f.name].cast(f.dataType).alias(f.name) for f in schemas.HEADER.fields])
-            return F.struct(header.alias("header"),
+            parts = {"number": F.col("block_number"), "timestamp": F.unix_seconds("timestamp"),
+                     "gas_used": F.col("gas_used")}
+            named = {f.name: parts.get(f.name) for f in schemas.HEADER.fields}
+            for name, c in zip(HEADER_COLUMNS, self._header_columns(F.lit(fork))):
+                named[name] = c
+            return F.struct(F.struct(*[c.alias(n) for n, c in named.items()]).alias("header"),
                             F.transform(items, lambda x: x["tx"]).alias("transactions"),
                             F.transform(items, lambda x: x["receipt"]).alias("receipts"),
                             F.col(f"state{fork}").alias("state"))
 
-        none = F.array().cast(schemas.NOTIFICATION["old"].dataType)
+        kind = _fork_class(F.col("block_number"))
 
-        def note(step, kind, old, new):
-            return F.struct((F.col("block_number") * 4 + step).alias("seq"), F.lit(kind).alias("kind"),
-                            (F.array(old) if old is not None else none).cast(none_type).alias("old"),
-                            (F.array(new) if new is not None else none).cast(none_type).alias("new"))
+        def steps(*kinds):
+            return F.array(*[F.struct(F.lit(i).alias("step"), F.lit(k).alias("kind")) for i, k in enumerate(kinds)])
 
-        none_type = schemas.NOTIFICATION["old"].dataType
-        b0, b1 = F.col("b0"), F.col("b1")
-        committed = note(0, "ChainCommitted", None, b0)
-        kind = _fork_class(F.col("block_number"))
         nested = (self._headers.join(txs, "block_number")
                   .join(state(self._logs, "state0"), "block_number", "left")
                   .join(state(self._logs.where("tx_index <> 9"), "state1"), "block_number", "left")
-                  .select("block_number", block(0).alias("b0"), block(1).alias("b1")))
-        notes = (F.when(kind == "replaced", F.array(committed, note(1, "ChainReorged", b0, b1)))
-                 .when(kind == "orphaned", F.array(committed, note(1, "ChainReverted", b0, None)))
-                 .when(kind == "dup_revert", F.array(committed, note(1, "ChainReverted", b0, None),
-                                                     note(2, "ChainReverted", b0, None)))
-                 .otherwise(F.array(committed)))
-        return nested.select(F.inline(notes))
+                  .select("block_number", block(0).alias("b0"), block(1).alias("b1"))
+                  .select("*", F.explode(F.when(kind == "replaced", steps("ChainCommitted", "ChainReorged"))
+                                    .when(kind == "orphaned", steps("ChainCommitted", "ChainReverted"))
+                                    .when(kind == "dup_revert", steps("ChainCommitted", "ChainReverted", "ChainReverted"))
+                                    .otherwise(steps("ChainCommitted"))).alias("s")))
+        none = F.array().cast(schemas.NOTIFICATION["old"].dataType)
+        return nested.select(
+            (F.col("block_number") * 4 + F.col("s.step")).alias("seq"), F.col("s.kind").alias("kind"),
+            F.when(F.col("s.step") > 0, F.array("b0")).otherwise(none).alias("old"),
+            F.when(F.col("s.step") == 0, F.array("b0")).when(F.col("s.kind") == "ChainReorged", F.array("b1"))
+            .otherwise(none).alias("new"))
 
     @cached_property
     def metrics(self) -> DataFrame:

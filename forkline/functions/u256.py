@@ -59,21 +59,25 @@ def _decimal_text(lo: Column, mid: Column, hi: Column) -> Column:
 
 
 def limbs(value) -> tuple:
-    """``(lo, mid, hi)`` base-10**26 limbs of a decimal string."""
+    """``(lo, mid, hi)`` base-10**26 limbs of a decimal string.  Values of at most 26
+    digits, nearly all there are, are parsed once and have zero upper limbs."""
+    short = F.length(value) <= BASE_DIGITS
+    zero = F.lit(0).cast("decimal(26,0)")
     padded = F.lpad(value, 3 * BASE_DIGITS, "0")
-    return tuple(F.substring(padded, 1 + BASE_DIGITS * i, BASE_DIGITS).cast("decimal(26,0)")
-                 for i in (2, 1, 0))
+    parts = [F.substring(padded, 1 + BASE_DIGITS * i, BASE_DIGITS).cast("decimal(26,0)") for i in (2, 1, 0)]
+    whole = value if isinstance(value, Column) else F.col(value)
+    return (F.when(short, whole.cast("decimal(26,0)")).otherwise(parts[0]),
+            F.when(short, zero).otherwise(parts[1]), F.when(short, zero).otherwise(parts[2]))
 
 
 def word(hex_text) -> Column:
-    """The last 32 bytes of hex text as 64 lower-case digits, zero-filled on the left."""
-    text = F.regexp_replace(F.lower(hex_text), "^0x", "")
-    return F.right(F.concat(F.lit("0" * 64), text), F.lit(64))
+    """The last 32 bytes of unprefixed hex text as 64 digits, zero-filled on the left."""
+    return F.right(F.concat(F.lit("0" * 64), hex_text), F.lit(64))
 
 
 def from_hex(hex_text) -> Column:
-    """Big-endian hex text to a decimal string, exact over the whole range."""
-    return _from_word(word(hex_text))
+    """Big-endian unprefixed hex text to a decimal string, exact over the whole range."""
+    return _from_word(word(F.col(hex_text) if isinstance(hex_text, str) else hex_text))
 
 
 def from_be(binary) -> Column:
@@ -82,7 +86,10 @@ def from_be(binary) -> Column:
 
 
 def _from_word(h: Column) -> Column:
-    narrow = F.conv(F.right(h, F.lit(16)), 16, 10)
+    low = F.conv(F.right(h, F.lit(16)), 16, 10)
+    # below 2**126 two 64-bit words fit one decimal, which stays in generated code
+    high = F.conv(F.substring(h, 33, 16), 16, 10).cast("decimal(20,0)")
+    middle = (high * _dec(WORD * WORD, 20) + low.cast("decimal(20,0)")).cast("decimal(38,0)").cast("string")
     parts = F.array(*[F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("decimal(10,0)")
                       for i in range(8)])
 
@@ -97,11 +104,24 @@ def _from_word(h: Column) -> Column:
     wide = _let(parts, lambda p: _let(
         F.array(*[weighted(p, position) for position in range(3)]),
         lambda s: _decimal_text(*[F.get(s, F.lit(i)) for i in range(3)])))
-    return F.when(F.left(h, F.lit(48)) == "0" * 48, narrow).otherwise(wide)
+    return (F.when(F.left(h, F.lit(48)) == "0" * 48, low)
+            .when((F.left(h, F.lit(32)) == "0" * 32) & (F.substring(h, 33, 1) < "4"), middle)
+            .otherwise(wide))
 
 
 def to_be(value) -> Column:
     """Decimal string to 32 big-endian bytes."""
+    value = F.col(value) if isinstance(value, str) else value
+    number = value.cast("decimal(38,0)")
+    below = number % _dec(WORD * WORD, 20)
+    short = F.unhex(F.concat(
+        F.lit("0" * 32), F.lpad(F.hex(_div(number, _dec(WORD * WORD, 20))), 16, "0"),
+        F.lpad(F.hex(_div(below, _dec(WORD, 10))), 8, "0"),
+        F.lpad(F.hex((below % _dec(WORD, 10)).cast("bigint")), 8, "0")))
+    return F.when(F.length(value) <= 37, short).otherwise(_wide_to_be(value))
+
+
+def _wide_to_be(value: Column) -> Column:
     word_base = _dec(WORD, 10)
 
     def split(limb):
@@ -176,7 +196,7 @@ def literal_word(n: int) -> str:
 
 def hex_greater(hex_text, n: int) -> Column:
     """``uint256(hex_text) > n`` by comparing equally long lower-case hex words."""
-    return word(hex_text) > literal_word(n)
+    return F.lower(word(hex_text)) > literal_word(n)
 
 
 def be_greater(binary, n: int) -> Column:

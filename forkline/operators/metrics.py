@@ -11,15 +11,9 @@ from forkline.operators import ordered
 SERIES = ["name"]
 
 
-def hour(ts="ts") -> Column:
-    """Default bucket of the bordered operators: whole hours since the epoch."""
-    return F.call_function("div", F.unix_seconds(F.col(ts).cast("timestamp")), F.lit(3600).cast("bigint"))
-
-
-def counter_deltas(samples: DataFrame, series=SERIES, bucket: Column | None = None) -> DataFrame:
+def counter_deltas(samples: DataFrame, series=SERIES, bucket="ts") -> DataFrame:
     """Growth since the previous sample of the series; after a reset, the new value."""
-    previous = ordered.lag_columns(samples, list(series), ["ts"], {"_prev": "value"},
-                                   hour() if bucket is None else bucket)
+    previous = ordered.lag_columns(samples, list(series), ["ts"], {"_prev": "value"}, bucket)
     return previous.withColumn("delta", F.when(F.col("_prev").isNull(), 0.0)
                                .when(F.col("value") < F.col("_prev"), F.col("value"))
                                .otherwise(F.col("value") - F.col("_prev"))).drop("_prev")
@@ -32,7 +26,7 @@ def _seconds(interval: str) -> int:
 
 
 def increase(samples: DataFrame, window: str, step: str | None = None, series=SERIES,
-             bucket: Column | None = None) -> DataFrame:
+             bucket="ts") -> DataFrame:
     """Counter growth inside each window; null with fewer than two samples.
 
     The delta of a window's first sample reaches back before the window, so it is taken
@@ -48,7 +42,7 @@ def increase(samples: DataFrame, window: str, step: str | None = None, series=SE
 
 
 def rate(samples: DataFrame, window: str, step: str | None = None, series=SERIES,
-         per_seconds: int = 1, bucket: Column | None = None) -> DataFrame:
+         per_seconds: int = 1, bucket="ts") -> DataFrame:
     """:func:`increase` per second, or per ``per_seconds``."""
     grown = increase(samples, window, step, series, bucket)
     return grown.withColumn("rate", F.col("increase") / _seconds(window) * per_seconds).drop("increase")
@@ -114,17 +108,16 @@ def circuit_health(trips: Column) -> Column:
 
 
 def alert_states(samples: DataFrame, condition: Column, hold: str, series=SERIES,
-                 bucket: Column | None = None) -> DataFrame:
+                 bucket="ts") -> DataFrame:
     """State of an alert at each sample: ``inactive``, ``pending`` or ``firing``.
 
     It fires once its condition has held for ``hold`` without a sample to the contrary.
     """
     series = list(series)
-    cut = hour() if bucket is None else bucket
     marked = samples.withColumn("_on", F.coalesce(condition, F.lit(False)))
-    switched = ordered.lag_columns(marked, series, ["ts"], {"_was": "_on"}, cut)
+    switched = ordered.lag_columns(marked, series, ["ts"], {"_was": "_on"}, bucket)
     starts = switched.withColumn("_start", F.when(F.col("_on") & ~F.coalesce("_was", F.lit(False)), F.col("ts")))
-    since = ordered.running_max(starts, series, ["ts"], "_start", cut, "_since")
+    since = ordered.running_max(starts, series, ["ts"], "_start", bucket, "_since")
     held = F.col("ts") >= F.col("_since") + F.expr(f"INTERVAL {hold}")
     state = F.when(~F.col("_on"), "inactive").when(held, "firing").otherwise("pending")
     return since.select(*series, "ts", "value", F.when(F.col("_on"), F.col("_since")).alias("active_since"),
@@ -132,7 +125,7 @@ def alert_states(samples: DataFrame, condition: Column, hold: str, series=SERIES
 
 
 def throughput_drops(rates: DataFrame, trailing: int = 10, fraction: float = 0.5, series=SERIES,
-                     bucket: Column | None = None) -> DataFrame:
+                     bucket="ts") -> DataFrame:
     """Windows whose rate is below ``fraction`` of the mean of the ``trailing`` windows
     before them.  Input has one row per series and window."""
     before = Window.partitionBy(*series).orderBy("window_start").rowsBetween(-trailing, -1)

@@ -10,6 +10,38 @@ task's work, its count per series the length of the border table.
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET = "_bucket"
+SIDE = 32  # cut points are searched in two steps of 32
+
+
+def cut_points(values: Column, side: int = SIDE) -> Column:
+    """Aggregate: ``side ** 2`` approximately even cut points, grouped for a two-step search."""
+    parts = side * side
+    return F.percentile_approx(values, [i / parts for i in range(1, parts)], 10 * parts)
+
+
+def _grouped(cuts: Column, side: int = SIDE) -> Column:
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(side - 1)), lambda k: F.get(cuts, k * side - 1))
+    fine = F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda k: F.slice(cuts, k * side + 1, side - 1))
+    return F.struct(coarse.alias("coarse"), fine.alias("fine"))
+
+
+def piece_of(value: Column, grouped: Column, side: int = SIDE) -> Column:
+    """Number of cut points at or below ``value``: a monotone bucket number."""
+    coarse = F.size(F.filter(grouped["coarse"], lambda c: c <= value))
+    fine = F.size(F.filter(F.get(grouped["fine"], coarse), lambda c: c <= value))
+    return coarse * side + fine
+
+
+def bucketed(df: DataFrame, bucket) -> DataFrame:
+    """Add the bucket column.  ``bucket`` is a monotone expression of the order columns, or
+    the name of the leading order column: then the buckets follow the data, about a
+    thousand pieces of even size found by one pass over that column, so that a crowded
+    hour is cut as finely as it needs.  Cut points affect balance only, never results."""
+    if isinstance(bucket, Column):
+        return df.withColumn(BUCKET, bucket)
+    cuts = df.agg(cut_points(F.col(bucket)).alias("c")).select(_grouped(F.col("c"))).scalar()
+    return (df.withColumn("_cuts", cuts).withColumn(BUCKET, piece_of(F.col(bucket), F.col("_cuts")))
+            .drop("_cuts"))
 
 
 def _safe_equal(df: DataFrame, other: DataFrame, columns, how):
@@ -23,9 +55,9 @@ def _safe_equal(df: DataFrame, other: DataFrame, columns, how):
     return df.join(right, cond, how).drop(*[f"_r_{c}" for c in columns])
 
 
-def lag_columns(df: DataFrame, keys: list, order: list, values: dict, bucket: Column) -> DataFrame:
+def lag_columns(df: DataFrame, keys: list, order: list, values: dict, bucket) -> DataFrame:
     """Add ``out = lag(value)`` for each ``out: value column``, per ``keys`` in ``order``."""
-    data = df.withColumn(BUCKET, bucket)
+    data = bucketed(df, bucket)
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     whole = Window.partitionBy(*keys).orderBy(BUCKET)
     pack = F.struct(*[F.col(v).alias(o) for o, v in values.items()])
@@ -40,9 +72,9 @@ def lag_columns(df: DataFrame, keys: list, order: list, values: dict, bucket: Co
     return out.select(*df.columns, *[F.col(f"_prev.{o}").alias(o) for o in values])
 
 
-def rank_in_keys(df: DataFrame, keys: list, order: list, bucket: Column, out: str) -> DataFrame:
+def rank_in_keys(df: DataFrame, keys: list, order: list, bucket, out: str) -> DataFrame:
     """Add the 1-based row number per ``keys`` in ``order``."""
-    data = df.withColumn(BUCKET, bucket)
+    data = bucketed(df, bucket)
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     counts = (data.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
@@ -52,9 +84,9 @@ def rank_in_keys(df: DataFrame, keys: list, order: list, bucket: Column, out: st
     return joined.select(*df.columns, (F.col("_rn") + F.col("_before")).alias(out))
 
 
-def running_max(df: DataFrame, keys: list, order: list, value: str, bucket: Column, out: str) -> DataFrame:
+def running_max(df: DataFrame, keys: list, order: list, value: str, bucket, out: str) -> DataFrame:
     """Add the maximum of ``value`` from the start of the series to the current row."""
-    data = df.withColumn(BUCKET, bucket)
+    data = bucketed(df, bucket)
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     tops = (data.groupBy(*keys, BUCKET).agg(F.max(value).alias("_top"))
@@ -64,7 +96,7 @@ def running_max(df: DataFrame, keys: list, order: list, value: str, bucket: Colu
     return joined.select(*df.columns, F.greatest("_local", "_carry").alias(out))
 
 
-def rolling_mean(df: DataFrame, order: list, value: str, n: int, bucket: Column, out: str,
+def rolling_mean(df: DataFrame, order: list, value: str, n: int, bucket, out: str,
                  scale: float = 1.0, span: int = 50_000) -> DataFrame:
     """Add the mean of ``value`` over the current and the ``n - 1`` preceding rows of the
     whole ordered table, divided by ``scale``.

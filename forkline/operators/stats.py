@@ -2,29 +2,47 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from forkline.operators import ordered
 
-def _pick_ranks(counts: DataFrame, groups: list, value: str, ranks: DataFrame, parts: int) -> DataFrame:
-    """Values at 0-based ``rank`` per group, from distinct values and their counts.
+SIDE = 16
 
-    ``percentile_approx`` only cuts each group into ``parts`` pieces; how many rows lie in
-    each piece is then counted exactly, and only the pieces that hold a wanted rank are
-    ordered.  The cut points affect balance, never the answer.
-    """
-    cuts = counts.groupBy(*groups).agg(F.percentile_approx(
-        value, [i / parts for i in range(1, parts)], 10_000).alias("_cuts"))
-    cut = counts.join(cuts, groups) if groups else counts.withColumn("_cuts", cuts.scalar())
-    placed = cut.withColumn("_part", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+
+def _cut(counts: DataFrame, groups: list, value: str) -> DataFrame:
+    """Number the about even pieces (``_part``) each group's values fall into."""
+    cuts = counts.groupBy(*groups).agg(ordered.cut_points(F.col(value), SIDE).alias("_c"))
+    grouped = cuts.select(*groups, ordered._grouped(F.col("_c"), SIDE).alias("_cuts"))
+    placed = counts.join(grouped, groups) if groups else counts.withColumn("_cuts", grouped.scalar())
+    return placed.withColumn("_part", ordered.piece_of(F.col(value), F.col("_cuts"), SIDE)).drop("_cuts")
+
+
+def _holding(placed: DataFrame, ranks: DataFrame, groups: list, on: list) -> DataFrame:
+    """The piece that holds each wanted rank, and the rank inside that piece."""
     before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     pieces = (placed.groupBy(*groups, "_part").agg(F.sum("_n").alias("_rows"))
               .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))))
-    wanted = (_with(ranks, pieces, groups)
-              .where((F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("_rows")))
-              .select(*groups, "p", "rank", "_part", "_before"))
-    candidates = placed.join(wanted, [*groups, "_part"])
-    run = Window.partitionBy(*groups, "p", "rank").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return (candidates.withColumn("_upto", F.col("_before") + F.sum("_n").over(run))
+    joined = _with(ranks, pieces, on)
+    inside = (F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("_rows"))
+    return joined.where(inside).withColumn("rank", F.col("rank") - F.col("_before")).drop("_rows", "_before")
+
+
+def _pick_ranks(counts: DataFrame, groups: list, value: str, ranks: DataFrame) -> DataFrame:
+    """Values at 0-based ``rank`` per group, from distinct values and their counts.
+
+    A group is cut into 256 pieces by approximate cut points; the rows in each are counted
+    exactly and only the piece with the wanted rank is kept, cut and counted once more.
+    What is finally ordered is about a 65,536th of the group.  The cut points affect
+    balance, never the answer.
+    """
+    placed = _cut(counts, groups, value)
+    wanted = _holding(placed, ranks, groups, groups)
+    first = placed.join(wanted.select(*groups, "p", "_part"), [*groups, "_part"]).drop("_part")
+    within = [*groups, "p"]
+    placed = _cut(first, within, value)
+    wanted = _holding(placed, wanted.drop("_part"), within, within)
+    run = Window.partitionBy(*within).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return (placed.join(wanted, [*within, "_part"]).withColumn("_upto", F.sum("_n").over(run))
             .where((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n")))
-            .select(*groups, "p", "rank", value))
+            .select(*within, value))
 
 
 def _with(df: DataFrame, other: DataFrame, groups: list) -> DataFrame:
@@ -33,8 +51,7 @@ def _with(df: DataFrame, other: DataFrame, groups: list) -> DataFrame:
         other.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
-def nearest_rank_stats(df: DataFrame, value: str, groups: list = (), percentiles=(50, 95, 99),
-                       parts: int = 64) -> DataFrame:
+def nearest_rank_stats(df: DataFrame, value: str, groups: list = (), percentiles=(50, 95, 99)) -> DataFrame:
     """``p50, p95, p99, avg, min, max`` with the nearest-rank rule: position
     ``floor(p / 100 * n)`` of the sorted values, at most ``n - 1``.  A table without rows
     gives one row of zeros when there are no groups."""
@@ -49,7 +66,7 @@ def nearest_rank_stats(df: DataFrame, value: str, groups: list = (), percentiles
                        F.col("samples") - 1)
     ranks = (whole.select(*groups, "samples", F.explode(F.array(*[F.lit(p) for p in percentiles])).alias("p"))
              .select(*groups, "p", position.alias("rank")))
-    picked = _pick_ranks(counts, groups, value, ranks, parts)
+    picked = _pick_ranks(counts, groups, value, ranks)
     wide = picked.groupBy(*groups).agg(*[
         F.max(F.when(F.col("p") == p, F.col(value))).alias(f"p{p}") for p in percentiles])
     return _with(whole, wide, groups).select(*groups, "samples", *[F.coalesce(f"p{p}", F.lit(0.0)).alias(f"p{p}") for p in percentiles],

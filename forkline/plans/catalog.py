@@ -28,18 +28,29 @@ def last_blocks(df: DataFrame, blocks: DataFrame, n: int, active_only: bool = Tr
     same bound also prunes partitions."""
     low = head_block(blocks, active_only) - n
     out = df.where(F.col("block_number") > low)
-    if "block_bucket" in df.columns:
-        out = out.where(F.col("block_bucket") >= timex.block_bucket(low))
-    return out
+    width = bucket_width(df)
+    return out if width is None else out.where(F.col("block_bucket") >= timex.block_bucket(low, width))
+
+
+def bucket_width(df: DataFrame):
+    """Heights per ``block_bucket`` of a stored table, kept in the column's metadata."""
+    if "block_bucket" not in df.columns:
+        return None
+    return df.schema["block_bucket"].metadata.get("width")
 
 
 def block_range(df: DataFrame, lo: int, hi: int) -> DataFrame:
     """Rows with ``lo <= block_number <= hi``, with partition pruning where possible."""
     out = df.where(F.col("block_number").between(lo, hi))
-    if "block_bucket" in df.columns:
-        width = timex.BLOCKS_PER_BUCKET
-        out = out.where(F.col("block_bucket").between(lo // width, hi // width))
-    return out
+    width = bucket_width(df)
+    return out if width is None else out.where(F.col("block_bucket").between(lo // width, hi // width))
+
+
+def from_block(df: DataFrame, min_block: int) -> DataFrame:
+    """Rows above a height, with partition pruning where possible."""
+    out = df.where(F.col("block_number") > min_block)
+    width = bucket_width(df)
+    return out if width is None else out.where(F.col("block_bucket") >= min_block // width)
 
 
 def _cost(gas="gas_used", price="gas_price"):
@@ -108,14 +119,13 @@ def contract_events(logs: DataFrame, address: str, topic0: str = TRANSFER, k=100
 
 
 def erc20_transfers(logs: DataFrame, token: str, min_block: int, k=10) -> DataFrame:
-    rows = sign.active_rows(logs).where((F.col("topic0") == bytesx.literal(TRANSFER))
-                                        & (F.col("address") == bytesx.literal(token, 20))
-                                        & (F.col("block_number") > min_block))
+    rows = from_block(sign.active_rows(logs), min_block).where((F.col("topic0") == bytesx.literal(TRANSFER))
+                                                               & (F.col("address") == bytesx.literal(token, 20)))
     return _top(rows, [F.desc("block_number"), F.desc("seq"), F.desc("log_index")], k).select(
         "block_number", "log_index", bytesx.to_hex("tx_hash").alias("transaction"),
         bytesx.to_hex("address").alias("token_contract"),
         bytesx.to_hex(bytesx.topic(1)).alias("from_address"), bytesx.to_hex(bytesx.topic(2)).alias("to_address"),
-        u256.from_hex("data").alias("amount"))
+        u256.from_hex(F.col("data")).alias("amount"))
 
 
 def reverted_blocks(blocks: DataFrame, k=10) -> DataFrame:
@@ -163,7 +173,7 @@ def slot_history(diffs: DataFrame, address: str, slot: str, k=10) -> DataFrame:
 def rolling_base_fee(blocks: DataFrame, n: int = 100, min_block: int = -1, k=100) -> DataFrame:
     """Base fee in gwei with its mean over ``n`` block rows; the filter comes first, so
     the first frames are short."""
-    rows = (sign.active_rows(blocks).where(F.col("block_number") > min_block)
+    rows = (from_block(sign.active_rows(blocks), min_block)
             .select("block_number", "seq", "timestamp", "base_fee"))
     order = ["block_number", "seq"]
     if k is None:
@@ -176,9 +186,9 @@ def rolling_base_fee(blocks: DataFrame, n: int = 100, min_block: int = -1, k=100
 
 
 def deployments(transactions: DataFrame, blocks: DataFrame, min_block: int, k=20) -> DataFrame:
-    created = sign.active_rows(transactions).where(
-        F.col("to").isNull() & (F.col("status") == 1) & (F.col("block_number") > min_block))
-    times = (sign.active_rows(blocks).where(F.col("block_number") > min_block)
+    created = from_block(sign.active_rows(transactions), min_block).where(
+        F.col("to").isNull() & (F.col("status") == 1))
+    times = (from_block(sign.active_rows(blocks), min_block)
              .select("block_number", "timestamp", F.col("seq").alias("_block_seq")))
     rows = created.join(times, "block_number")
     return _top(rows, [F.desc("block_number"), F.desc("tx_index"), F.desc("seq"), F.desc("_block_seq")], k).select(
@@ -192,9 +202,8 @@ def nft_transfers(logs: DataFrame, min_block: int, k=50) -> DataFrame:
     The totals are a partially combined count joined back, not a window over a contract,
     so a hot contract is one row of the join.
     """
-    rows = sign.active_rows(logs).where((F.col("topic0") == bytesx.literal(TRANSFER))
-                                        & (F.octet_length(bytesx.topic(3)) == 32)
-                                        & (F.col("block_number") > min_block))
+    rows = from_block(sign.active_rows(logs), min_block).where((F.col("topic0") == bytesx.literal(TRANSFER))
+                                                               & (F.octet_length(bytesx.topic(3)) == 32))
     order = [F.desc("block_number"), F.desc("seq"), F.desc("log_index")]
     totals = rows.groupBy("address").agg(F.count(F.lit(1)).alias("total_transfers"))
     shown = rows.select("block_number", "seq", "log_index", "address", "topics")
@@ -333,8 +342,7 @@ def top_daily(stats: DataFrame, as_of=None, days: int = 30, k=100) -> DataFrame:
 
 def contract_logs_from(current_logs: DataFrame, address: str, min_block: int) -> DataFrame:
     """Current logs of a contract from a height on, in chain order."""
-    return (current_logs.where((F.col("address") == bytesx.literal(address, 20))
-                               & (F.col("block_number") >= min_block))
+    return (from_block(current_logs, min_block - 1).where(F.col("address") == bytesx.literal(address, 20))
             .orderBy("block_number", "log_index"))
 
 

@@ -60,6 +60,29 @@ def ts(expr):
     return TS.format(expr)
 
 
+_RUNS = {}
+
+
+def _once(c: Chain, what: str, make):
+    """Run a pipeline once per application and input folder; its tables stay on disk."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir, what)
+    if key not in _RUNS:
+        _RUNS[key] = make()
+    return _RUNS[key]
+
+
+def _notification_folder(c: Chain) -> str:
+    def make():
+        path = scratch_dir(c.spark, "notifications")
+        c.notifications.repartition(8, "seq").write.parquet(path)
+        return path
+    return _once(c, "notifications", make)
+
+
+def _notifications(c: Chain) -> DataFrame:
+    return notifications.read(c.spark, _notification_folder(c))
+
+
 # ---- signed tables and sign algebra -------------------------------------------------
 
 BLOCK_COLUMNS = ("block_number, CAST(sign AS BIGINT) AS sign, hash, parent_hash, " + ts("timestamp") + " AS timestamp, gas_used, "
@@ -78,22 +101,22 @@ def _typed(logs):
 
 @query("t1_blocks", f"SELECT {BLOCK_COLUMNS} FROM blocks")
 def _(c):
-    return flatten.flatten_blocks(c.notifications)
+    return flatten.flatten_blocks(_notifications(c))
 
 
 @query("t2_t3_transactions", f"SELECT {TX_COLUMNS} FROM transactions")
 def _(c):
-    return flatten.flatten_transactions(c.notifications)
+    return flatten.flatten_transactions(_notifications(c))
 
 
 @query("t4_t5_t12_logs", f"SELECT {LOG_COLUMNS} FROM logs")
 def _(c):
-    return _typed(flatten.flatten_logs(c.notifications))
+    return _typed(flatten.flatten_logs(_notifications(c)))
 
 
 @query("t6_storage_diffs", f"SELECT {DIFF_COLUMNS} FROM storage_diffs")
 def _(c):
-    return flatten.flatten_state(c.notifications)
+    return flatten.flatten_state(_notifications(c))
 
 
 @query("t7_table_counts", """
@@ -103,7 +126,7 @@ UNION ALL SELECT 'logs', count(*), CAST(sum(sign) AS BIGINT), max(block_number)
 UNION ALL SELECT 'storage_diffs', count(*), CAST(sum(sign) AS BIGINT), max(block_number) FROM storage_diffs""")
 def _(c):
     out = None
-    for name, df in flatten.flatten(c.notifications).items():
+    for name, df in flatten.flatten(_notifications(c)).items():
         part = df.agg(F.count(F.lit(1)).alias("rows"), F.sum("sign").alias("net"),
                       F.max("block_number").alias("highest")).select(F.lit(name).alias("name"), "*")
         out = part if out is None else out.unionByName(part)
@@ -124,7 +147,7 @@ def _(c):
 @query("t10_receipt_status", """
 SELECT CAST(status AS BIGINT) AS status, count(*) AS transactions, CAST(sum(gas_used) AS BIGINT) AS gas FROM transactions GROUP BY 1""")
 def _(c):
-    return (flatten.flatten_transactions(c.notifications).groupBy("status")
+    return (flatten.flatten_transactions(_notifications(c)).groupBy("status")
             .agg(F.count(F.lit(1)).alias("transactions"), F.sum("gas_used").alias("gas")))
 
 
@@ -132,7 +155,7 @@ def _(c):
 SELECT block_number, CAST(0 AS BIGINT) AS sign, seq, CAST(0 AS BIGINT) AS transactions, CAST(0 AS BIGINT) AS receipts
 FROM blocks WHERE false""")
 def _(c):
-    return flatten.misaligned(c.notifications)
+    return flatten.misaligned(_notifications(c))
 
 
 @query("t11_effective_gas_price", """
@@ -256,7 +279,7 @@ SELECT block_number * 4 + 1 AS seq, CASE WHEN class = 'replaced' THEN 'ChainReor
        CAST(1 AS BIGINT) AS depth, 'shallow' AS class FROM classed WHERE class <> 'plain'
 UNION ALL SELECT block_number * 4 + 2, 'ChainReverted', CAST(1 AS BIGINT), 'shallow' FROM classed WHERE class = 'dup_revert'""")
 def _(c):
-    return sign.reorg_depths(c.notifications)
+    return sign.reorg_depths(_notifications(c))
 
 
 @query("r10_reverted_runs", """
@@ -280,7 +303,7 @@ def _(c):
 SELECT block_number, hash, CAST(sign AS BIGINT) AS sign FROM blocks JOIN classed USING (block_number)
 WHERE class = 'replaced' AND NOT (sign = 1 AND seq = block_number * 8 + 1)""")
 def _(c):
-    reorgs = c.notifications.where("kind = 'ChainReorged'")
+    reorgs = _notifications(c).where("kind = 'ChainReorged'")
     rows = flatten.flatten_blocks(reorgs)
     old, new = rows.where("sign = -1"), rows.where("sign = 1")
     return sign.apply_reorg(sign.negate(old), new).select("block_number", "hash", "sign")
@@ -587,7 +610,7 @@ def _(c):
 SELECT block_number, log_index, seq, CAST(amount AS VARCHAR) AS amount FROM logs WHERE topic0 = '{catalog.TRANSFER}'""")
 def _(c):
     return c.logs.where(F.col("topic0") == bytesx.literal(catalog.TRANSFER)).select(
-        "block_number", "log_index", "seq", u256.from_hex("data").alias("amount"))
+        "block_number", "log_index", "seq", u256.from_hex(F.col("data")).alias("amount"))
 
 
 @query("q8_reverted_blocks", """
@@ -936,25 +959,6 @@ def _(c):
 
 # ---- storage and streaming -----------------------------------------------------------
 
-_RUNS = {}
-
-
-def _once(c: Chain, what: str, make):
-    """Run a pipeline once per application and input folder; its tables stay on disk."""
-    key = (c.spark.sparkContext.applicationId, c.sf_dir, what)
-    if key not in _RUNS:
-        _RUNS[key] = make()
-    return _RUNS[key]
-
-
-def _notification_folder(c: Chain) -> str:
-    def make():
-        path = scratch_dir(c.spark, "notifications")
-        c.notifications.repartitionByRange(8, "seq").write.parquet(path)
-        return path
-    return _once(c, "notifications", make)
-
-
 def _streamed(c: Chain) -> Store:
     def make():
         store = Store(c.spark, scratch_dir(c.spark, "store"), bucket_width=512)
@@ -967,7 +971,7 @@ def _streamed(c: Chain) -> Store:
 def _backfilled(c: Chain) -> Store:
     def make():
         store = Store(c.spark, scratch_dir(c.spark, "backfill"), bucket_width=512)
-        history = notifications.committed_blocks(notifications.read(c.spark, _notification_folder(c)))
+        history = notifications.committed_blocks(_notifications(c))
         backfill.run(store, history, batch_size=400, after=-1)
         return store
     return _once(c, "backfilled", make)

@@ -13,6 +13,9 @@ retried or half-written batch never shows up twice or in part.  The change log i
 rewritten: history of reverted blocks stays queryable after compaction.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from forkline import schemas
@@ -41,11 +44,13 @@ DAILY = T.StructType([
 ])
 
 
-def write_options(name: str, compression: str = "lz4_raw", max_records: int = 5_000_000) -> dict:
-    """Parquet options of a table: codec, file size bound, bloom filters."""
+def write_options(name: str, compression: str = "lz4_raw", max_records: int = 5_000_000, bulk: bool = True) -> dict:
+    """Parquet options of a table: codec, file size bound and, in bulk files, bloom filters
+    (sized to the data; the small files of a micro-batch are not worth them)."""
     out = {"compression": compression, "maxRecordsPerFile": str(max_records)}
-    for c in schemas.BLOOM.get(name, []):
-        out[f"parquet.bloom.filter.enabled#{c}"] = "true"
+    if bulk:
+        out["parquet.bloom.filter.adaptive.enabled"] = "true"
+        out |= {f"parquet.bloom.filter.enabled#{c}": "true" for c in schemas.BLOOM[name]}
     return out
 
 
@@ -87,7 +92,7 @@ class Store:
         height_rows = [F.count_if(F.col("sign") == 1).alias("commits"), F.count_if(F.col("sign") == -1).alias("reverts"),
                        F.min("block_number").alias("lo"), F.max("block_number").alias("hi")]
         (self._laid_out(df.observe(seen, *height_rows), name, rebalance).write.mode("overwrite")
-         .options(**write_options(name, self.compression, self.max_records))
+         .options(**write_options(name, self.compression, self.max_records, bulk=rebalance))
          .partitionBy("block_bucket").parquet(self.path(name, f"batch={batch}")))
         return seen.get
 
@@ -102,11 +107,21 @@ class Store:
          .coalesce(1).write.mode("overwrite").parquet(self.path("progress", f"batch={batch}")))
 
     def write_batch(self, tables: dict, batch: str, source: str, rebalance: bool = False,
-                    reorg_events: int = 0, span=None) -> dict:
-        seen = {name: self.append(name, tables[name], batch, rebalance) for name in schemas.TABLES}
-        self.commit(batch, source, seen, reorg_events, span)
+                    span=None, also: dict | None = None) -> dict:
+        """All tables of a batch side by side, then the commit.  Order among the tables does
+        not matter: none of them counts before the commit."""
+        jobs = {name: (lambda name=name: self.append(name, tables[name], batch, rebalance)) for name in schemas.TABLES}
+        done = self.together({**jobs, **(also or {})})
+        seen = {name: done[name] for name in schemas.TABLES}
+        self.commit(batch, source, seen, done.get("reorg_events", 0), span)
         return seen
 
+    def together(self, jobs: dict) -> dict:
+        """Run independent Spark jobs at the same time, so that small ones share executors."""
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            futures = {k: pool.submit(inheritable_thread_target(self.spark)(job)) for k, job in jobs.items()}
+            return {k: f.result() for k, f in futures.items()}
+
     def progress(self) -> DataFrame:
         return self._read("progress", PROGRESS, [("batch", T.StringType())])
 
@@ -127,7 +142,11 @@ class Store:
     def table(self, name: str) -> DataFrame:
         """The signed change log, committed batches only."""
         rows = self._read(name, schemas.TABLES[name], [("batch", T.StringType()), ("block_bucket", T.LongType())])
-        return rows.join(self.committed_batches(), "batch", "left_semi").drop("batch")
+        return self._tagged(rows.join(self.committed_batches(), "batch", "left_semi").drop("batch"))
+
+    def _tagged(self, df: DataFrame) -> DataFrame:
+        """Tell the catalogue how wide a bucket is, so that it can prune by height."""
+        return df.withMetadata("block_bucket", {"width": self.bucket_width})
 
     # ---- maintained daily statistics
 
@@ -162,7 +181,7 @@ class Store:
         covered = self._read(f"{name}_manifest", T.StructType([T.StructField("covered_bucket", T.LongType())]),
                              [("gen", T.StringType())])
         newest = covered.groupBy(F.col("covered_bucket").alias("block_bucket")).agg(F.max("gen").alias("gen"))
-        return rows.join(newest, ["block_bucket", "gen"], "left_semi").drop("gen")
+        return self._tagged(rows.join(newest, ["block_bucket", "gen"], "left_semi").drop("gen"))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

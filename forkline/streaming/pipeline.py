@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from forkline import schemas
 from forkline.operators import flatten
 from forkline.sources.store import Store
 from forkline.streaming.retry import with_retry
@@ -18,12 +17,11 @@ def ingest_batch(store: Store, batch: DataFrame, batch_id: int, time_unit: str =
     def write():
         if batch.isEmpty():
             return
-        tables = flatten.flatten(batch, time_unit)
-        seen = {t: store.append(t, tables[t], name) for t in schemas.TABLES}
+        also = {"reorg_events": lambda: batch.where(F.col("kind").isin("ChainReverted", "ChainReorged")).count()}
         if daily:
-            store.append_daily(flatten.flatten_transactions(batch, time_unit, block_time=True), name)
-        reorgs = batch.where(F.col("kind").isin("ChainReverted", "ChainReorged")).count()
-        store.commit(name, "stream", seen, reorgs)
+            timed = flatten.flatten_transactions(batch, time_unit, block_time=True)
+            also["daily"] = lambda: store.append_daily(timed, name)
+        store.write_batch(flatten.flatten(batch, time_unit), name, "stream", also=also)
 
     with_retry(write, **retry)
 
