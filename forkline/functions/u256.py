@@ -152,40 +152,51 @@ def _wide_to_be(value: Column) -> Column:
     return F.unhex(_let(digits, lambda d: F.aggregate(columns(d), start, step))["text"])
 
 
-def sum_signed(value, weight=None, where=None) -> Column:
-    """Exact aggregate ``sum(weight * value)`` as a decimal string.
+def sum_signed(value: str, weight: str = "1") -> Column:
+    """Exact aggregate ``sum(weight * value)`` as a decimal string, negative if need be.
 
-    Three partial-aggregable decimal sums; a group may hold 10**12 maximal values.
+    ``value`` and ``weight`` are column names or SQL expressions.  Three decimal sums that
+    combine partially; a group may hold 10**12 maximal values.
     """
+    short = f"length({value}) <= {BASE_DIGITS}"
     sums = []
-    for limb in limbs(value):
-        term = limb if weight is None else limb * weight.cast("decimal(2,0)")
-        if where is not None:
-            term = F.when(where, term)
-        sums.append(F.sum(term.cast("decimal(28,0)")))
-    return total_of_limbs(*sums)
+    for start in (2 * BASE_DIGITS + 1, BASE_DIGITS + 1, 1):
+        part = f"CAST(substring(lpad({value}, {3 * BASE_DIGITS}, '0'), {start}, {BASE_DIGITS}) AS DECIMAL(26,0))"
+        brief = f"CAST({value} AS DECIMAL(26,0))" if start > 2 * BASE_DIGITS else "CAST(0 AS DECIMAL(26,0))"
+        limb = f"CASE WHEN {short} THEN {brief} ELSE {part} END"
+        sums.append(f"CAST(sum(CAST({limb} * CAST({weight} AS DECIMAL(2,0)) AS DECIMAL(28,0))) AS DECIMAL(38,0))")
+    return F.expr(_let_sql(f"array({', '.join(sums)})", "s", _total_sql("s")))
 
 
-def total_of_limbs(lo: Column, mid: Column, hi: Column) -> Column:
-    """Decimal string of summed limbs, with a leading minus where negative."""
-    base = _dec(BASE, 27)
+def _let_sql(value: str, name: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
-    def borrow(sums):
+
+def _total_sql(sums: str) -> str:
+    """Decimal text of an array of three summed limbs ``[lo, mid, hi]``."""
+    base, wide = f"{BASE}BD", "DECIMAL(38,0)"
+
+    def over(from_, kept):
+        return f"CAST(CAST(({from_} - {kept}) AS {wide}) div {base} AS {wide})"
+
+    def borrow(s, tag):
         # bring lo and mid into [0, 10**26); hi then carries the sign of the total
-        lo, mid, hi = [F.get(sums, F.lit(i)) for i in range(3)]
-        return _let(F.pmod(lo, base), lambda lo_in: _let(
-            (mid + _div(lo - lo_in, base).cast("decimal(20,0)")).cast("decimal(38,0)"),
-            lambda mid_all: _let(F.pmod(mid_all, base), lambda mid_in: F.array(
-                lo_in.cast("decimal(38,0)"), mid_in.cast("decimal(38,0)"),
-                (hi + _div(mid_all - mid_in, base).cast("decimal(20,0)")).cast("decimal(38,0)")))))
-
-    def show(sums):
-        return _decimal_text(*[F.get(sums, F.lit(i)) for i in range(3)])
-
-    sums = F.array(*[c.cast("decimal(38,0)") for c in (lo, mid, hi)])
-    negated = F.array(*[(-c).cast("decimal(38,0)") for c in (lo, mid, hi)])
-    return _let(borrow(sums), lambda plus: F.when(F.get(plus, F.lit(2)) >= 0, show(plus))
-                .otherwise(F.concat(F.lit("-"), show(borrow(negated)))))
+        lo, mid, rest = f"lo{tag}", f"mid{tag}", f"rest{tag}"
+        top = f"CAST({s}[2] + {over(mid, rest)} AS {wide})"
+        limbs_ = f"array(CAST({lo} AS {wide}), CAST({rest} AS {wide}), {top})"
+        return _let_sql(f"pmod({s}[0], {base})", lo, _let_sql(
+            f"CAST({s}[1] + {over(f'{s}[0]', lo)} AS {wide})", mid,
+            _let_sql(f"pmod({mid}, {base})", rest, limbs_)))
+
+    def show(limbs_):
+        digits = f"concat(CAST({limbs_}[2] AS STRING), " + ", ".join(
+            f"lpad(CAST({limbs_}[{i}] AS STRING), {BASE_DIGITS}, '0')" for i in (1, 0)) + ")"
+        return f"coalesce(nullif(trim(LEADING '0' FROM {digits}), ''), '0')"
+
+    minus = f"transform({sums}, x -> CAST(-x AS {wide}))"
+    negative = _let_sql(minus, "n", _let_sql(borrow("n", "n"), "q", f"concat('-', {show('q')})"))
+    return _let_sql(borrow(sums, "p"), "p", (
+        f"CASE WHEN p[2] IS NULL THEN NULL WHEN p[2] >= 0 THEN {show('p')} ELSE {negative} END"))
 
 
 def literal_word(n: int) -> str:

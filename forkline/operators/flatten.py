@@ -40,16 +40,21 @@ def flatten_blocks(notifications: DataFrame, time_unit: str = "s") -> DataFrame:
                     .withColumn("extra_data", bytesx.to_hex("extra_data")), schemas.BLOCKS)
 
 
+def _without_receipts() -> Column:
+    return F.arrays_zip("transactions", F.array().cast("array<smallint>").alias("status"),
+                        F.array().cast("array<bigint>").alias("used"))
+
+
 def flatten_transactions(notifications: DataFrame, time_unit: str = "s", block_time: bool = False) -> DataFrame:
     """Transactions with their receipt's status and gas; ``block_time`` adds the header's."""
     b = _segments(notifications, {"block_number": "header.number", "time": "header.timestamp",
                                   "transactions": "transactions", "receipts": "receipts"})
-    pairs = F.arrays_zip("transactions", F.transform(
-        F.coalesce("receipts", F.array()),
-        lambda r: F.struct(r["status"].alias("status"), r["gas_used"].alias("gas_used"))).alias("outcomes"))
-    rows = (b.select("block_number", "sign", "seq", "time", F.posexplode(pairs).alias("tx_index", "_p"))
+    pairs = F.arrays_zip("transactions", F.col("receipts.status").alias("status"),
+                         F.col("receipts.gas_used").alias("used"))
+    rows = (b.select("block_number", "sign", "seq", "time", F.posexplode(F.when(
+                F.col("receipts").isNotNull(), pairs).otherwise(_without_receipts())).alias("tx_index", "_p"))
             .where("_p.transactions IS NOT NULL"))
-    t, r = F.col("_p.transactions"), F.col("_p.outcomes")
+    t, r = F.col("_p.transactions"), F.col("_p")
     plain = [f.name for f in schemas.TRANSACTION.fields]
     out = rows.select(
         "block_number", "sign", "seq", "tx_index", "time", t["hash"].alias("tx_hash"),
@@ -59,7 +64,7 @@ def flatten_transactions(notifications: DataFrame, time_unit: str = "s", block_t
         F.coalesce(t["gas_price"], F.lit(0)).alias("gas_price"),
         F.coalesce(t["max_fee_per_gas"], t["gas_price"]).alias("max_fee_per_gas"),
         F.coalesce(t["chain_id"], F.lit(1)).alias("chain_id"),
-        F.coalesce(r["status"], F.lit(0)).alias("status"), r["gas_used"].alias("gas_used"))
+        F.coalesce(r["status"], F.lit(0)).alias("status"), r["used"].alias("gas_used"))
     extra = [timex.from_unix("time", time_unit).alias("block_time")] if block_time else []
     return _conform(out, schemas.TRANSACTIONS, extra)
 

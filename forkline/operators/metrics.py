@@ -124,8 +124,8 @@ def alert_states(samples: DataFrame, condition: Column, hold: str, series=SERIES
                         state.alias("state"))
 
 
-def throughput_drops(rates: DataFrame, trailing: int = 10, fraction: float = 0.5, series=SERIES,
-                     bucket="ts") -> DataFrame:
+def throughput_drops(rates: DataFrame, trailing: int = 10, fraction: float = 0.5,
+                     series=SERIES) -> DataFrame:
     """Windows whose rate is below ``fraction`` of the mean of the ``trailing`` windows
     before them.  Input has one row per series and window."""
     before = Window.partitionBy(*series).orderBy("window_start").rowsBetween(-trailing, -1)

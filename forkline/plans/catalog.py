@@ -307,7 +307,7 @@ def daily_sender_stats(transactions: DataFrame, blocks: DataFrame | None = None)
             else daily_partials(transactions, blocks))
     return rows.groupBy(F.to_date("timestamp").alias("date"), F.col("from").alias("address")).agg(
         F.sum("sign").alias("tx_count"), F.sum(F.col("sign") * F.col("gas_used")).alias("total_gas"),
-        u256.sum_signed(F.col("value"), F.col("sign")).alias("total_value"))
+        u256.sum_signed("value", "sign").alias("total_value"))
 
 
 def daily_active_stats(transactions: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -317,19 +317,15 @@ def daily_active_stats(transactions: DataFrame, blocks: DataFrame) -> DataFrame:
         sign.active_rows(blocks).select("block_number", "timestamp"), "block_number")
     return rows.groupBy(F.to_date("timestamp").alias("date"), F.col("from").alias("address")).agg(
         F.count(F.lit(1)).alias("tx_count"), F.sum("gas_used").alias("total_gas"),
-        u256.sum_signed(F.col("value")).alias("total_value"))
+        u256.sum_signed("value").alias("total_value"))
 
 
 def merge_daily(partials: DataFrame) -> DataFrame:
     """Re-aggregate additive partial rows of several batches."""
     return partials.groupBy("date", "address").agg(
         F.sum("tx_count").alias("tx_count"), F.sum("total_gas").alias("total_gas"),
-        _sum_signed_text(F.col("total_value")).alias("total_value"))
-
-
-def _sum_signed_text(value):
-    negative = F.left(value, F.lit(1)) == "-"
-    return u256.sum_signed(F.ltrim(value, F.lit("-")), F.when(negative, -1).otherwise(1))
+        u256.sum_signed(
+            "ltrim('-', total_value)", "CASE WHEN total_value LIKE '-%' THEN -1 ELSE 1 END").alias("total_value"))
 
 
 def top_daily(stats: DataFrame, as_of=None, days: int = 30, k=100) -> DataFrame:

@@ -467,8 +467,8 @@ SELECT "from" AS sender, CAST(sum(CAST(value AS HUGEINT)) AS VARCHAR) AS total_v
        CAST(sum(sign * CAST(value AS HUGEINT)) AS VARCHAR) AS net_value FROM transactions GROUP BY 1""")
 def _(c):
     return c.transactions.groupBy(F.col("from").alias("sender")).agg(
-        u256.sum_signed(F.col("value")).alias("total_value"),
-        u256.sum_signed(F.col("value"), F.col("sign")).alias("net_value"))
+        u256.sum_signed("value").alias("total_value"),
+        u256.sum_signed("value", "sign").alias("net_value"))
 
 
 DAILY_SQL = """

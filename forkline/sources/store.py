@@ -44,7 +44,7 @@ DAILY = T.StructType([
 ])
 
 
-def write_options(name: str, compression: str = "lz4_raw", max_records: int = 5_000_000, bulk: bool = True) -> dict:
+def write_options(name: str, compression: str = "zstd", max_records: int = 5_000_000, bulk: bool = True) -> dict:
     """Parquet options of a table: codec, file size bound and, in bulk files, bloom filters
     (sized to the data; the small files of a micro-batch are not worth them)."""
     out = {"compression": compression, "maxRecordsPerFile": str(max_records)}
@@ -56,7 +56,7 @@ def write_options(name: str, compression: str = "lz4_raw", max_records: int = 5_
 
 class Store:
     def __init__(self, spark: SparkSession, root: str, bucket_width: int = timex.BLOCKS_PER_BUCKET,
-                 compression: str = "lz4_raw", max_records: int = 5_000_000):
+                 compression: str = "zstd", max_records: int = 5_000_000):
         self.spark = spark
         self.root = root.rstrip("/")
         self.bucket_width = bucket_width
@@ -102,9 +102,10 @@ class Store:
         rows = sum(s["commits"] + s["reverts"] for s in seen.values())
         lo, hi = span or (blocks["lo"], blocks["hi"])
         row = (source, lo, hi, rows, blocks["commits"], blocks["reverts"],
-               rows - blocks["commits"] - blocks["reverts"], reorg_events, None)
-        (self.spark.createDataFrame([row], PROGRESS).withColumn("committed_at", F.current_timestamp())
-         .coalesce(1).write.mode("overwrite").parquet(self.path("progress", f"batch={batch}")))
+               rows - blocks["commits"] - blocks["reverts"], reorg_events)
+        values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, PROGRESS.fields)]
+        (self.spark.range(0, 1, 1, 1).select(*values, F.current_timestamp().alias("committed_at"))
+         .write.mode("overwrite").parquet(self.path("progress", f"batch={batch}")))
 
     def write_batch(self, tables: dict, batch: str, source: str, rebalance: bool = False,
                     span=None, also: dict | None = None) -> dict:
