@@ -47,7 +47,7 @@ def main():
     chain.notifications.repartition(16, "seq").write.parquet(source)
     nested = notifications.read(spark, source)
     history = scratch_dir(spark, "bench-history")
-    notifications.committed_blocks(nested).repartition(16).write.parquet(history)
+    notifications.committed_blocks(nested).repartitionByRange(16, "header.number").write.parquet(history)
     blocks_in = notifications.read_blocks(spark, history)
     metric_path = scratch_dir(spark, "bench-metrics")
     chain.metrics.write.parquet(metric_path)

@@ -6,13 +6,17 @@ SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
 
 
+def unix_sql(expression: str, unit: str = "s") -> str:
+    """SQL text turning a unix time in seconds (``s``) or milliseconds (``ms``) into a timestamp."""
+    if unit not in ("s", "ms"):
+        raise ValueError(f"unit must be 's' or 'ms', not {unit!r}")
+    return f"timestamp_{'seconds' if unit == 's' else 'millis'}(`{expression}`)"
+
+
 def from_unix(c, unit: str = "s") -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    if unit == "s":
-        return F.timestamp_seconds(c)
-    if unit == "ms":
-        return F.timestamp_millis(c)
-    raise ValueError(f"unit must be 's' or 'ms', not {unit!r}")
+    if isinstance(c, str):
+        return F.expr(unix_sql(c, unit))
+    return F.timestamp_seconds(c) if unit == "s" else F.timestamp_millis(c)
 
 
 def format_second(c) -> Column:

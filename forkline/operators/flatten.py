@@ -18,83 +18,71 @@ def _segments(notifications: DataFrame, fields: dict) -> DataFrame:
 
     Reverts of a notification come before its commits: ``2 * seq`` and ``2 * seq + 1``.
     """
+    names = ", ".join(f"`{name}`" for name in fields)
     sides = []
-    for side, sign in (("old", -1), ("new", 1)):
-        zipped = F.arrays_zip(*[F.col(f"{side}.{path}").alias(name) for name, path in fields.items()])
-        sides.append(notifications.select(
-            F.lit(sign).cast("byte").alias("sign"),
-            (F.col("seq") * 2 + (1 if sign == 1 else 0)).alias("seq"),
-            F.inline(zipped).alias(*fields)))
+    for side, sign, offset in (("old", -1, 0), ("new", 1, 1)):
+        paths = ", ".join(f"{side}.{path}" for path in fields.values())
+        sides.append(notifications.selectExpr(f"CAST({sign} AS TINYINT) AS sign", f"2 * seq + {offset} AS seq",
+                                              f"inline(arrays_zip({paths})) AS ({names})"))
     return sides[0].unionByName(sides[1])
 
 
-def _conform(df: DataFrame, schema, extra=()) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+def _shape(df: DataFrame, schema, made: dict, extra=()) -> DataFrame:
+    """The columns of ``schema`` in order, each from ``made`` or under its own name."""
+    return df.selectExpr(*[f"CAST({made.get(f.name, f'`{f.name}`')} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in schema.fields], *extra)
 
 
 def flatten_blocks(notifications: DataFrame, time_unit: str = "s") -> DataFrame:
     b = _segments(notifications, {f.name: f"header.{f.name}" for f in schemas.HEADER.fields})
-    return _conform(b.withColumnRenamed("number", "block_number")
-                    .withColumn("timestamp", timex.from_unix("timestamp", time_unit))
-                    .withColumn("base_fee", F.coalesce("base_fee", F.lit(0)))
-                    .withColumn("extra_data", bytesx.to_hex("extra_data")), schemas.BLOCKS)
-
-
-def _without_receipts() -> Column:
-    return F.arrays_zip("transactions", F.array().cast("array<smallint>").alias("status"),
-                        F.array().cast("array<bigint>").alias("used"))
+    return _shape(b, schemas.BLOCKS, {
+        "block_number": "number", "timestamp": timex.unix_sql("timestamp", time_unit),
+        "base_fee": "coalesce(base_fee, 0)", "extra_data": "lower(hex(extra_data))"})
 
 
 def flatten_transactions(notifications: DataFrame, time_unit: str = "s", block_time: bool = False) -> DataFrame:
     """Transactions with their receipt's status and gas; ``block_time`` adds the header's."""
     b = _segments(notifications, {"block_number": "header.number", "time": "header.timestamp",
                                   "transactions": "transactions", "receipts": "receipts"})
-    pairs = F.arrays_zip("transactions", F.col("receipts.status").alias("status"),
-                         F.col("receipts.gas_used").alias("used"))
-    rows = (b.select("block_number", "sign", "seq", "time", F.posexplode(F.when(
-                F.col("receipts").isNotNull(), pairs).otherwise(_without_receipts())).alias("tx_index", "_p"))
-            .where("_p.transactions IS NOT NULL"))
-    t, r = F.col("_p.transactions"), F.col("_p")
-    plain = [f.name for f in schemas.TRANSACTION.fields]
-    out = rows.select(
-        "block_number", "sign", "seq", "tx_index", "time", t["hash"].alias("tx_hash"),
-        *[t[c].alias(c) for c in plain if c not in ("hash", "from", "input", "gas_price", "max_fee_per_gas", "chain_id")],
-        F.coalesce(t["from"], bytesx.zeros(20)).alias("from"),
-        bytesx.to_hex(t["input"]).alias("input"),
-        F.coalesce(t["gas_price"], F.lit(0)).alias("gas_price"),
-        F.coalesce(t["max_fee_per_gas"], t["gas_price"]).alias("max_fee_per_gas"),
-        F.coalesce(t["chain_id"], F.lit(1)).alias("chain_id"),
-        F.coalesce(r["status"], F.lit(0)).alias("status"), r["used"].alias("gas_used"))
-    extra = [timex.from_unix("time", time_unit).alias("block_time")] if block_time else []
-    return _conform(out, schemas.TRANSACTIONS, extra)
+    # zipping with null would be null, so missing receipts become an empty array
+    rows = (b.selectExpr("block_number", "sign", "seq", "time", "transactions AS tx",
+                         "coalesce(receipts.status, array()) AS status", "coalesce(receipts.gas_used, array()) AS used")
+            .selectExpr("block_number", "sign", "seq", "time", "posexplode(arrays_zip(tx, status, used)) AS (tx_index, p)")
+            .where("p.tx IS NOT NULL"))
+    made = {f.name: f"p.tx.`{f.name}`" for f in schemas.TRANSACTION.fields if f.name != "hash"}
+    made |= {"tx_hash": "p.tx.hash", "from": f"coalesce(p.tx.`from`, {_zeros(20)})",
+             "input": "lower(hex(p.tx.input))", "gas_price": "coalesce(p.tx.gas_price, 0)",
+             "max_fee_per_gas": "coalesce(p.tx.max_fee_per_gas, p.tx.gas_price)",
+             "chain_id": "coalesce(p.tx.chain_id, 1)", "status": "coalesce(p.status, 0)", "gas_used": "p.used"}
+    extra = [f"{timex.unix_sql('time', time_unit)} AS block_time"] if block_time else []
+    return _shape(rows, schemas.TRANSACTIONS, made, extra)
 
 
 def flatten_logs(notifications: DataFrame) -> DataFrame:
     """Logs with a block-global index and the hash of their transaction."""
     b = _segments(notifications, {"block_number": "header.number", "transactions": "transactions",
                                   "receipts": "receipts"})
-    flat = F.flatten(F.transform(
-        F.coalesce("receipts.logs", F.array()),
-        lambda logs, i: F.transform(F.coalesce(logs, F.array()),
-                                    lambda l: F.struct(i.alias("tx_index"), l.alias("log")))))
-    rows = b.select("block_number", "sign", "seq", F.col("transactions.hash").alias("hashes"), F.posexplode(flat).alias("log_index", "_l"))
-    topics = F.coalesce(F.col("_l.log.topics"), F.array())
-    return _conform(rows.select(
-        "block_number", "sign", "seq", "log_index", "_l.tx_index",
-        F.coalesce(F.get("hashes", F.col("_l.tx_index")), bytesx.zeros(32)).alias("tx_hash"),
-        F.col("_l.log.address").alias("address"),
-        F.coalesce(F.try_element_at(topics, F.lit(1)), bytesx.zeros(32)).alias("topic0"),
-        F.slice(topics, 2, F.greatest(F.size(topics) - 1, F.lit(0))).alias("topics"),
-        bytesx.to_hex(F.col("_l.log.data")).alias("data")), schemas.LOGS)
+    flat = ("flatten(transform(coalesce(receipts.logs, array()), (ls, i) -> "
+            "transform(coalesce(ls, array()), l -> struct(i AS tx_index, l AS log))))")
+    rows = b.selectExpr("block_number", "sign", "seq", "transactions.hash AS hashes",
+                        f"posexplode({flat}) AS (log_index, x)")
+    topics = "coalesce(x.log.topics, array())"
+    return _shape(rows, schemas.LOGS, {
+        "tx_hash": f"coalesce(get(hashes, x.tx_index), {_zeros(32)})", "tx_index": "x.tx_index",
+        "address": "x.log.address", "topic0": f"coalesce(try_element_at({topics}, 1), {_zeros(32)})",
+        "topics": f"slice({topics}, 2, greatest(size({topics}) - 1, 0))", "data": "lower(hex(x.log.data))"})
 
 
 def flatten_state(notifications: DataFrame) -> DataFrame:
     """One row per changed slot; accounts without changed storage give none."""
     b = _segments(notifications, {"block_number": "header.number", "state": "state"})
-    accounts = b.select("block_number", "sign", "seq", F.explode("state").alias("address", "_slots"))
-    rows = accounts.select("block_number", "sign", "seq", "address", F.explode("_slots").alias("slot", "value"))
-    return _conform(rows.withColumn("slot", bytesx.pad_bytes("slot", 32))
-                    .withColumn("value", bytesx.pad_bytes("value", 32)), schemas.STORAGE_DIFFS)
+    rows = (b.selectExpr("block_number", "sign", "seq", "explode(state) AS (address, slots)")
+            .selectExpr("block_number", "sign", "seq", "address", "explode(slots) AS (slot, value)"))
+    return _shape(rows, schemas.STORAGE_DIFFS, {"slot": "lpad(slot, 32, X'00')", "value": "lpad(value, 32, X'00')"})
+
+
+def _zeros(width: int) -> str:
+    return f"X'{'00' * width}'"
 
 
 def flatten(notifications: DataFrame, time_unit: str = "s") -> dict:

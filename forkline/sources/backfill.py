@@ -29,10 +29,12 @@ def chunks(after: int, to: int, batch_size: int) -> list:
 
 
 def run(store: Store, history: DataFrame, batch_size: int = 1_000_000, after: int | None = None,
-        to: int | None = None, time_unit: str = "s", check_missing: bool = True) -> int:
+        to: int | None = None, time_unit: str = "s", check_missing: bool = True,
+        rebalance: bool = False) -> int:
     """Flatten nested historical blocks into the store; returns the number of chunks
     written.  Every chunk is one distributed job and one atomic batch, so a rerun resumes
-    after the last chunk that was committed."""
+    after the last chunk that was committed.  A history whose files are clustered by height
+    needs no shuffle; set ``rebalance`` for one that is not, or files get small."""
     after = store.cursor(default=0) if after is None else after
     to = head(history.select(F.col("header.number").alias("block_number"))) if to is None else to
     if to is None or after >= to:
@@ -45,7 +47,7 @@ def run(store: Store, history: DataFrame, batch_size: int = 1_000_000, after: in
             if gap:
                 raise MissingBlocks(f"block {gap[0][0]} is missing from the history")
         tables = flatten.flatten(flatten.flatten_batch_blocks(part), time_unit)
-        store.write_batch(tables, f"bf-{lo + 1:015d}-{hi:015d}", "backfill", rebalance=True, span=(lo + 1, hi))
+        store.write_batch(tables, f"bf-{lo + 1:015d}-{hi:015d}", "backfill", rebalance, bulk=True, span=(lo + 1, hi))
     return len(done)
 
 

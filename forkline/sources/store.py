@@ -86,13 +86,16 @@ class Store:
 
     # ---- change log
 
-    def append(self, name: str, df: DataFrame, batch: str, rebalance: bool = False) -> dict:
-        """Write one table's rows of a batch; returns counts observed on the way."""
+    def append(self, name: str, df: DataFrame, batch: str, rebalance: bool = False, bulk: bool = False) -> dict:
+        """Write one table's rows of a batch; returns counts observed on the way.
+
+        Rows are written by the tasks that made them.  ``rebalance`` shuffles by bucket
+        first, for input that is not clustered by height; ``bulk`` adds bloom filters."""
         seen = Observation(f"{name}-{batch}")
         height_rows = [F.count_if(F.col("sign") == 1).alias("commits"), F.count_if(F.col("sign") == -1).alias("reverts"),
                        F.min("block_number").alias("lo"), F.max("block_number").alias("hi")]
         (self._laid_out(df.observe(seen, *height_rows), name, rebalance).write.mode("overwrite")
-         .options(**write_options(name, self.compression, self.max_records, bulk=rebalance))
+         .options(**write_options(name, self.compression, self.max_records, bulk=bulk))
          .partitionBy("block_bucket").parquet(self.path(name, f"batch={batch}")))
         return seen.get
 
@@ -108,10 +111,10 @@ class Store:
          .write.mode("overwrite").parquet(self.path("progress", f"batch={batch}")))
 
     def write_batch(self, tables: dict, batch: str, source: str, rebalance: bool = False,
-                    span=None, also: dict | None = None) -> dict:
+                    bulk: bool = False, span=None, also: dict | None = None) -> dict:
         """All tables of a batch side by side, then the commit.  Order among the tables does
         not matter: none of them counts before the commit."""
-        jobs = {name: (lambda name=name: self.append(name, tables[name], batch, rebalance)) for name in schemas.TABLES}
+        jobs = {name: (lambda name=name: self.append(name, tables[name], batch, rebalance, bulk)) for name in schemas.TABLES}
         done = self.together({**jobs, **(also or {})})
         seen = {name: done[name] for name in schemas.TABLES}
         self.commit(batch, source, seen, done.get("reorg_events", 0), span)

@@ -58,7 +58,7 @@ def test_half_written_batch_is_invisible_and_then_replaced(spark, chain, folder,
     batch = notifications.read(spark, folder)
     original, calls = store.append, []
 
-    def flaky(name, df, batch_id, rebalance=False):
+    def flaky(name, df, batch_id, rebalance=False, bulk=False):
         calls.append(name)
         if name == "logs" and calls.count("logs") == 1:
             original("blocks", df.sparkSession.createDataFrame([], schemas.BLOCKS), "unrelated")
@@ -200,6 +200,6 @@ def test_bulk_files_carry_bloom_filters(spark, chain, tmp_path):
     assert "parquet.bloom.filter.enabled#from" in write_options("transactions")
     assert not any("bloom" in k for k in write_options("transactions", bulk=False))
     store = Store(spark, str(tmp_path / "s"), compression="snappy", max_records=500)
-    store.append("transactions", chain.transactions, "b", rebalance=True)
+    store.append("transactions", chain.transactions, "b", rebalance=True, bulk=True)
     files = [os.path.join(d, f) for d, _, fs in os.walk(tmp_path) for f in fs if f.endswith(".parquet")]
     assert len(files) >= 3 and all("snappy" in f for f in files)
