@@ -114,10 +114,11 @@ def alert_states(samples: DataFrame, condition: Column, hold: str, series=SERIES
     It fires once its condition has held for ``hold`` without a sample to the contrary.
     """
     series = list(series)
-    marked = samples.withColumn("_on", F.coalesce(condition, F.lit(False)))
-    switched = ordered.lag_columns(marked, series, ["ts"], {"_was": "_on"}, bucket)
+    marked = ordered.bucketed(samples, bucket).withColumn("_on", F.coalesce(condition, F.lit(False)))
+    cut = F.col(ordered.BUCKET)  # found once, used by both steps
+    switched = ordered.lag_columns(marked, series, ["ts"], {"_was": "_on"}, cut)
     starts = switched.withColumn("_start", F.when(F.col("_on") & ~F.coalesce("_was", F.lit(False)), F.col("ts")))
-    since = ordered.running_max(starts, series, ["ts"], "_start", bucket, "_since")
+    since = ordered.running_max(starts, series, ["ts"], "_start", cut, "_since")
     held = F.col("ts") >= F.col("_since") + F.expr(f"INTERVAL {hold}")
     state = F.when(~F.col("_on"), "inactive").when(held, "firing").otherwise("pending")
     return since.select(*series, "ts", "value", F.when(F.col("_on"), F.col("_since")).alias("active_since"),

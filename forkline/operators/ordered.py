@@ -25,11 +25,13 @@ def _grouped(cuts: Column, side: int = SIDE) -> Column:
     return F.struct(coarse.alias("coarse"), fine.alias("fine"))
 
 
-def piece_of(value: Column, grouped: Column, side: int = SIDE) -> Column:
-    """Number of cut points at or below ``value``: a monotone bucket number."""
-    coarse = F.size(F.filter(grouped["coarse"], lambda c: c <= value))
-    fine = F.size(F.filter(F.get(grouped["fine"], coarse), lambda c: c <= value))
-    return coarse * side + fine
+def add_piece(df: DataFrame, value: Column, cuts: str, out: str, side: int = SIDE) -> DataFrame:
+    """Add the number of cut points at or below ``value``, a monotone piece number; drops
+    the cuts.  The coarse step is its own column so that it is worked out once."""
+    return (df.withColumn("_coarse", F.size(F.filter(F.col(cuts)["coarse"], lambda c: c <= value)))
+            .withColumn(out, F.col("_coarse") * side + F.size(
+                F.filter(F.get(F.col(cuts)["fine"], F.col("_coarse")), lambda c: c <= value)))
+            .drop("_coarse", cuts))
 
 
 def bucketed(df: DataFrame, bucket) -> DataFrame:
@@ -40,8 +42,7 @@ def bucketed(df: DataFrame, bucket) -> DataFrame:
     if isinstance(bucket, Column):
         return df.withColumn(BUCKET, bucket)
     cuts = df.agg(cut_points(F.col(bucket)).alias("c")).select(_grouped(F.col("c"))).scalar()
-    return (df.withColumn("_cuts", cuts).withColumn(BUCKET, piece_of(F.col(bucket), F.col("_cuts")))
-            .drop("_cuts"))
+    return add_piece(df.withColumn("_cuts", cuts), F.col(bucket), "_cuts", BUCKET)
 
 
 def _safe_equal(df: DataFrame, other: DataFrame, columns, how):

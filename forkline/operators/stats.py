@@ -12,7 +12,7 @@ def _cut(counts: DataFrame, groups: list, value: str) -> DataFrame:
     cuts = counts.groupBy(*groups).agg(ordered.cut_points(F.col(value), SIDE).alias("_c"))
     grouped = cuts.select(*groups, ordered._grouped(F.col("_c"), SIDE).alias("_cuts"))
     placed = counts.join(grouped, groups) if groups else counts.withColumn("_cuts", grouped.scalar())
-    return placed.withColumn("_part", ordered.piece_of(F.col(value), F.col("_cuts"), SIDE)).drop("_cuts")
+    return ordered.add_piece(placed, F.col(value), "_cuts", "_part", SIDE)
 
 
 def _holding(placed: DataFrame, ranks: DataFrame, groups: list, on: list) -> DataFrame:
