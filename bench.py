@@ -78,7 +78,7 @@ def main():
 
     t = {name: store.table(name) for name in schemas.TABLES}
     for name in schemas.TABLES:
-        times[f"collapse_{name}"] = best(lambda: sink(sign.collapse(t[name].drop("block_bucket"), schemas.KEYS[name])), runs)
+        times[f"collapse_{name}"] = best(lambda: sink(sign.collapse(t[name].drop("block_bucket", "month"), schemas.KEYS[name])), runs)
 
     token = "000000000000000000000000000000000000c001"
     queries = {
@@ -99,7 +99,7 @@ def main():
         "q21_integrity_report": lambda: catalog.integrity_report(t["transactions"], schemas.KEYS["transactions"]),
         "q22_storage_as_of": lambda: catalog.storage_as_of(t["storage_diffs"], 5000),
         "t13_previous_slot_value": lambda: sign.previous_slot_value(
-            sign.collapse(t["storage_diffs"].drop("block_bucket"), schemas.KEYS["storage_diffs"])),
+            sign.collapse(t["storage_diffs"].drop("block_bucket", "month"), schemas.KEYS["storage_diffs"])),
         "m1_rate": lambda: metrics.rate(samples.where("name LIKE 'events_total_%'"), "30 minutes"),
         "m5_histogram_quantile": lambda: metrics.histogram_quantile(metrics.histogram(
             samples.where("name = 'latency_seconds'"), LATENCY_BUCKETS, ["name"]), 0.95, ["name"]),

@@ -99,14 +99,19 @@ def top_gas_consumers(transactions: DataFrame, blocks: DataFrame, last_n: int =
 
 
 def _since(blocks: DataFrame, as_of, lookback: str) -> DataFrame:
+    """Committed blocks newer than a bound; a table stored by month is pruned as well."""
     active = sign.active_rows(blocks)
-    return active.where(F.col("timestamp") > timex.minus(timex.reference_time(active, "timestamp", as_of), lookback))
+    bound = timex.minus(timex.reference_time(active, "timestamp", as_of), lookback)
+    out = active.where(F.col("timestamp") > bound)
+    return out.where(F.col("month") >= timex.month_bucket(bound)) if "month" in blocks.columns else out
 
 
-def indexing_rate(blocks: DataFrame, as_of=None, lookback: str = "1 HOUR", k=10) -> DataFrame:
+def indexing_rate(blocks: DataFrame, as_of=None, lookback: str = "1 HOUR", k=10,
+                  approximate: bool = False) -> DataFrame:
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
     per_minute = _since(blocks, as_of, lookback).groupBy(F.date_trunc("minute", "timestamp").alias("minute")).agg(
         F.count(F.lit(1)).alias("blocks_indexed"), (F.sum("gas_used") / 1e6).alias("million_gas"),
-        F.count_distinct("miner").alias("unique_miners"))
+        distinct("miner").alias("unique_miners"))
     return _top(per_minute, [F.desc("minute")], k)
 
 
@@ -217,17 +222,26 @@ def nft_transfers(logs: DataFrame, min_block: int, k=50) -> DataFrame:
 
 
 def contract_gas(transactions: DataFrame, blocks: DataFrame, last_n: int = 50_000, min_calls: int = 100,
-                 k=20) -> DataFrame:
+                 k=20, approximate: bool = False) -> DataFrame:
     """Mean, median and p95 gas per called contract.
 
     Calls are first counted by (contract, gas): that shuffle spreads a hot contract, and
     every figure follows from the counts.  A contract has at most as many distinct gas
     values as the block gas limit, which bounds the ordered part however many calls it has.
+    ``approximate`` takes both quantiles from one mergeable sketch instead.
     """
     calls = last_blocks(sign.active_rows(transactions), blocks, last_n).where(
         F.col("to").isNotNull() & (F.col("status") == 1))
     counts = calls.groupBy("to", "gas_used").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(_cost()).alias("_cost"))
+    if approximate:
+        sketched = calls.groupBy("to").agg(
+            F.count(F.lit(1)).alias("call_count"), F.avg("gas_used").alias("avg_gas_per_call"),
+            (F.sum(_cost()).cast("double") / 1e18).alias("total_eth_cost"),
+            F.percentile_approx("gas_used", [0.5, 0.95]).alias("_q")).where(F.col("call_count") > min_calls)
+        return _top(sketched, [F.desc("total_eth_cost"), F.col("to")], k).select(
+            bytesx.to_hex("to").alias("contract"), "call_count", "avg_gas_per_call", "total_eth_cost",
+            F.col("_q")[0].cast("double").alias("median_gas"), F.col("_q")[1].cast("double").alias("p95_gas"))
     totals = counts.groupBy("to").agg(
         F.sum("_n").alias("call_count"),
         (F.sum(F.col("gas_used").cast("decimal(20,0)") * F.col("_n")).cast("double") / F.sum("_n")).alias("avg_gas_per_call"),

@@ -990,22 +990,22 @@ def _compacted(c: Chain) -> Store:
 
 @query("ms1_ms3_stream_blocks", f"SELECT {BLOCK_COLUMNS} FROM blocks")
 def _(c):
-    return _streamed(c).table("blocks").drop("block_bucket")
+    return _streamed(c).table("blocks").drop("block_bucket", "month")
 
 
 @query("ms3_stream_transactions", f"SELECT {TX_COLUMNS} FROM transactions")
 def _(c):
-    return _streamed(c).table("transactions").drop("block_bucket")
+    return _streamed(c).table("transactions").drop("block_bucket", "month")
 
 
 @query("ms3_stream_logs", f"SELECT {LOG_COLUMNS} FROM logs")
 def _(c):
-    return _typed(_streamed(c).table("logs")).drop("block_bucket")
+    return _typed(_streamed(c).table("logs")).drop("block_bucket", "month")
 
 
 @query("ms3_stream_storage_diffs", f"SELECT {DIFF_COLUMNS} FROM storage_diffs")
 def _(c):
-    return _streamed(c).table("storage_diffs").drop("block_bucket")
+    return _streamed(c).table("storage_diffs").drop("block_bucket", "month")
 
 
 @query("ms8_ms11_counters", """
@@ -1025,17 +1025,17 @@ def _(c):
 
 @query("r11_compacted_blocks", f"SELECT {BLOCK_COLUMNS} FROM final_blocks")
 def _(c):
-    return _compacted(c).current("blocks").drop("block_bucket")
+    return _compacted(c).current("blocks").drop("block_bucket", "month")
 
 
 @query("r11_compacted_transactions", f"SELECT {TX_COLUMNS} FROM final_transactions")
 def _(c):
-    return _compacted(c).current("transactions").drop("block_bucket")
+    return _compacted(c).current("transactions").drop("block_bucket", "month")
 
 
 @query("r11_compacted_logs", f"SELECT {LOG_COLUMNS} FROM final_logs")
 def _(c):
-    return _typed(_compacted(c).current("logs")).drop("block_bucket")
+    return _typed(_compacted(c).current("logs")).drop("block_bucket", "month")
 
 
 @query("r13_ms12_streaming_current", """

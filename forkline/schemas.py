@@ -166,3 +166,11 @@ BLOOM = {
     "logs": ["address"],
     "storage_diffs": ["address"],
 }
+
+# folders of a stored table: blocks by month and height bucket, the rest by height bucket
+PARTITIONS = {
+    "blocks": [T.StructField("month", T.StringType()), T.StructField("block_bucket", T.LongType())],
+    "transactions": [T.StructField("block_bucket", T.LongType())],
+    "logs": [T.StructField("block_bucket", T.LongType())],
+    "storage_diffs": [T.StructField("block_bucket", T.LongType())],
+}

@@ -13,8 +13,10 @@ def create_statement(database: str, name: str, buckets: int | None = None) -> st
     """DDL of a signed table.  With ``buckets`` rows are also hashed and sorted by height,
     so that joins and collapses on it need no shuffle."""
     clustered = (f" CLUSTERED BY (block_number) SORTED BY (block_number) INTO {buckets} BUCKETS" if buckets else "")
-    return (f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_columns(schemas.TABLES[name])}, block_bucket BIGINT) "
-            f"USING parquet PARTITIONED BY (block_bucket){clustered}")
+    folders = schemas.PARTITIONS[name]
+    extra = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in folders)
+    return (f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_columns(schemas.TABLES[name])}, {extra}) "
+            f"USING parquet PARTITIONED BY ({', '.join(f.name for f in folders)}){clustered}")
 
 
 def create_all(spark: SparkSession, database: str, buckets: int | None = None) -> None:

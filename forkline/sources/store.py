@@ -3,6 +3,7 @@
 Layout under one root::
 
     <table>/batch=<id>/block_bucket=<n>/*.parquet     append-only change log
+                                                      (blocks: month=<yyyymm>/block_bucket=<n>)
     progress/batch=<id>/*.parquet                     one row, written last
     <table>_current/gen=<id>/block_bucket=<n>/...     collapsed copies
     <table>_manifest/gen=<id>/...                     buckets a generation covers
@@ -16,6 +17,7 @@ rewritten: history of reverted blocks stays queryable after compaction.
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from forkline import schemas
@@ -54,6 +56,14 @@ def write_options(name: str, compression: str = "zstd", max_records: int = 5_000
     return out
 
 
+BATCH = T.StructField("batch", T.StringType())
+GENERATION = T.StructField("gen", T.StringType())
+
+
+def _folders(name: str) -> list:
+    return [f.name for f in schemas.PARTITIONS[name]]
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str, bucket_width: int = timex.BLOCKS_PER_BUCKET,
                  compression: str = "zstd", max_records: int = 5_000_000):
@@ -66,23 +76,24 @@ class Store:
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
-
     def _read(self, name: str, schema, partitions) -> DataFrame:
-        full = T.StructType([*schema.fields, *[T.StructField(c, t) for c, t in partitions]])
-        if not self._exists(self.path(name)):
+        full = T.StructType([*schema.fields, *partitions])
+        try:
+            return self.spark.read.schema(full).option("basePath", self.path(name)).parquet(self.path(name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).option("basePath", self.path(name)).parquet(self.path(name))
 
     def _laid_out(self, df: DataFrame, name: str, rebalance: bool) -> DataFrame:
-        out = df.withColumn("block_bucket", timex.block_bucket("block_number", self.bucket_width))
+        made = {"block_bucket": timex.block_bucket("block_number", self.bucket_width)}
+        if name == "blocks":
+            made["month"] = timex.month_bucket("timestamp")
+        out = df.withColumns(made)
         if rebalance:
             # AQE merges small buckets' tasks and splits a bucket too large for one task
             out = out.hint("rebalance", "block_bucket")
-        return out.sortWithinPartitions("block_bucket", *schemas.SORT[name])
+        return out.sortWithinPartitions(*_folders(name), *schemas.SORT[name])
 
     # ---- change log
 
@@ -96,7 +107,7 @@ class Store:
                        F.min("block_number").alias("lo"), F.max("block_number").alias("hi")]
         (self._laid_out(df.observe(seen, *height_rows), name, rebalance).write.mode("overwrite")
          .options(**write_options(name, self.compression, self.max_records, bulk=bulk))
-         .partitionBy("block_bucket").parquet(self.path(name, f"batch={batch}")))
+         .partitionBy(*_folders(name)).parquet(self.path(name, f"batch={batch}")))
         return seen.get
 
     def commit(self, batch: str, source: str, seen: dict, reorg_events: int = 0, span=None) -> None:
@@ -127,7 +138,7 @@ class Store:
             return {k: f.result() for k, f in futures.items()}
 
     def progress(self) -> DataFrame:
-        return self._read("progress", PROGRESS, [("batch", T.StringType())])
+        return self._read("progress", PROGRESS, [BATCH])
 
     def cursor(self, default: int = 0) -> int:
         """Highest processed height: one row from the progress table."""
@@ -145,7 +156,7 @@ class Store:
 
     def table(self, name: str) -> DataFrame:
         """The signed change log, committed batches only."""
-        rows = self._read(name, schemas.TABLES[name], [("batch", T.StringType()), ("block_bucket", T.LongType())])
+        rows = self._read(name, schemas.TABLES[name], [BATCH, *schemas.PARTITIONS[name]])
         return self._tagged(rows.join(self.committed_batches(), "batch", "left_semi").drop("batch"))
 
     def _tagged(self, df: DataFrame) -> DataFrame:
@@ -159,7 +170,7 @@ class Store:
          .parquet(self.path("daily_sender_stats", f"batch={batch}")))
 
     def daily_sender_stats(self) -> DataFrame:
-        parts = self._read("daily_sender_stats", DAILY, [("batch", T.StringType())])
+        parts = self._read("daily_sender_stats", DAILY, [BATCH])
         return catalog.merge_daily(parts.join(self.committed_batches(), "batch", "left_semi").drop("batch"))
 
     # ---- compaction
@@ -171,19 +182,19 @@ class Store:
         log = self.table(name)
         if buckets is not None:
             log = log.where(F.col("block_bucket").between(*buckets))
-        current = sign.collapse(log.drop("block_bucket"), schemas.KEYS[name])
+        current = sign.collapse(log.drop(*_folders(name)), schemas.KEYS[name])
         (self._laid_out(current, name, rebalance=True).write.mode("overwrite")
          .options(**write_options(name, self.compression, self.max_records))
-         .partitionBy("block_bucket").parquet(self.path(f"{name}_current", f"gen={gen}")))
+         .partitionBy(*_folders(name)).parquet(self.path(f"{name}_current", f"gen={gen}")))
         (log.select(F.col("block_bucket").alias("covered_bucket")).distinct().coalesce(1)
          .write.mode("overwrite").parquet(self.path(f"{name}_manifest", f"gen={gen}")))
         return sign.anomalies(log, schemas.KEYS[name])
 
     def current(self, name: str) -> DataFrame:
         """Collapsed rows: of every bucket its newest generation."""
-        rows = self._read(f"{name}_current", schemas.TABLES[name], [("gen", T.StringType()), ("block_bucket", T.LongType())])
+        rows = self._read(f"{name}_current", schemas.TABLES[name], [GENERATION, *schemas.PARTITIONS[name]])
         covered = self._read(f"{name}_manifest", T.StructType([T.StructField("covered_bucket", T.LongType())]),
-                             [("gen", T.StringType())])
+                             [GENERATION])
         newest = covered.groupBy(F.col("covered_bucket").alias("block_bucket")).agg(F.max("gen").alias("gen"))
         return self._tagged(rows.join(newest, ["block_bucket", "gen"], "left_semi").drop("gen"))
 

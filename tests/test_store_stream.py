@@ -40,8 +40,8 @@ def test_micro_batches_do_not_change_the_result(spark, chain, folder, tmp_path):
     many = ingest(spark, folder, tmp_path / "many", max_files=2)
     assert one.progress().count() == 1 and many.progress().count() == 3
     for name in schemas.TABLES:
-        assert same(many.table(name).drop("block_bucket"), one.table(name).drop("block_bucket"))
-    assert same(many.table("blocks").drop("block_bucket"), chain.blocks)
+        assert same(many.table(name).drop("block_bucket", "month"), one.table(name).drop("block_bucket", "month"))
+    assert same(many.table("blocks").drop("block_bucket", "month"), chain.blocks)
     assert same(many.daily_sender_stats(), catalog.daily_sender_stats(chain.transactions, chain.blocks))
 
 
@@ -101,14 +101,14 @@ def test_compaction(spark, chain, folder, tmp_path):
     bad = store.compact("blocks", "g1")
     assert same(bad, sign.anomalies(chain.blocks, schemas.KEYS["blocks"]))
     want = sign.collapse(chain.blocks, schemas.KEYS["blocks"])
-    assert same(store.current("blocks").drop("block_bucket"), want)
-    assert same(store.table("blocks").drop("block_bucket"), chain.blocks)  # the log stays
+    assert same(store.current("blocks").drop("block_bucket", "month"), want)
+    assert same(store.table("blocks").drop("block_bucket", "month"), chain.blocks)  # the log stays
     # a later revert empties a whole bucket; compacting just that bucket must empty it too
     late = want.where("block_number < 32").withColumn("sign", F.lit(-1).cast("byte")).withColumn("seq", F.lit(10 ** 6))
     empty = {n: spark.createDataFrame([], s) for n, s in schemas.TABLES.items()}
     store.write_batch({**empty, "blocks": late}, "zz", "test")
     store.compact("blocks", "g2", buckets=(0, 0))
-    assert same(store.current("blocks").drop("block_bucket"), want.where("block_number >= 32"))
+    assert same(store.current("blocks").drop("block_bucket", "month"), want.where("block_number >= 32"))
 
 
 def test_pruning_by_height(spark, folder, tmp_path):
@@ -121,6 +121,16 @@ def test_pruning_by_height(spark, folder, tmp_path):
     assert recent.count() == logs.where("block_number > 79").count()
 
 
+def test_pruning_by_month(spark, chain, folder, tmp_path):
+    store = ingest(spark, folder, tmp_path)
+    series = catalog.block_series(store.table("blocks"), as_of="2024-01-20 00:00:00")
+    plan = series._jdf.queryExecution().executedPlan().toString()
+    assert "month" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert same(series, catalog.block_series(chain.blocks, as_of="2024-01-20 00:00:00"))
+    exact = catalog.indexing_rate(chain.blocks, lookback="30 DAY", k=None)
+    assert same(catalog.indexing_rate(store.table("blocks"), lookback="30 DAY", k=None, approximate=True), exact)
+
+
 def test_backfill_resumes_and_reports_gaps(spark, chain, folder, tmp_path):
     store = Store(spark, str(tmp_path / "s"), bucket_width=32)
     history = notifications.committed_blocks(notifications.read(spark, folder)).cache()
@@ -187,6 +197,7 @@ def test_ddl_and_migrations(spark):
     ddl.create_all(spark, db)
     assert ddl.verify(spark, db) == []
     assert "PARTITIONED BY (block_bucket)" in ddl.show_create(spark, db, "logs")
+    assert "PARTITIONED BY (month, block_bucket)" in ddl.show_create(spark, db, "blocks")
     assert ddl.describe(spark, db, "logs").where("col_name = 'topics'").count() == 1
     ddl.drop_all(spark, db)
     assert len(ddl.verify(spark, db)) == 4
