@@ -74,7 +74,7 @@ def _once(c: Chain, what: str, make):
 def _notification_folder(c: Chain) -> str:
     def make():
         path = scratch_dir(c.spark, "notifications")
-        c.notifications.repartition(8, "seq").write.parquet(path)
+        c.notifications.repartition("seq").write.parquet(path)
         return path
     return _once(c, "notifications", make)
 
@@ -289,7 +289,7 @@ SELECT min(n) AS first_block, max(n) AS last_block, count(*) AS depth,
        CASE WHEN count(*) <= 3 THEN 'shallow' WHEN count(*) < 100 THEN 'medium' ELSE 'deep' END AS class
 FROM islands GROUP BY g""")
 def _(c):
-    return sign.reverted_runs(c.blocks, width=512)
+    return sign.reverted_runs(c.blocks)
 
 
 @query("r12_sign_weighted", """
@@ -961,8 +961,8 @@ def _(c):
 
 def _streamed(c: Chain) -> Store:
     def make():
-        store = Store(c.spark, scratch_dir(c.spark, "store"), bucket_width=512)
-        live = notifications.stream(c.spark, _notification_folder(c), max_files=3)
+        store = Store(c.spark, scratch_dir(c.spark, "store"))
+        live = notifications.stream(c.spark, _notification_folder(c), max_files=64)
         pipeline.start(store, live, scratch_dir(c.spark, "ingest")).awaitTermination()
         return store
     return _once(c, "streamed", make)
@@ -970,9 +970,9 @@ def _streamed(c: Chain) -> Store:
 
 def _backfilled(c: Chain) -> Store:
     def make():
-        store = Store(c.spark, scratch_dir(c.spark, "backfill"), bucket_width=512)
+        store = Store(c.spark, scratch_dir(c.spark, "backfill"))
         history = notifications.committed_blocks(_notifications(c))
-        backfill.run(store, history, batch_size=400, after=-1)
+        backfill.run(store, history, after=-1)
         return store
     return _once(c, "backfilled", make)
 
@@ -1043,7 +1043,7 @@ SELECT block_number, hash, seq, parent_hash, gas_used FROM final_blocks""")
 def _(c):
     def make():
         path = scratch_dir(c.spark, "current")
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=3))
+        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=64))
         rows = rows.select("block_number", "hash", "sign", "seq", "parent_hash", "gas_used")
         state.start_current(rows, schemas.KEYS["blocks"], path, scratch_dir(c.spark, "current-cp")).awaitTermination()
         return path
@@ -1056,7 +1056,7 @@ GROUP BY 1, 2 HAVING any_value(timestamp) <= (SELECT max(timestamp) FROM blocks)
 def _(c):
     def make():
         path = scratch_dir(c.spark, "final")
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=8))
+        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=64))
         state.start_series(state.finalized(rows, "2 days"), path, scratch_dir(c.spark, "final-cp")).awaitTermination()
         return path
     return c.spark.read.parquet(_once(c, "final", make)).select("block_number", "hash", "net", "seq")
@@ -1068,7 +1068,7 @@ SELECT {ts("time_bucket(INTERVAL 5 MINUTE, timestamp)")} AS "interval", CAST(sum
 def _(c):
     def make():
         path = scratch_dir(c.spark, "series")
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=8))
+        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=64))
         series = state.block_series(rows, watermark="60 days")
         state.start_series(series, path, scratch_dir(c.spark, "series-cp"), "update").awaitTermination()
         return path
@@ -1089,7 +1089,7 @@ def _(c):
 
 @query("s7_backfill_progress", """
 , head2 AS (SELECT max(block_number) AS n FROM blocks),
-done AS (SELECT least(lo + 400, n) AS hi, n FROM head2, range(-1, (SELECT max(block_number) FROM blocks), 400) r(lo))
+done AS (SELECT least(lo + 1000000, n) AS hi, n FROM head2, range(-1, (SELECT max(block_number) FROM blocks), 1000000) r(lo))
 SELECT hi, round((hi + 1) / (n + 1) * 100, 6) AS percent FROM done""")
 def _(c):
     store = _backfilled(c)
