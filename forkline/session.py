@@ -1,6 +1,5 @@
 """Session defaults and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,13 +32,8 @@ def local_session(cpus="*", shuffle_partitions=8, memory="12g", **conf):
 def scratch_dir(spark, label):
     """A fresh folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset a local
-    session uses a temporary folder and a cluster session its warehouse.
+    The cluster names it in ``spark.checkpoint.dir``; where that is unset it lies in the
+    warehouse, which the executors share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.conf.get("spark.master", "local").startswith("local"):
-            base = tempfile.mkdtemp(prefix="forkline-")
-        else:
-            base = spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     warehouse = tempfile.mkdtemp(prefix="forkline-warehouse-")
-    session = local_session(8, 4, **{"spark.sql.warehouse.dir": warehouse})
+    session = local_session(8, 4, **{"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": f"{warehouse}/shared"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import check_oracles  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from forkline.plans import registered  # noqa: E402
 
 SF = os.environ.get("FORKLINE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -19,7 +20,7 @@ def con():
     return check_oracles.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registered.QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert name in entry.oracle_sql()
     diff, _ = check_oracles.compare(spark, con, name, SF)
