@@ -100,11 +100,13 @@ def clean(docs, text="text", n_chars="n_chars", **options):
     while row in docs.columns:
         row += "_"
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col(text).alias("text"))
-    good = measure_lines(packed, doc_id=row, text="text", **options).filter("kept")
+    judged = measure_lines(packed, doc_id=row, text="text", **options)
     new = {text: F.col("clean_text")}
     if n_chars in docs.columns:
         new[n_chars] = F.char_length("clean_text").cast(docs.schema[n_chars].dataType)
-    return good.select(*[new.get(c, F.col("doc_id")[c]).alias(c) for c in docs.columns])
+    out = F.struct(*[new.get(c, F.col("doc_id")[c]).alias(c) for c in docs.columns])
+    # a filter would be pushed below the measures and repeat them; a generator is not
+    return judged.select(F.inline(F.when(F.col("kept"), F.array(out)).otherwise(F.slice(F.array(out), 1, 0))))
 
 
 ORACLE = r"""
