@@ -29,8 +29,12 @@ def collapse(df: DataFrame, keys: list) -> DataFrame:
     """Current state: per key with a positive net sign, its newest committed row.
 
     Filters on key columns move below this by themselves; filters on other columns
-    must stay above it, because the two halves of a pair need not agree on them.
+    must stay above it, because the two halves of a pair need not agree on them.  The
+    bucket of a height in the key is a function of the key, so it is grouped by as well
+    and bounds on it reach the scan.
     """
+    if "block_number" in keys and "block_bucket" in df.columns:
+        keys = [*keys, "block_bucket"]
     rest = [c for c in df.columns if c not in keys and c not in OWN]
     newest = F.max(F.when(F.col("sign") == 1, F.struct("seq", *rest)))
     state = (df.groupBy(*keys).agg(F.sum("sign").alias("_net"), newest.alias("_row"))
@@ -120,17 +124,22 @@ def sign_weighted(df: DataFrame, groups: list, sums: dict, count: str = "rows")
 
 
 def parent_links(current_blocks: DataFrame) -> DataFrame:
-    """Check each block's parent hash against the block one height below.
+    """Check each block's parent hash against the blocks one height below, one row per block.
 
-    An equi-join on the height instead of a window over the whole chain.
+    An equi-join on the height instead of a window over the whole chain.  A height that
+    holds several hashes (a lost revert) makes the block above it ``linked`` if one of them
+    is its parent, and the blocks on that height themselves ``ambiguous``.
     """
-    below = current_blocks.select((F.col("block_number") + 1).alias("block_number"),
-                                  F.col("hash").alias("below_hash"))
-    joined = current_blocks.join(below, "block_number", "left")
+    heights = current_blocks.groupBy("block_number").agg(F.collect_set("hash").alias("_hashes"))
+    below = heights.select((F.col("block_number") + 1).alias("block_number"), F.col("_hashes").alias("_below"))
+    joined = (current_blocks.join(below, "block_number", "left")
+              .join(heights.select("block_number", (F.size("_hashes") > 1).alias("_several")), "block_number"))
+    found = F.array_contains("_below", F.col("parent_hash"))
     return joined.select(
-        "block_number", "hash", "parent_hash", "below_hash",
-        F.when(F.col("below_hash").isNull(), "gap")
-        .when(F.col("below_hash") == F.col("parent_hash"), "linked").otherwise("broken").alias("link"))
+        "block_number", "hash", "parent_hash",
+        F.when(found, F.col("parent_hash")).otherwise(F.array_min("_below")).alias("below_hash"),
+        F.when(F.col("_several"), "ambiguous").when(F.col("_below").isNull(), "gap")
+        .when(found, "linked").otherwise("broken").alias("link"))
 
 
 def previous_slot_value(current_diffs: DataFrame, width: int = timex.BLOCKS_PER_BUCKET) -> DataFrame:

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from forkline import schemas
 from forkline.functions import bytesx, timex
 
+# Sequences of history start here below zero; notification numbers start at zero.
+HISTORY = 1 << 60
+
 
 def _segments(notifications: DataFrame, fields: dict) -> DataFrame:
     """One row per (notification, block) with its sign, sequence and chosen fields.
@@ -97,10 +100,11 @@ def flatten(notifications: DataFrame, time_unit: str = "s") -> dict:
 
 def flatten_batch_blocks(blocks: DataFrame) -> DataFrame:
     """Backfilled blocks as commit notifications, so that backfill and stream share one
-    path.  The sequence is the height: history has no reverts."""
+    path.  History has no reverts, so the height orders it; its sequences lie below those
+    of every live notification, so that a reorg of backfilled heights is always newer."""
     block = F.struct(*[F.col(f.name) for f in schemas.BLOCK.fields])
     none = F.array().cast(schemas.NOTIFICATION["old"].dataType)
-    return blocks.select(F.col("header.number").alias("seq"), F.lit("ChainCommitted").alias("kind"),
+    return blocks.select((F.col("header.number") - HISTORY).alias("seq"), F.lit("ChainCommitted").alias("kind"),
                          none.alias("old"), F.array(block).alias("new"))
 
 

@@ -45,29 +45,26 @@ def bucketed(df: DataFrame, bucket) -> DataFrame:
     return add_piece(df.withColumn("_cuts", cuts), F.col(bucket), "_cuts", BUCKET)
 
 
-def _safe_equal(df: DataFrame, other: DataFrame, columns, how):
-    """Join on columns that may hold nulls (series labels)."""
-    right = other.select(*[F.col(c).alias(f"_r_{c}") if c in columns else F.col(c)
-                           for c in other.columns])
-    cond = None
-    for c in columns:
-        eq = df[c].eqNullSafe(right[f"_r_{c}"])
-        cond = eq if cond is None else cond & eq
-    return df.join(right, cond, how).drop(*[f"_r_{c}" for c in columns])
+def _series(df: DataFrame, keys: list, bucket):
+    """The bucketed rows and the columns that name a series.  The keys (labels that may be
+    null) become one struct, which is never null and equals itself field by field, so that
+    a plain join on it keeps the partitioning of the windows."""
+    data = bucketed(df, bucket)
+    return (data.withColumn("_key", F.struct(*keys)), ["_key"]) if keys else (data, [])
 
 
 def lag_columns(df: DataFrame, keys: list, order: list, values: dict, bucket) -> DataFrame:
     """Add ``out = lag(value)`` for each ``out: value column``, per ``keys`` in ``order``."""
-    data = bucketed(df, bucket)
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    whole = Window.partitionBy(*keys).orderBy(BUCKET)
+    data, key = _series(df, keys, bucket)
+    inside = Window.partitionBy(*key, BUCKET).orderBy(*order)
+    whole = Window.partitionBy(*key).orderBy(BUCKET)
     pack = F.struct(*[F.col(v).alias(o) for o, v in values.items()])
-    last = (data.groupBy(*keys, BUCKET)
+    last = (data.groupBy(*key, BUCKET)
             .agg(F.max(F.struct(*order, pack.alias("_v"))).alias("_last"))
-            .select(*keys, BUCKET, F.lag("_last._v").over(whole).alias("_carry")))
+            .select(*key, BUCKET, F.lag("_last._v").over(whole).alias("_carry")))
     marked = data.withColumn("_lag", F.lag(pack).over(inside)) \
                  .withColumn("_first", F.row_number().over(inside) == 1)
-    joined = _safe_equal(marked, last, [*keys, BUCKET], "left")
+    joined = marked.join(last, [*key, BUCKET], "left")
     previous = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))
     out = joined.withColumn("_prev", previous)
     return out.select(*df.columns, *[F.col(f"_prev.{o}").alias(o) for o in values])
@@ -75,25 +72,23 @@ def lag_columns(df: DataFrame, keys: list, order: list, values: dict, bucket) ->
 
 def rank_in_keys(df: DataFrame, keys: list, order: list, bucket, out: str) -> DataFrame:
     """Add the 1-based row number per ``keys`` in ``order``."""
-    data = bucketed(df, bucket)
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    counts = (data.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-              .select(*keys, BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    ranked = data.withColumn("_rn", F.row_number().over(inside))
-    joined = _safe_equal(ranked, counts, [*keys, BUCKET], "left")
+    data, key = _series(df, keys, bucket)
+    inside = Window.partitionBy(*key, BUCKET).orderBy(*order)
+    before = Window.partitionBy(*key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    counts = (data.groupBy(*key, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+              .select(*key, BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    joined = data.withColumn("_rn", F.row_number().over(inside)).join(counts, [*key, BUCKET], "left")
     return joined.select(*df.columns, (F.col("_rn") + F.col("_before")).alias(out))
 
 
 def running_max(df: DataFrame, keys: list, order: list, value: str, bucket, out: str) -> DataFrame:
     """Add the maximum of ``value`` from the start of the series to the current row."""
-    data = bucketed(df, bucket)
-    inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    tops = (data.groupBy(*keys, BUCKET).agg(F.max(value).alias("_top"))
-            .select(*keys, BUCKET, F.max("_top").over(before).alias("_carry")))
-    local = data.withColumn("_local", F.max(value).over(inside))
-    joined = _safe_equal(local, tops, [*keys, BUCKET], "left")
+    data, key = _series(df, keys, bucket)
+    inside = Window.partitionBy(*key, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    tops = (data.groupBy(*key, BUCKET).agg(F.max(value).alias("_top"))
+            .select(*key, BUCKET, F.max("_top").over(before).alias("_carry")))
+    joined = data.withColumn("_local", F.max(value).over(inside)).join(tops, [*key, BUCKET], "left")
     return joined.select(*df.columns, F.greatest("_local", "_carry").alias(out))
 
 

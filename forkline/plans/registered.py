@@ -74,7 +74,8 @@ def _once(c: Chain, what: str, make):
 def _notification_folder(c: Chain) -> str:
     def make():
         path = scratch_dir(c.spark, "notifications")
-        c.notifications.repartition("seq").write.parquet(path)
+        # in the order of time, a dozen files, so that every stream takes several batches
+        c.notifications.repartitionByRange(12, "seq").write.parquet(path)
         return path
     return _once(c, "notifications", make)
 
@@ -309,14 +310,28 @@ def _(c):
     return sign.apply_reorg(sign.negate(old), new).select("block_number", "hash", "sign")
 
 
-@query("r15_parent_links", """
-SELECT b.block_number, b.hash, b.parent_hash, p.hash AS below_hash,
-       CASE WHEN p.hash IS NULL THEN 'gap' WHEN p.hash = b.parent_hash THEN 'linked' ELSE 'broken' END AS link
-FROM final_blocks b LEFT JOIN final_blocks p ON b.block_number = p.block_number + 1""")
+PARENT_SQL = """
+SELECT b.block_number, b.hash, b.parent_hash,
+       coalesce((SELECT max(p.hash) FROM {t} p WHERE p.block_number + 1 = b.block_number AND p.hash = b.parent_hash),
+                (SELECT min(p.hash) FROM {t} p WHERE p.block_number + 1 = b.block_number)) AS below_hash,
+       CASE WHEN (SELECT count(DISTINCT p.hash) FROM {t} p WHERE p.block_number = b.block_number) > 1 THEN 'ambiguous'
+            WHEN (SELECT count(*) FROM {t} p WHERE p.block_number + 1 = b.block_number) = 0 THEN 'gap'
+            WHEN (SELECT count(*) FROM {t} p WHERE p.block_number + 1 = b.block_number AND p.hash = b.parent_hash) > 0
+            THEN 'linked' ELSE 'broken' END AS link FROM {t} b"""
+
+
+@query("r15_parent_links", PARENT_SQL.format(t="final_blocks"))
 def _(c):
     return sign.parent_links(sign.collapse(c.blocks, schemas.KEYS["blocks"]))
 
 
+@query("r15_parent_links_lost_reverts", ", lost AS (SELECT DISTINCT block_number, hash, parent_hash FROM blocks WHERE sign = 1)"
+       + PARENT_SQL.format(t="lost"))
+def _(c):
+    # every commit as if no revert had arrived
+    return sign.parent_links(c.blocks.where("sign = 1").select("block_number", "hash", "parent_hash").distinct())
+
+
 # ---- filters, joins, scans -----------------------------------------------------------
 
 @query("s4_s10_head", """
@@ -959,10 +974,15 @@ def _(c):
 
 # ---- storage and streaming -----------------------------------------------------------
 
+def _bucket_width(c: Chain) -> int:
+    """At least ten buckets whatever the size of the chain."""
+    return _once(c, "width", lambda: max(1, (backfill.head(c.blocks) + 1) // 12))
+
+
 def _streamed(c: Chain) -> Store:
     def make():
-        store = Store(c.spark, scratch_dir(c.spark, "store"))
-        live = notifications.stream(c.spark, _notification_folder(c), max_files=64)
+        store = Store(c.spark, scratch_dir(c.spark, "store"), bucket_width=_bucket_width(c))
+        live = notifications.stream(c.spark, _notification_folder(c), max_files=3)
         pipeline.start(store, live, scratch_dir(c.spark, "ingest")).awaitTermination()
         return store
     return _once(c, "streamed", make)
@@ -971,8 +991,9 @@ def _streamed(c: Chain) -> Store:
 def _backfilled(c: Chain) -> Store:
     def make():
         store = Store(c.spark, scratch_dir(c.spark, "backfill"))
-        history = notifications.committed_blocks(_notifications(c))
-        backfill.run(store, history, after=-1)
+        history = notifications.canonical_blocks(_notifications(c))
+        # reverted heights that nothing replaced are gaps of the canonical chain
+        backfill.run(store, history, after=-1, check_missing=False)
         return store
     return _once(c, "backfilled", make)
 
@@ -981,9 +1002,9 @@ def _compacted(c: Chain) -> Store:
     def make():
         store = _streamed(c)
         for name in schemas.TABLES:
-            store.compact(name, "g1")
+            store.compact(name)
         # a second, partial generation must not change the answer
-        store.compact("blocks", "g2", buckets=(0, 0))
+        store.compact("blocks", buckets=(0, 2))
         return store
     return _once(c, "compacted", make)
 
@@ -1038,12 +1059,66 @@ def _(c):
     return _typed(_compacted(c).current("logs")).drop("block_bucket", "month")
 
 
+def _seam(c: Chain) -> Store:
+    """Backfill up to the middle of the notifications, then live ones numbered from zero,
+    among them reorgs and reverts of backfilled heights."""
+    def make():
+        store = Store(c.spark, scratch_dir(c.spark, "seam"), bucket_width=_bucket_width(c))
+        every = _notifications(c)
+        middle = every.agg(F.percentile("seq", 0.5)).first()[0]
+        live = scratch_dir(c.spark, "seam-live")
+        (every.where(F.col("seq") > middle).withColumn("seq", F.col("seq") - F.lit(int(middle)))
+         .repartitionByRange(4, "seq").write.parquet(live))
+        pipeline.backfill_then_live(store, notifications.canonical_blocks(every.where(F.col("seq") <= middle)),
+                                    notifications.stream(c.spark, live, max_files=1),
+                                    scratch_dir(c.spark, "seam-cp"), check_missing=False).awaitTermination()
+        return store
+    return _once(c, "seam", make)
+
+
+def _tailed(c: Chain) -> Store:
+    """Eleven generations of blocks and one of the other tables, then a tail of batches."""
+    def make():
+        store = Store(c.spark, scratch_dir(c.spark, "tailed"), bucket_width=_bucket_width(c))
+        every = _notifications(c)
+        cut = every.agg(F.percentile("seq", F.array(F.lit(0.4), F.lit(0.8)))).first()[0]
+        parts = (F.col("seq") <= cut[0], (F.col("seq") > cut[0]) & (F.col("seq") <= cut[1]), F.col("seq") > cut[1])
+        pipeline.ingest_batch(store, every.where(parts[0]), 0)
+        for name in schemas.TABLES:
+            store.compact(name)
+        pipeline.ingest_batch(store, every.where(parts[1]), 1)
+        for i in range(10):
+            store.compact("blocks", buckets=(i, i))
+        pipeline.ingest_batch(store, every.where(parts[2]), 2)
+        return store
+    return _once(c, "tailed", make)
+
+
+def _no_seq(columns: str) -> str:
+    return columns.removesuffix(", seq")
+
+
+_FINAL = {"blocks": "final_blocks", "transactions": "final_transactions", "logs": "final_logs", "storage_diffs": "final_diffs"}
+
+for _name, _columns in (("blocks", BLOCK_COLUMNS), ("transactions", TX_COLUMNS), ("logs", LOG_COLUMNS),
+                        ("storage_diffs", DIFF_COLUMNS)):
+    @query(f"ms9_backfill_then_live_{_name}", f"SELECT {_no_seq(_columns)} FROM {_FINAL[_name]}")
+    def _(c, name=_name):
+        rows = sign.collapse(_seam(c).table(name), schemas.KEYS[name]).drop("block_bucket", "month", "seq")
+        return _typed(rows) if name == "logs" else rows
+
+    @query(f"r11_latest_{_name}", f"SELECT {_columns} FROM {_FINAL[_name]}")
+    def _(c, name=_name):
+        rows = _tailed(c).latest(name).drop("block_bucket", "month")
+        return _typed(rows) if name == "logs" else rows
+
+
 @query("r13_ms12_streaming_current", """
 SELECT block_number, hash, seq, parent_hash, gas_used FROM final_blocks""")
 def _(c):
     def make():
         path = scratch_dir(c.spark, "current")
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=64))
+        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=3))
         rows = rows.select("block_number", "hash", "sign", "seq", "parent_hash", "gas_used")
         state.start_current(rows, schemas.KEYS["blocks"], path, scratch_dir(c.spark, "current-cp")).awaitTermination()
         return path
@@ -1056,7 +1131,7 @@ GROUP BY 1, 2 HAVING any_value(timestamp) <= (SELECT max(timestamp) FROM blocks)
 def _(c):
     def make():
         path = scratch_dir(c.spark, "final")
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=64))
+        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=3))
         state.start_series(state.finalized(rows, "2 days"), path, scratch_dir(c.spark, "final-cp")).awaitTermination()
         return path
     return c.spark.read.parquet(_once(c, "final", make)).select("block_number", "hash", "net", "seq")
@@ -1068,7 +1143,7 @@ SELECT {ts("time_bucket(INTERVAL 5 MINUTE, timestamp)")} AS "interval", CAST(sum
 def _(c):
     def make():
         path = scratch_dir(c.spark, "series")
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=64))
+        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=3))
         series = state.block_series(rows, watermark="60 days")
         state.start_series(series, path, scratch_dir(c.spark, "series-cp"), "update").awaitTermination()
         return path
@@ -1076,13 +1151,13 @@ def _(c):
 
 
 @query("s2_s6_backfill_blocks", """
-SELECT block_number, hash, CAST(sign AS BIGINT) AS sign, parent_hash, extra_data FROM blocks WHERE seq = block_number * 8 + 1""")
+SELECT block_number, hash, CAST(sign AS BIGINT) AS sign, parent_hash, extra_data FROM final_blocks""")
 def _(c):
     return _backfilled(c).table("blocks").select("block_number", "hash", "sign", "parent_hash", "extra_data")
 
 
 @query("s2_backfill_logs", """
-SELECT block_number, log_index, tx_hash, CAST(sign AS BIGINT) AS sign, data FROM logs WHERE seq = block_number * 8 + 1""")
+SELECT block_number, log_index, tx_hash, CAST(sign AS BIGINT) AS sign, data FROM final_logs""")
 def _(c):
     return _backfilled(c).table("logs").select("block_number", "log_index", "tx_hash", "sign", "data")
 

@@ -7,10 +7,12 @@ Layout under one root::
     progress/batch=<id>/*.parquet                     one row, written last
     <table>_current/gen=<id>/block_bucket=<n>/...     collapsed copies
     <table>_manifest/gen=<id>/...                     buckets a generation covers
+    <table>_batches/gen=<id>/...                      batches of the log it has seen
     daily_sender_stats/batch=<id>/...                 additive partial rows
 
-A batch overwrites only its own folders and counts once its progress row exists, so a
-retried or half-written batch never shows up twice or in part.  The change log is never
+A batch writes only its own folders and counts once its progress row exists, so a retried
+or half-written batch never shows up twice or in part.  A batch that counts is never
+written again.  Generations are numbered by the store.  The change log is never
 rewritten: history of reverted blocks stays queryable after compaction.
 """
 
@@ -57,7 +59,7 @@ def write_options(name: str, compression: str = "zstd", max_records: int = 5_000
 
 
 BATCH = T.StructField("batch", T.StringType())
-GENERATION = T.StructField("gen", T.StringType())
+GENERATION = T.StructField("gen", T.LongType())
 
 
 def _folders(name: str) -> list:
@@ -124,7 +126,13 @@ class Store:
     def write_batch(self, tables: dict, batch: str, source: str, rebalance: bool = False,
                     bulk: bool = False, span=None, also: dict | None = None) -> dict:
         """All tables of a batch side by side, then the commit.  Order among the tables does
-        not matter: none of them counts before the commit."""
+        not matter: none of them counts before the commit.  A committed batch is left as it
+        is, and is an error if another source committed it."""
+        owner = self.progress().where(F.col("batch") == batch).select("source").first()
+        if owner is not None:
+            if owner[0] != source:
+                raise ValueError(f"batch {batch} was committed by {owner[0]}, not {source}")
+            return {}
         jobs = {name: (lambda name=name: self.append(name, tables[name], batch, rebalance, bulk)) for name in schemas.TABLES}
         done = self.together({**jobs, **(also or {})})
         seen = {name: done[name] for name in schemas.TABLES}
@@ -154,10 +162,12 @@ class Store:
     def committed_batches(self) -> DataFrame:
         return self.progress().select("batch").distinct()
 
+    def _log(self, name: str) -> DataFrame:
+        return self._read(name, schemas.TABLES[name], [BATCH, *schemas.PARTITIONS[name]])
+
     def table(self, name: str) -> DataFrame:
         """The signed change log, committed batches only."""
-        rows = self._read(name, schemas.TABLES[name], [BATCH, *schemas.PARTITIONS[name]])
-        return self._tagged(rows.join(self.committed_batches(), "batch", "left_semi").drop("batch"))
+        return self._tagged(self._log(name).join(self.committed_batches(), "batch", "left_semi").drop("batch"))
 
     def _tagged(self, df: DataFrame) -> DataFrame:
         """Tell the catalogue how wide a bucket is, so that it can prune by height."""
@@ -175,17 +185,28 @@ class Store:
 
     # ---- compaction
 
-    def compact(self, name: str, gen: str, buckets: tuple | None = None) -> DataFrame:
+    def _manifest(self, name: str) -> DataFrame:
+        return self._read(f"{name}_manifest", T.StructType([T.StructField("covered_bucket", T.LongType())]), [GENERATION])
+
+    def _newest(self, name: str) -> DataFrame:
+        """The newest generation of each bucket: one row per bucket."""
+        return self._manifest(name).groupBy(F.col("covered_bucket").alias("block_bucket")).agg(F.max("gen").alias("gen"))
+
+    def compact(self, name: str, buckets: tuple | None = None) -> DataFrame:
         """Collapse the log, or a range of its buckets, into a new generation; returns the
         keys reverted too often.  A bucket whose rows all vanished is covered by the
         manifest and so becomes empty."""
-        log = self.table(name)
+        gen = (self._manifest(name).agg(F.max("gen")).first()[0] or 0) + 1
+        seen = [r[0] for r in self.committed_batches().collect()]
+        log = self._log(name).where(F.col("batch").isin(seen)).drop("batch")
         if buckets is not None:
             log = log.where(F.col("block_bucket").between(*buckets))
         current = sign.collapse(log.drop(*_folders(name)), schemas.KEYS[name])
         (self._laid_out(current, name, rebalance=True).write.mode("overwrite")
          .options(**write_options(name, self.compression, self.max_records))
          .partitionBy(*_folders(name)).parquet(self.path(f"{name}_current", f"gen={gen}")))
+        (self.committed_batches().where(F.col("batch").isin(seen)).coalesce(1)
+         .write.mode("overwrite").parquet(self.path(f"{name}_batches", f"gen={gen}")))
         (log.select(F.col("block_bucket").alias("covered_bucket")).distinct().coalesce(1)
          .write.mode("overwrite").parquet(self.path(f"{name}_manifest", f"gen={gen}")))
         return sign.anomalies(log, schemas.KEYS[name])
@@ -193,10 +214,24 @@ class Store:
     def current(self, name: str) -> DataFrame:
         """Collapsed rows: of every bucket its newest generation."""
         rows = self._read(f"{name}_current", schemas.TABLES[name], [GENERATION, *schemas.PARTITIONS[name]])
-        covered = self._read(f"{name}_manifest", T.StructType([T.StructField("covered_bucket", T.LongType())]),
-                             [GENERATION])
-        newest = covered.groupBy(F.col("covered_bucket").alias("block_bucket")).agg(F.max("gen").alias("gen"))
-        return self._tagged(rows.join(newest, ["block_bucket", "gen"], "left_semi").drop("gen"))
+        return self._tagged(rows.join(self._newest(name), ["block_bucket", "gen"], "left_semi").drop("gen"))
+
+    def touched(self, name: str) -> list:
+        """Buckets with batches that their newest generation has not seen: a list of folder
+        numbers, from the folders alone."""
+        folders = (self._log(name).join(self.committed_batches(), "batch", "left_semi")
+                   .select("block_bucket", "batch").distinct())
+        seen = self._read(f"{name}_batches", T.StructType([BATCH]), [GENERATION])
+        late = (folders.join(self._newest(name), "block_bucket", "left")
+                .join(seen, ["gen", "batch"], "left_anti").select("block_bucket").distinct())
+        return sorted(r[0] for r in late.collect())
+
+    def latest(self, name: str) -> DataFrame:
+        """Current state now: the newest generations, and the log itself for the buckets
+        that later batches touched.  Only those buckets are collapsed."""
+        late = F.col("block_bucket").isin(self.touched(name))
+        fresh = sign.collapse(self.table(name).where(late), schemas.KEYS[name])
+        return self._tagged(self.current(name).where(~late).select(*fresh.columns).unionByName(fresh))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forkline.operators import flatten
+from forkline.sources import backfill
 from forkline.sources.store import Store
 from forkline.streaming.retry import with_retry
 
@@ -11,8 +12,10 @@ from forkline.streaming.retry import with_retry
 def ingest_batch(store: Store, batch: DataFrame, batch_id: int, time_unit: str = "s", daily: bool = True,
                  prefix: str = "st", **retry) -> None:
     """Write one micro-batch.  Rows of all four tables, the daily partials and then the
-    progress row; writing the same batch again replaces it."""
+    progress row.  A batch that is committed is left alone; one that is not is written anew."""
     name = f"{prefix}-{batch_id:012d}"
+    if not store.progress().where(F.col("batch") == name).isEmpty():
+        return
 
     def write():
         if batch.isEmpty():
@@ -27,15 +30,30 @@ def ingest_batch(store: Store, batch: DataFrame, batch_id: int, time_unit: str =
 
 
 def start(store: Store, notifications: DataFrame, checkpoint: str, processing_time: str | None = None,
-          time_unit: str = "s", daily: bool = True, prefix: str = "st", **retry) -> StreamingQuery:
-    """Start ingesting.  Without ``processing_time`` everything available is drained and
+          time_unit: str = "s", daily: bool = True, **retry) -> StreamingQuery:
+    """Start ingesting.  Batches carry the id that Spark keeps in the checkpoint, so two
+    streams, or one with a new checkpoint, never write each other's batches.  Without ``processing_time`` everything available is drained and
     the query ends; a trigger like ``"100 milliseconds"`` keeps it running."""
-    writer = notifications.writeStream.queryName(f"ingest-{prefix}").option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: ingest_batch(store, batch, batch_id, time_unit, daily, prefix, **retry))
+    known = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(store.spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"])
+        ingest_batch(store, batch, batch_id, time_unit, daily, f"st-{known[0]}", **retry)
+
+    writer = notifications.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
 
+def backfill_then_live(store: Store, history: DataFrame, notifications: DataFrame, checkpoint: str,
+                       check_missing: bool = True, **options) -> StreamingQuery:
+    """Backfill all of ``history``, then follow ``notifications``.  Backfilled sequences lie
+    below every live one, so live reorgs of backfilled heights win."""
+    backfill.run(store, history, after=-1, check_missing=check_missing)
+    return start(store, notifications, checkpoint, **options)
+
+
 def counters(store: Store) -> DataFrame:
     """Cumulative counters in the long metric form, one sample per committed batch."""
     from pyspark.sql import Window

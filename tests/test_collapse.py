@@ -85,6 +85,13 @@ def test_parent_links(spark):
     assert {r.block_number: r.link for r in sign.parent_links(df).collect()} == {1: "gap", 2: "linked", 3: "broken", 5: "gap"}
 
 
+def test_parent_links_with_two_hashes_at_a_height(spark):
+    rows = [(1, "a", "z"), (2, "b", "a"), (2, "B", "a"), (3, "c", "B"), (4, "d", "x")]
+    df = spark.createDataFrame(rows, "block_number bigint, hash string, parent_hash string")
+    got = sorted((r["hash"], r.link) for r in sign.parent_links(df).collect())
+    assert got == [("B", "ambiguous"), ("a", "gap"), ("b", "ambiguous"), ("c", "linked"), ("d", "broken")]
+
+
 def test_storage_as_of(spark):
     rows = [(1, 1, b"a", b"s", b"1", 1), (5, 1, b"a", b"s", b"2", 2), (5, -1, b"a", b"s", b"2", 3), (9, 1, b"a", b"s", b"3", 4)]
     df = spark.createDataFrame(rows, "block_number bigint, sign int, address binary, slot binary, value binary, seq bigint")

@@ -98,7 +98,7 @@ def test_retry_delays_and_permanent_errors():
 
 def test_compaction(spark, chain, folder, tmp_path):
     store = ingest(spark, folder, tmp_path)
-    bad = store.compact("blocks", "g1")
+    bad = store.compact("blocks")
     assert same(bad, sign.anomalies(chain.blocks, schemas.KEYS["blocks"]))
     want = sign.collapse(chain.blocks, schemas.KEYS["blocks"])
     assert same(store.current("blocks").drop("block_bucket", "month"), want)
@@ -107,10 +107,56 @@ def test_compaction(spark, chain, folder, tmp_path):
     late = want.where("block_number < 32").withColumn("sign", F.lit(-1).cast("byte")).withColumn("seq", F.lit(10 ** 6))
     empty = {n: spark.createDataFrame([], s) for n, s in schemas.TABLES.items()}
     store.write_batch({**empty, "blocks": late}, "zz", "test")
-    store.compact("blocks", "g2", buckets=(0, 0))
+    store.compact("blocks", buckets=(0, 0))
     assert same(store.current("blocks").drop("block_bucket", "month"), want.where("block_number >= 32"))
 
 
+def test_latest_after_many_generations(spark, chain, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), bucket_width=32)
+    every = notifications.read(spark, folder)
+    pipeline.ingest_batch(store, every.where("seq <= 350"), 0)
+    for _ in range(11):
+        store.compact("blocks")
+    assert store.touched("blocks") == []
+    pipeline.ingest_batch(store, every.where("seq > 350"), 1)
+    want = sign.collapse(chain.blocks, schemas.KEYS["blocks"])
+    assert 0 < len(store.touched("blocks")) < 4
+    assert same(store.latest("blocks").drop("block_bucket", "month"), want)
+    store.compact("blocks", buckets=(3, 3))
+    assert 3 not in store.touched("blocks")
+    assert same(store.latest("blocks").drop("block_bucket", "month"), want)
+
+
+def test_two_streams_in_one_store(spark, chain, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), bucket_width=32)
+    every = notifications.read(spark, folder)
+    for i, part in enumerate(("seq <= 200", "seq > 200")):
+        source = str(tmp_path / f"in{i}")
+        every.where(part).write.parquet(source)
+        pipeline.start(store, notifications.stream(spark, source), str(tmp_path / f"cp{i}")).awaitTermination()
+    assert same(store.table("blocks").drop("block_bucket", "month"), chain.blocks)
+
+
+def test_committed_batch_is_left_alone(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), bucket_width=32)
+    every = notifications.read(spark, folder)
+    pipeline.ingest_batch(store, every, 0)
+    reader, n = store.table("blocks"), store.table("blocks").count()
+    pipeline.ingest_batch(store, every.where("seq <= 8"), 0)  # a replay with less input
+    assert reader.count() == n == store.table("blocks").count()
+    with pytest.raises(ValueError, match="committed by stream"):
+        store.write_batch(flatten.flatten(every), "st-000000000000", "other")
+
+
+def test_bounds_reach_the_scan_below_collapse(spark, folder, tmp_path):
+    store = ingest(spark, folder, tmp_path)
+    current = sign.collapse(store.table("logs"), schemas.KEYS["logs"])
+    some = catalog.block_range(current, 40, 50)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert any("block_bucket" in p.split("]")[0] for p in plan.split("PartitionFilters:")[1:])
+    assert some.count() == current.where("block_number BETWEEN 40 AND 50").count()
+
+
 def test_pruning_by_height(spark, folder, tmp_path):
     store = ingest(spark, folder, tmp_path)
     logs = store.table("logs")
