@@ -168,7 +168,8 @@ def encode(docs, path, doc_id="doc_id", text="text"):
     def run(batches):
         encoder = Encoder(path)
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [encoder.encode(t or "") for t in strings(pdf["text"])]})
+            ids = [encoder.encode(t or "") for t in strings(pdf["text"])]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": pd.Series(ids, index=pdf.index, dtype=object)})
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return d.mapInPandas(run, "doc_id long, ids array<int>")

@@ -280,7 +280,8 @@ def find(docs, field=None, doc_id="doc_id", text="text"):
                 both = [(*x, True) for x in base] + [(*x, False) for x in more]
                 both.sort(key=lambda x: (KINDS.index(x[0]), x[1]))
                 rows.append([{"kind": k, "start": s, "end": e, "base": b} for k, s, e, b in both])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": pdf["text"], "spans": rows})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": pdf["text"],
+                                "spans": pd.Series(rows, index=pdf.index, dtype=object)})
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return d.mapInPandas(run, f"doc_id long, text string, spans {SPAN}")

@@ -56,7 +56,8 @@ def find_anchors(batches):
                     t[0], t[1] = rolling(h, len(h))[0], rolling(mix(h), len(h))[0]
             out.append((len(h), *t.view(np.int64), anchors.view(np.int64)))
         yield pd.DataFrame({"k1": pdf["k1"], "k2": pdf["k2"], **{
-            c: [x[i] for x in out] for i, c in enumerate(("n_words", "t1", "t2", "anchors"))}})
+            c: pd.Series([x[i] for x in out], index=pdf.index, dtype=object if c == "anchors" else "int64")
+            for i, c in enumerate(("n_words", "t1", "t2", "anchors"))}})
 
 
 def cut_segments(batches):
@@ -155,7 +156,7 @@ def search_shards(batches):
         spans = _search(texts, weights)
         hit = [i for i, x in enumerate(spans) if x]
         return pd.DataFrame({"anchor": [keys[i][0] for i in hit], "h": [keys[i][1] for i in hit],
-                             "spans": [spans[i] for i in hit]})
+                             "spans": pd.Series([spans[i] for i in hit], dtype=object)})
 
     keys, texts, weights, size = [], [], [], 0
     for pdf in batches:
