@@ -132,6 +132,20 @@ def split_by_width(df: DataFrame, widths: dict) -> tuple:
     return df.where(ok), df.where(~ok)
 
 
+def set_aside(tables: dict, widths: dict, notifications: DataFrame) -> tuple:
+    """``(good, bad)``: the tables without rows of a wrong width, and those rows, as JSON
+    with their table and the reason, next to the blocks whose receipts do not match."""
+    good, bad = {}, []
+    for name, rows in tables.items():
+        good[name], rest = split_by_width(rows, widths[name])
+        bad.append(rest.select(F.lit(name).alias("table"), F.lit("width").alias("reason"), "block_number", "sign", "seq",
+                               F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest.columns])).alias("row")))
+    uneven = misaligned(notifications)
+    bad.append(uneven.select(F.lit("receipts").alias("table"), F.lit("misaligned").alias("reason"), "block_number",
+                             "sign", "seq", F.to_json(F.struct("transactions", "receipts")).alias("row")))
+    return good, reduce(DataFrame.unionByName, bad)
+
+
 def split_by_cast(df: DataFrame, types: dict) -> tuple:
     """``(cast, quarantined)``: a value that does not fit its type is set aside whole,
     never turned into null."""

@@ -152,11 +152,41 @@ def _(c):
             .agg(F.count(F.lit(1)).alias("transactions"), F.sum("gas_used").alias("gas")))
 
 
+def _damaged(c: Chain) -> DataFrame:
+    """The notifications with a short transaction hash in every tenth block and one receipt
+    too few in every tenth other."""
+    def block(b):
+        tenth = b["header"]["number"] % 10
+        cut = F.transform(b["transactions"], lambda t, i: F.when(
+            i == 0, t.withField("hash", F.substring(t["hash"], 1, 31))).otherwise(t))
+        fewer = F.slice(b["receipts"], 1, F.greatest(F.size(b["receipts"]) - 1, F.lit(0)))
+        return (b.withField("transactions", F.when(tenth == 2, cut).otherwise(b["transactions"]))
+                .withField("receipts", F.when(tenth == 3, fewer).otherwise(b["receipts"])))
+    return _notifications(c).withColumns({side: F.transform(side, block) for side in ("old", "new")})
+
+
 @query("t10_misaligned_receipts", """
-SELECT block_number, CAST(0 AS BIGINT) AS sign, seq, CAST(0 AS BIGINT) AS transactions, CAST(0 AS BIGINT) AS receipts
-FROM blocks WHERE false""")
+SELECT block_number, CAST(sign AS BIGINT) AS sign, seq, count(*) AS transactions, count(*) - 1 AS receipts
+FROM transactions WHERE block_number % 10 = 3 GROUP BY block_number, sign, seq HAVING count(*) > 1""")
 def _(c):
-    return flatten.misaligned(_notifications(c))
+    return flatten.misaligned(_damaged(c))
+
+
+@query("t10_t14_ingest_quarantine", """
+SELECT 'transactions' AS "table", 'width' AS reason, count(*) AS n,
+       (SELECT count(*) FROM transactions WHERE block_number % 10 <> 2 OR tx_index <> 0) AS good_transactions,
+       count(*) + (SELECT count(*) FROM logs WHERE block_number % 10 = 2 AND tx_index = 0) + (SELECT count(*) FROM
+         (SELECT 1 FROM transactions WHERE block_number % 10 = 3 GROUP BY block_number, sign, seq HAVING count(*) > 1)) AS counted
+FROM transactions WHERE block_number % 10 = 2 AND tx_index = 0""")
+def _(c):
+    def make():
+        store = Store(c.spark, scratch_dir(c.spark, "quarantine"), bucket_width=_bucket_width(c))
+        pipeline.ingest_batch(store, _damaged(c), 0)
+        return store
+    store = _once(c, "damaged", make)
+    bad = store.quarantine().where("`table` = 'transactions'").groupBy("table", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return bad.withColumns({"good_transactions": store.table("transactions").agg(F.count(F.lit(1))).scalar(),
+                            "counted": store.progress().agg(F.sum("quarantined")).scalar()})
 
 
 @query("t11_effective_gas_price", """

@@ -9,6 +9,7 @@ Layout under one root::
     <table>_manifest/gen=<id>/...                     buckets a generation covers
     <table>_batches/gen=<id>/...                      batches of the log it has seen
     daily_sender_stats/batch=<id>/...                 additive partial rows
+    quarantine/batch=<id>/...                         rows set aside, with the reason
 
 A batch writes only its own folders and counts once its progress row exists, so a retried
 or half-written batch never shows up twice or in part.  A batch that counts is never
@@ -36,9 +37,19 @@ PROGRESS = T.StructType([
     T.StructField("reverted_blocks", T.LongType()),
     T.StructField("events", T.LongType()),
     T.StructField("reorg_events", T.LongType()),
+    T.StructField("quarantined", T.LongType()),
     T.StructField("committed_at", T.TimestampType()),
 ])
 
+QUARANTINE = T.StructType([
+    T.StructField("table", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("block_number", T.LongType()),
+    T.StructField("sign", T.ByteType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("row", T.StringType()),
+])
+
 DAILY = T.StructType([
     T.StructField("date", T.DateType()),
     T.StructField("address", T.BinaryType()),
@@ -112,13 +123,14 @@ class Store:
          .partitionBy(*_folders(name)).parquet(self.path(name, f"batch={batch}")))
         return seen.get
 
-    def commit(self, batch: str, source: str, seen: dict, reorg_events: int = 0, span=None) -> None:
+    def commit(self, batch: str, source: str, seen: dict, reorg_events: int = 0, span=None,
+               quarantined: int = 0) -> None:
         """Make a batch visible: one small row, written after all its tables."""
         blocks = seen["blocks"]
         rows = sum(s["commits"] + s["reverts"] for s in seen.values())
         lo, hi = span or (blocks["lo"], blocks["hi"])
         row = (source, lo, hi, rows, blocks["commits"], blocks["reverts"],
-               rows - blocks["commits"] - blocks["reverts"], reorg_events)
+               rows - blocks["commits"] - blocks["reverts"], reorg_events, quarantined)
         values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, PROGRESS.fields)]
         (self.spark.range(0, 1, 1, 1).select(*values, F.current_timestamp().alias("committed_at"))
          .write.mode("overwrite").parquet(self.path("progress", f"batch={batch}")))
@@ -136,7 +148,7 @@ class Store:
         jobs = {name: (lambda name=name: self.append(name, tables[name], batch, rebalance, bulk)) for name in schemas.TABLES}
         done = self.together({**jobs, **(also or {})})
         seen = {name: done[name] for name in schemas.TABLES}
-        self.commit(batch, source, seen, done.get("reorg_events", 0), span)
+        self.commit(batch, source, seen, done.get("reorg_events", 0), span, done.get("quarantined", 0))
         return seen
 
     def together(self, jobs: dict) -> dict:
@@ -173,6 +185,17 @@ class Store:
         """Tell the catalogue how wide a bucket is, so that it can prune by height."""
         return df.withMetadata("block_bucket", {"width": self.bucket_width})
 
+    # ---- rows set aside
+
+    def append_quarantine(self, bad: DataFrame, batch: str) -> int:
+        seen = Observation(f"quarantine-{batch}")
+        (bad.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+         .parquet(self.path("quarantine", f"batch={batch}")))
+        return seen.get["n"]
+
+    def quarantine(self) -> DataFrame:
+        return self._read("quarantine", QUARANTINE, [BATCH]).join(self.committed_batches(), "batch", "left_semi")
+
     # ---- maintained daily statistics
 
     def append_daily(self, transactions_with_time: DataFrame, batch: str) -> None:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from forkline import schemas
 from forkline.operators import flatten
 from forkline.sources import backfill
 from forkline.sources.store import Store
@@ -11,8 +12,9 @@ from forkline.streaming.retry import with_retry
 
 def ingest_batch(store: Store, batch: DataFrame, batch_id: int, time_unit: str = "s", daily: bool = True,
                  prefix: str = "st", **retry) -> None:
-    """Write one micro-batch.  Rows of all four tables, the daily partials and then the
-    progress row.  A batch that is committed is left alone; one that is not is written anew."""
+    """Write one micro-batch.  Rows of all four tables, those set aside, the daily partials and
+    then the progress row.  A batch that is committed is left alone; one that is not is
+    written anew."""
     name = f"{prefix}-{batch_id:012d}"
     if not store.progress().where(F.col("batch") == name).isEmpty():
         return
@@ -24,7 +26,9 @@ def ingest_batch(store: Store, batch: DataFrame, batch_id: int, time_unit: str =
         if daily:
             timed = flatten.flatten_transactions(batch, time_unit, block_time=True)
             also["daily"] = lambda: store.append_daily(timed, name)
-        store.write_batch(flatten.flatten(batch, time_unit), name, "stream", also=also)
+        good, bad = flatten.set_aside(flatten.flatten(batch, time_unit), schemas.WIDTHS, batch)
+        also["quarantined"] = lambda: store.append_quarantine(bad, name)
+        store.write_batch(good, name, "stream", also=also)
 
     with_retry(write, **retry)
 
@@ -32,8 +36,9 @@ def ingest_batch(store: Store, batch: DataFrame, batch_id: int, time_unit: str =
 def start(store: Store, notifications: DataFrame, checkpoint: str, processing_time: str | None = None,
           time_unit: str = "s", daily: bool = True, **retry) -> StreamingQuery:
     """Start ingesting.  Batches carry the id that Spark keeps in the checkpoint, so two
-    streams, or one with a new checkpoint, never write each other's batches.  Without ``processing_time`` everything available is drained and
-    the query ends; a trigger like ``"100 milliseconds"`` keeps it running."""
+    streams, or one with a new checkpoint, never write each other's batches.  Without
+    ``processing_time`` everything available is drained and the query ends; a trigger like
+    ``"100 milliseconds"`` keeps it running."""
     known = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
