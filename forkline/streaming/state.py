@@ -44,13 +44,32 @@ def finalized(blocks: DataFrame, finality: str = "1 hour") -> DataFrame:
 
     The watermark on the block time bounds the state: a key is emitted with its net sign
     and dropped when the watermark passes it.  Rows later than that are counted by Spark
-    in ``numRowsDroppedByWatermark``; choose ``finality`` beyond the deepest reorg.
+    in ``numRowsDroppedByWatermark``; :func:`late_outcomes` finds them in the change log.
     """
     keyed = blocks.withWatermark("timestamp", finality)
     return keyed.groupBy("timestamp", "block_number", "hash").agg(
         F.sum("sign").alias("net"), F.max(F.when(F.col("sign") == 1, F.col("seq"))).alias("seq"))
 
 
+def late_outcomes(finals: DataFrame, blocks: DataFrame, until) -> DataFrame:
+    """Blocks up to time ``until`` whose outcome is not the one that ``finalized`` emitted:
+    rows that came after the watermark changed it, or it never appeared.  The change log
+    holds every row, so nothing that the stream dropped is lost."""
+    truth = (blocks.where(F.col("timestamp") <= until).groupBy("timestamp", "block_number", "hash")
+             .agg(F.sum("sign").alias("net"), F.max(F.when(F.col("sign") == 1, F.col("seq"))).alias("seq")))
+    emitted = finals.select("block_number", "hash", F.col("net").alias("final_net"), F.col("seq").alias("final_seq"))
+    return (truth.join(emitted, ["block_number", "hash"], "left")
+            .where("final_net IS NULL OR final_net <> net OR NOT final_seq <=> seq"))
+
+
+def corrected(finals: DataFrame, blocks: DataFrame, until) -> DataFrame:
+    """What ``finalized`` emitted up to ``until``, with late outcomes in the place of theirs."""
+    late = late_outcomes(finals, blocks, until)
+    columns = ["timestamp", "block_number", "hash", "net", "seq"]
+    return (finals.where(F.col("timestamp") <= until).join(late, ["block_number", "hash"], "left_anti").select(*columns)
+            .unionByName(late.select(*columns)))
+
+
 def block_series(blocks: DataFrame, interval: str = "5 minutes", watermark: str = "1 hour") -> DataFrame:
     """Tumbling series in which reverts subtract what their commits added."""
     return (blocks.withWatermark("timestamp", watermark)
