@@ -5,7 +5,7 @@ owns `NODES` points of the ring and takes the documents that lie in the arcs bef
 its bound; those of an arc that find it full continue clockwise to the next shard with room.  So counts
 differ by one at most, and a document moves only when its shard, or those it passed, fill differently.
 
-The ring is cut into `CELLS` cells per arc.  Counts per cell (a table whose size depends on the number
+The documents of an arc are dealt into `CELLS` cells.  Counts per cell (a table whose size depends on the number
 of shards only) give each document its rank in its arc; the walk is a fold over the arcs' counts.
 
 Cases: null text counts as empty (size 8, checksum 0); null doc_ids lie at one place of the ring;
@@ -74,13 +74,13 @@ def shard(docs, shards, doc_id="doc_id", text="text", nodes=NODES, cells=CELLS):
                     F.crc32(body.cast("binary")).alias("text_crc32"))
     d = d.withColumn("p", _point(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     arcs = ring(spark, shards, nodes)
-    # slot of the ring's table of arcs: a cell is a fixed piece of the ring that lies in one arc or meets few
-    all_arcs = F.broadcast(arcs.agg(F.sort_array(F.collect_list(F.struct("hi", "arc"))).alias("hs")))
+    # the ends of the arcs are one bounded array, searched by halves
+    ends = arcs.agg(F.sort_array(F.collect_list(F.struct("hi", "arc"))).alias("hs")).scalar()
     find = """coalesce(aggregate(sequence(1, {steps}), named_struct('l', 0L, 'h', bigint(size(hs))),
         (s, i) -> IF(s.l >= s.h, s, IF(hs[int((s.l + s.h) div 2)].hi < p,
             named_struct('l', (s.l + s.h) div 2 + 1, 'h', s.h), named_struct('l', s.l, 'h', (s.l + s.h) div 2))),
         s -> IF(s.l >= size(hs), 0L, s.l)), 0L)""".format(steps=(shards * nodes).bit_length() + 1)
-    d = d.crossJoin(all_arcs).withColumn("arc", F.expr(find).cast("int")).drop("hs")
+    d = d.withColumn("hs", ends).withColumn("arc", F.expr(find).cast("int")).drop("hs")
     d = d.withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(cells)).cast("int"))
     cell = d.groupBy("arc", "cell").agg(F.count("*").alias("c"))
     before = Window.partitionBy("arc").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
