@@ -25,13 +25,10 @@ def near_dedup(spark, docs, sf_dir):
 
 def substring_dedup(spark, docs, sf_dir):
     """Words of passages that occur again go; untouched documents keep their text as it is."""
-    cut = substring.remove_repeats(docs).filter("n_removed > 0").select(
-        "doc_id", F.col("text").alias("old"), F.col("kept_text").alias("new")).distinct()
-    d = docs.alias("d").join(cut.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
-                             & (F.col("d.text") == F.col("c.old")), "left")
-    text = F.coalesce("c.new", "d.text")
-    new = {"text": text, "n_chars": F.char_length(text).cast("long")}
-    return d.select(*[new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
+    rest = [c for c in docs.columns if c != "text"]
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    new = {c: F.col(f"c{i}") for i, c in enumerate(rest)} | {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return substring.remove_repeats(docs, carry=rest).select(*[new[c].alias(c) for c in docs.columns])
 
 
 def redact_pii(spark, docs, sf_dir):

@@ -23,8 +23,8 @@ def written(spark, df, label):
     return spark.read.parquet(path)
 
 
-def keyed(docs, doc_id="doc_id", text="text"):
-    """doc_id, text and a key (k1, k2) that is never null.
+def keyed(docs, doc_id="doc_id", text="text", carry=()):
+    """doc_id, text, a key (k1, k2) that is never null, and the columns of `carry` as c0, c1 ...
 
     Rows that share a doc_id but not the text get different keys; fully repeated rows share one,
     and with it their result.
@@ -33,7 +33,8 @@ def keyed(docs, doc_id="doc_id", text="text"):
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).cast("string").alias("text"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("k1"),
-        F.hash(F.col(text), F.col(doc_id).isNull()).alias("k2"))
+        F.hash(F.col(text), F.col(doc_id).isNull()).alias("k2"),
+        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
 
 
 class WordHashes(dict):

@@ -23,9 +23,10 @@ rows; other columns are not read.
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from forkline.llm.common import WordHashes, keyed, mix, rolling, slices, sliding, strings, written
+from forkline.llm.common import WordHashes, keyed, mix, rolling, sliding, strings, written
 
 WINDOW, PHRASE = 35, 8
 HOT = 10_000
@@ -173,25 +174,29 @@ def search_shards(batches):
 
 
 def strip(batches):
-    """The kept words of each text, joined by one space."""
-    for pdf in batches:
+    """The kept words of each text, joined by one space; further columns are handed on."""
+    for batch in batches:
         total, removed, kept = [], [], []
-        for text, spans in zip(strings(pdf["text"]), pdf["spans"], strict=True):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
             words = text.encode().split() if text else []
             gone = np.zeros(len(words), bool)
-            for a, b in spans if spans is not None else ():
+            for a, b in spans or ():
                 gone[a:b] = True
             total.append(len(words))
             removed.append(int(gone.sum()))
             kept.append(b" ".join(words if not removed[-1] else [words[i] for i in np.flatnonzero(~gone)]).decode())
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": pdf["text"], "n_words": total, "n_removed": removed,
-                            "kept_text": kept})
+        rest = [c for c in batch.schema.names if c not in ("doc_id", "text", "spans")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+             pa.array(kept, pa.string()), *[batch.column(c) for c in rest]],
+            names=["doc_id", "text", "n_words", "n_removed", "kept_text", *rest])
 
 
-def remove_repeats(docs, doc_id="doc_id", text="text"):
-    """One row per document: doc_id, text, n_words, n_removed, kept_text."""
+def remove_repeats(docs, doc_id="doc_id", text="text", carry=()):
+    """One row per document: doc_id, text, n_words, n_removed, kept_text, and the columns of `carry` as c0, c1 ..."""
     spark = docs.sparkSession
-    d = keyed(docs, doc_id, text)
+    d = keyed(docs, doc_id, text, carry)
+    more = [f"c{i}" for i in range(len(carry))]
     a = written(spark, d.select("text", "k1", "k2").mapInPandas(
         find_anchors, "k1 long, k2 int, n_words long, t1 long, t2 long, anchors array<long>"), "anchors")
     named = a.filter("n_words >= 35")
@@ -205,7 +210,7 @@ def remove_repeats(docs, doc_id="doc_id", text="text"):
             .join(one, ["k1", "k2"]).select("k1", "k2", "copies", "x.anchor", "x.hot").toDF(
                 "k1", "k2", "copies", "anchors", "hot"))
     # the same columns as in the last join, so that documents are shuffled once for both
-    segments = d.join(hits, ["k1", "k2"]).select("doc_id", "text", "k1", "k2", "copies", "anchors", "hot").mapInPandas(
+    segments = d.join(hits, ["k1", "k2"]).select("doc_id", "text", "k1", "k2", *more, "copies", "anchors", "hot").mapInPandas(
         cut_segments, "k1 long, k2 long, start long, anchor long, copies long, segment string").withColumn(
         "h", F.xxhash64("segment"))
     distinct = segments.groupBy("anchor", "h", "segment").agg(F.sum("copies").alias("n"))
@@ -218,5 +223,7 @@ def remove_repeats(docs, doc_id="doc_id", text="text"):
              .join(same.select("t1", "t2", F.col("k.k1").alias("r1"), F.col("k.k2").alias("r2")), ["t1", "t2"])
              .join(spans.toDF("r1", "r2", "s"), ["r1", "r2"]).select("k1", "k2", "s"))
     pairs = F.expr("transform(sequence(0, cast(size(s) / 2 as int) - 1), i -> array(s[2 * i], s[2 * i + 1]))")
-    return (d.join(every, ["k1", "k2"], "left").select("doc_id", "text", F.when(F.col("s").isNotNull(), pairs).alias("spans"))
-            .mapInPandas(strip, "doc_id long, text string, n_words long, n_removed long, kept_text string"))
+    schema = "doc_id long, text string, n_words long, n_removed long, kept_text string" + "".join(
+        f", {c} {kind}" for c, kind in d.select(*more).dtypes)
+    return (d.join(every, ["k1", "k2"], "left")
+            .select("doc_id", "text", *more, F.when(F.col("s").isNotNull(), pairs).alias("spans")).mapInArrow(strip, schema))
