@@ -6,10 +6,13 @@ zeros and 10 bits of mantissa.  Filling buckets by functions of their own, not b
 set, leaves none empty in a text of a few shingles, so short texts are found as surely as long ones.
 
 Work goes on sets, not documents: equal sets are one node.  Bands of registers make groups.  Every
-member of a group is first compared with the group's smallest node only, which joins nearly all of
-it; then members of a group that are still in different components are compared block by block, so a
-group of near copies never unfolds into its pairs and yet every pair in a group ends up either
-compared or connected.  A pair at 0.75 shares one of 32 bands of 4 registers with probability 1 - 6e-6.
+member of a group is first compared with the group's smallest node only.  Then members of a group that
+are still in different components are compared inside blocks: at first each confirms only its likeliest
+partner in another component, which joins nearly all of a group of near copies; at last all that are
+still apart are compared by registers and then by their sets (as 32-bit hashes, to be confirmed on the
+texts like any other).  So a group never unfolds into its pairs and yet every pair in a group ends up
+either compared or connected.  A pair at 0.75 shares one of 32 bands of 4
+registers with probability 1 - 6e-6 and passes the estimate with probability 1 - 4e-5.
 
 Cases: null, empty and blank texts have the empty set and are linked with nothing (component is the
 own id, kept).  A null doc_id takes no part in links (component null, kept true).  Rows that repeat a
@@ -26,9 +29,9 @@ from forkline.llm.components import components
 BUCKETS, ROWS = 128, 4
 MANTISSA = 10
 WIDTH = 5
-#: Six standard deviations of the estimate at 0.75 below it.
-LEAST_ESTIMATE = 0.5
-BLOCK = 256
+#: Four standard deviations of the estimate at 0.75 below it.
+LEAST_ESTIMATE = 0.6
+BLOCK = 1024
 
 _rng = np.random.default_rng(7)
 FACTORS = _rng.integers(0, 2**63, BUCKETS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,7 +87,7 @@ def signatures(batches):
             regs = registers(minima).astype("<u2")
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"].iloc[start:end].to_numpy(), "n_shingles": sizes,
-                "fp1": fp[0].view(np.int64), "fp2": fp[1].view(np.int64), "regs": [r.tobytes() for r in regs]})
+                "fp1": fp[0].view(np.int64), "fp2": fp[1].view(np.int64), "regs": pd.Series([r.tobytes() for r in regs], dtype=object)})
 
 
 SIGNATURE = "doc_id long, n_shingles long, fp1 long, fp2 long, regs binary"
@@ -137,37 +140,93 @@ def _verified(pairs, nodes, texts):
     return p.mapInPandas(_confirm, "a long, b long").toDF("u", "v")
 
 
-def _blocks(batches):
-    """Estimated pairs of different components in each (key, i, j); rows come sorted by these."""
+def _hashes(batches):
+    """The set of each text as sorted 32-bit hashes."""
+    hashes = WordHashes()
+    for pdf in batches:
+        out = []
+        for text in strings(pdf["text"]):
+            h = hashes.of(words_of(text))
+            out.append(np.unique((rolling(h, min(WIDTH, len(h))) >> np.uint64(32)).astype(np.uint32)).tobytes())
+        yield pd.DataFrame({"node": pdf["node"], "hashes": pd.Series(out, index=pdf.index, dtype=object)})
+
+
+def _alike(a, b):
+    """Jaccard of two sorted arrays."""
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int((b[at] == a).sum())
+    return both / (len(a) + len(b) - both)
+
+
+def _blocks(batches, likeliest):
+    """Pairs of different components with a fitting estimate in each (key, i, j); rows come sorted by these.
+
+    A pair is given in the first band it shares only.  With `likeliest` each node gives its best pair
+    alone; without, the rows hold the sets and a pair must be nearly 0.75 alike by these.
+    """
     def pairs(g):
-        left, right = g[g["side"] != 2], g[g["side"] != 1]
+        left, right = np.flatnonzero(g["side"] != 2), np.flatnonzero(g["side"] != 1)
         if not len(left) or not len(right):
             return None
-        ra, rb = _matrix(left["regs"]), _matrix(right["regs"])
-        a, b = left["node"].to_numpy(), right["node"].to_numpy()
-        ca, cb = left["component"].to_numpy(), right["component"].to_numpy()
-        na, nb = left["n_shingles"].to_numpy(float), right["n_shingles"].to_numpy(float)
-        out = []
-        for k in range(len(a)):
-            m = np.flatnonzero((cb != ca[k]) & (4 * np.minimum(nb, na[k]) >= 3 * np.maximum(nb, na[k])))
-            m = m[estimate(ra[k:k + 1], rb[m], na[k], nb[m]) >= LEAST_ESTIMATE] if len(m) else m
-            out.append(np.stack([np.minimum(a[k], b[m]), np.maximum(a[k], b[m])], axis=1))
-        found = np.unique(np.concatenate(out), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-    def groups(frame):
-        k = frame[["key", "i", "j"]].to_numpy()
-        cuts = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-        return [frame.iloc[s:e] for s, e in zip(np.r_[0, cuts], np.r_[cuts, len(frame)], strict=True)]
+        regs = _matrix(g["regs"])
+        node, part, n = g["node"], g["component"], g["n_shingles"].astype(float)
+        band, out = int(g["band"][0]), []
+        if not likeliest:
+            sets = [np.frombuffer(x, np.uint32) for x in g["hashes"]]
+        for k in left:
+            m = right[(part[right] != part[k]) & (4 * np.minimum(n[right], n[k]) >= 3 * np.maximum(n[right], n[k]))]
+            if not len(m):
+                continue
+            shared = (regs[k] == regs[m]).reshape(len(m), -1, ROWS).all(axis=2)
+            m = m[~shared[:, :band].any(axis=1)]
+            e = estimate(regs[k:k + 1], regs[m], n[k], n[m])
+            if likeliest:
+                m = m[np.lexsort((node[m], -e))][:1] if len(m) and e.max() >= 0.75 else m[:0]
+            else:
+                m = np.array([x for x in m[e >= LEAST_ESTIMATE] if _alike(sets[k], sets[x]) >= 0.74], np.int64)
+            out += [(min(node[k], x), max(node[k], x)) for x in node[m]]
+        return out
+
+    def found(frame, last):
+        """The pairs of the groups in a frame, but for the last unless it is the end; what is left."""
+        columns = {c: frame[c].to_numpy() for c in frame.columns}
+        k = np.stack([columns[c] for c in ("key", "i", "j")])
+        cuts = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
+        starts, ends = np.r_[0, cuts], np.r_[cuts, len(frame)]
+        if not last:
+            starts, ends = starts[:-1], ends[:-1]
+        rows = {x for s, e in zip(starts, ends, strict=True) for x in pairs({c: v[s:e] for c, v in columns.items()}) or ()}
+        out = pd.DataFrame(sorted(rows), columns=["a", "b"], dtype="int64")
+        return out, frame.iloc[ends[-1] if len(ends) else 0:]
 
     rest = None
     for pdf in batches:
-        if not len(pdf):
-            continue
-        *done, rest = groups(pdf if rest is None else pd.concat([rest, pdf], ignore_index=True))
-        yield from (x for x in map(pairs, done) if x is not None)
-    if rest is not None and (x := pairs(rest)) is not None:
-        yield x
+        if len(pdf):
+            out, rest = found(pdf if rest is None else pd.concat([rest, pdf], ignore_index=True), False)
+            yield out
+    if rest is not None:
+        yield found(rest, True)[0]
+
+
+def _apart(members, nodes, groups, texts, likeliest):
+    """Candidate pairs among members of a group that are in different components, by blocks of BLOCK members."""
+    placed = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    placed = placed.join(apart.select("key"), "key", "left_semi").withColumn(
+        "blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.hash("node"), "blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    tiles = (placed.select("key", "band", "node", "component", "blk", other.alias("o"))
+             .select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "band", "node", "component",
+                     F.expr("CASE WHEN blk = o THEN 0 WHEN blk < o THEN 1 ELSE 2 END").alias("side"))
+             .join(nodes.select("node", "n_shingles", "regs"), "node"))
+    if not likeliest:
+        sets = texts.join(placed.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        tiles = tiles.join(sets.toDF("node", "text").mapInPandas(_hashes, "node long, hashes binary"), "node")
+    tiles = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def compare(batches):
+        yield from _blocks(batches, likeliest)
+    return tiles.mapInPandas(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs, doc_id="doc_id", text="text"):
@@ -180,7 +239,7 @@ def near_duplicates(docs, doc_id="doc_id", text="text"):
     nodes = written(spark, sets, "nodes")
     bands = F.explode(F.sequence(F.lit(0), F.lit(BUCKETS // ROWS - 1)))
     posts = (nodes.select("node", "regs", bands.alias("band"))
-             .select("node", F.xxhash64(F.expr(f"substring(regs, {2 * ROWS} * band + 1, {2 * ROWS})"), "band").alias("key")))
+             .select("node", "band", F.xxhash64(F.expr(f"substring(regs, {2 * ROWS} * band + 1, {2 * ROWS})"), "band").alias("key")))
     shared = posts.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     members = written(spark, posts.join(shared, "key"), "members")
     # copies share their text with their node, so one text per node is enough
@@ -189,20 +248,11 @@ def near_duplicates(docs, doc_id="doc_id", text="text"):
     edges = written(spark, _verified(star, nodes, texts), "edges")
     groups = components(spark, edges)
 
-    placed = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    placed = placed.join(apart.select("key"), "key", "left_semi").withColumn(
-        "blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.hash("node"), "blocks"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tiles = (placed.select("key", "node", "component", "blk", other.alias("o"))
-             .select("key", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "node", "component",
-                     F.expr("CASE WHEN blk = o THEN 0 WHEN blk < o THEN 1 ELSE 2 END").alias("side"))
-             .join(nodes.select("node", "n_shingles", "regs"), "node"))
-    tiles = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    more = tiles.mapInPandas(_blocks, "a long, b long").distinct()
-    late = written(spark, _verified(more, nodes, texts), "edges")
-    if not late.isEmpty():
-        groups = components(spark, edges.union(late))
+    for likeliest in (True, False):
+        late = written(spark, _verified(_apart(members, nodes, groups, texts, likeliest), nodes, texts), "edges")
+        if not late.isEmpty():
+            edges = edges.union(late)
+            groups = components(spark, edges)
 
     sets = nodes.join(groups, "node", "left").select(
         "fp1", "fp2", "n_shingles", F.coalesce("component", "node").alias("component"))
