@@ -10,42 +10,36 @@ columns of the input are not looked at, so their names cannot clash.
 
 from pyspark.sql import functions as F
 
-from forkline.llm.common import WHITE
-
 # The phrases of page furniture, matched in lower case.
 BOILERPLATE = ("all rights reserved", "privacy policy", "cookie policy", "terms of use", "terms of service",
                "enable javascript", "click here", "subscribe to our newsletter", "sign up for our newsletter",
                "lorem ipsum", "powered by wordpress", "skip to content", "share on facebook", "share on twitter")
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "[|>»•·]"
-ENDS = r"[.!?…:;,。！？][\"'”’»)\]]*$"
-
-
-def _measure(col):
-    """Code points that are no white space."""
-    return F.char_length(F.translate(col, WHITE, ""))
+ENDS = r"[.!?…:;,。！？][\"'”’»)\]]*[\x20\x09-\x0D]*\z"
+SPACE = r"[\x20\x09-\x0D]+"
 
 
-def _words(col):
-    return F.array_remove(F.split(F.translate(col, WHITE[1:], " " * (len(WHITE) - 1)), " "), "")
+def _words(line):
+    return F.array_remove(F.split(line, SPACE), "")
 
 
-def _symbols(col):
-    return F.char_length(col) - F.char_length(F.translate(col, SYMBOLS, ""))
+def _symbols(line):
+    return F.regexp_count(line, F.lit(f"[{SYMBOLS}]"))
 
 
-def line_fails(line, short_line=10, symbol_share=0.1, separators=2):
-    """True for a line that is no prose.
+def line_fails(line, low, words, chars, symbols, short_line=10, symbol_share=0.1, separators=2):
+    """True for a line that is no prose; `low` is it in lower case.
 
     punctuation: a line of fewer than `short_line` words without a closing mark, or any line in which
     symbols are more than `symbol_share` of its characters; navigation: `separators` or more menu
     separators among fewer than 3 * `short_line` words; boilerplate: a known phrase.
     """
-    n = F.size(_words(line))
-    punctuation = ((n < short_line) & ~F.rtrim(F.translate(line, WHITE[1:], " " * 5)).rlike(ENDS)) | (
-        _symbols(line) > symbol_share * _measure(line))
-    navigation = (n < 3 * short_line) & (F.regexp_count(line, F.lit(SEPARATORS)) >= separators)
-    boilerplate = F.lower(line).rlike("|".join(BOILERPLATE))
+    punctuation = (symbols > symbol_share * chars) | ((words < short_line) & ~line.rlike(ENDS))
+    navigation = (words < 3 * short_line) & (F.regexp_count(line, F.lit(SEPARATORS)) >= separators)
+    boilerplate = F.lit(False)
+    for phrase in BOILERPLATE:
+        boilerplate = boilerplate | F.contains(low, F.lit(phrase))
     return punctuation | navigation | boilerplate
 
 
@@ -67,19 +61,26 @@ def measure_lines(docs, doc_id="doc_id", text="text", least_words=50, repeat_per
     characters of its words.
     """
     d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    d = d.select("doc_id", "t", _words(F.col("t")).alias("w"), F.split("t", "\n", -1).alias("lines"))
+    # a line feed parts words as well, so the words of the lines are the words of the text
+    d = d.select("doc_id", F.transform(F.split("t", "\n", -1), lambda x: F.struct(
+        x.alias("line"), _words(x).alias("w"), F.lower(x).alias("low"), _symbols(x).alias("symbols"))).alias("l"))
+    d = d.select("doc_id", F.flatten(F.transform("l", lambda x: x["w"])).alias("w"), F.transform("l", lambda x: F.struct(
+        x["line"].alias("line"), x["low"].alias("low"), x["symbols"].alias("symbols"), F.size(x["w"]).alias("n"),
+        F.aggregate(x["w"], F.lit(0), lambda a, y: a + F.char_length(y)).alias("chars"))).alias("l"))
+    d = d.select("doc_id", "w", F.transform("l", lambda x: F.struct(
+        x["line"].alias("line"), x["symbols"].alias("symbols"), x["chars"].alias("chars"),
+        ((x["chars"] > 0) & line_fails(x["line"], x["low"], x["n"], x["chars"], x["symbols"], **rules)).alias("bad"))).alias("l"))
+    total = lambda col, name: F.aggregate(col, F.lit(0), lambda a, x: a + x[name]).cast("long")
     d = d.select(
-        "doc_id", F.size("w").cast("long").alias("n_words"),
-        _measure(F.col("t")).cast("long").alias("word_chars"),
-        _symbols(F.col("t")).cast("long").alias("n_symbols"),
-        F.filter("lines", lambda x: _measure(x) > 0).alias("full"),
-        F.filter("lines", lambda x: (_measure(x) == 0) | ~line_fails(x, **rules)).alias("good"),
-        _repeat_words(F.col("w")).alias("s"))
+        "doc_id", F.size("w").cast("long").alias("n_words"), total("l", "chars").alias("word_chars"),
+        total("l", "symbols").alias("n_symbols"),
+        F.transform(F.filter("l", lambda x: x["chars"] > 0), lambda x: x["line"]).alias("full"),
+        F.filter("l", lambda x: ~x["bad"]).alias("good"), _repeat_words(F.col("w")).alias("s"))
     same = lambda x, y: F.coalesce(x["h"] == y["h"], F.lit(False))
     d = d.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "good",
         (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
-        F.aggregate("good", F.lit(0), lambda a, x: a + _measure(x)).cast("long").alias("kept_chars"),
+        total("good", "chars").alias("kept_chars"),
         F.sort_array(F.transform(F.filter("s", lambda x, j: same(x, F.get(F.col("s"), j - 1))
                                           | same(x, F.get(F.col("s"), j + 1))), lambda x: x["i"])).alias("p"))
     gaps = F.transform("p", lambda x, j: F.least(F.coalesce(F.get(F.col("p"), j + 1) - x, F.lit(3)), F.lit(3)))
@@ -91,7 +92,7 @@ def measure_lines(docs, doc_id="doc_id", text="text", least_words=50, repeat_per
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), "kept_chars",
         (~failed & (F.col("kept_chars") >= (1 - lost_share) * F.col("word_chars"))).alias("kept"),
-        F.array_join("good", "\n").alias("clean_text"))
+        F.array_join(F.transform("good", lambda x: x["line"]), "\n").alias("clean_text"))
 
 
 def clean(docs, text="text", n_chars="n_chars", **options):
