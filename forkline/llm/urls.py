@@ -3,8 +3,8 @@
 The regression reads the n-grams of host and path, hashed into a fixed number of weights, and is fitted
 to the labelled table below.
 
-Cases: a null url or one without :// has an empty host and path, so no rule fits, and the model judges
-the empty text (allow); urls are read whole; repeated rows get equal results; an empty table gives no
+Cases: a null url or one without :// has an empty host and path, so no rule fits and the
+verdict is allow; urls are read whole; repeated rows get equal results; an empty table gives no
 rows; other columns are not read.
 """
 
@@ -136,6 +136,9 @@ def fit(blocked=BLOCK, allowed=ALLOW, rounds=200, rate=0.5, penalty=1e-3):
 
 
 def probability(weights, host, path):
+    """How likely a url is to be blocked; 0 without a host, of which the model has learned nothing."""
+    if not host:
+        return 0.0
     g = grams(host, path)
     return float(1 / (1 + np.exp(-weights[g].sum() / np.sqrt(len(g)))))
 
