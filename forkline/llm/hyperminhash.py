@@ -12,7 +12,7 @@ partner in another component, which joins nearly all of a group of near copies;
 still apart are compared by registers and then by their sets (as 32-bit hashes, to be confirmed on the
 texts like any other).  So a group never unfolds into its pairs and yet every pair in a group ends up
 either compared or connected.  A pair at 0.75 shares one of 32 bands of 4
-registers with probability 1 - 6e-6 and passes the estimate with probability 1 - 4e-5.
+registers with probability 1 - 6e-6 and passes the estimate with probability 1 - 1e-9.
 
 Cases: null, empty and blank texts have the empty set and are linked with nothing (component is the
 own id, kept).  A null doc_id takes no part in links (component null, kept true).  Rows that repeat a
@@ -29,8 +29,8 @@ from forkline.llm.components import components
 BUCKETS, ROWS = 128, 4
 MANTISSA = 10
 WIDTH = 5
-#: Four standard deviations of the estimate at 0.75 below it.
-LEAST_ESTIMATE = 0.6
+#: Six standard deviations of the estimate at 0.75 below it.
+LEAST_ESTIMATE = 0.5
 BLOCK = 1024
 
 _rng = np.random.default_rng(7)

@@ -148,6 +148,16 @@ def test_chain_of_near_copies_is_one_component(spark):
     assert got == {i: v[1] for i, v in brute_links(rows).items()} and set(got.values()) == {941}
 
 
+@pytest.mark.parametrize("i", [2681, 15849])
+def test_pair_at_the_limit_with_a_low_estimate(spark, i):
+    """Just 0.75 alike (3 of 4 shingles), but with an estimate below 0.6."""
+    w = [f"w{i}-{j}" for j in range(8)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[:7]))]
+    got = {r["doc_id"]: r["component_id"] for r in rows_of(hyperminhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert got == {i: v[1] for i, v in brute_links(rows).items()} == {1: 1, 2: 1}
+
+
 def test_estimate_corrects_collisions():
     import numpy as np
     minima = np.array([1, 2, 3, 2**63, 2**64 - 1, 0, 2**53 + 1], np.uint64)
