@@ -255,6 +255,24 @@ def test_packing(docs):
     assert rows_of(packing.pack(empty(docs), path)) == []
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 1_000_100 + "b", "a<|endoftext|>" + "\n" * 1_500_000 + " b"])
+def test_packing_ids_of_very_long_blank_runs(text):
+    path = queries.tokenizer()
+    from tokenizers import Tokenizer
+    ids, fast = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, packing.LibraryIds(path)
+    assert fast.of(text) == b"".join(i.to_bytes(4, "little") for i in ids)
+    assert bpe.Encoder(path).encode(text) == ids
+    assert fast.of("the next") == b"".join(i.to_bytes(4, "little") for i in bpe.Encoder(path).encode("the next"))
+
+
+def test_packing_of_a_very_long_blank_run(spark):
+    d = spark.createDataFrame([(1, "a" + " " * 1_000_100 + "b"), (2, "a b")], "doc_id long, text string")
+    got = {}
+    for r in rows_of(packing.pack(d, queries.tokenizer())):
+        got.setdefault(r["doc_id"], []).append((r["length"], r["doc_tokens"]))
+    assert all(sum(n for n, _ in x) == x[0][1] for x in got.values()) and set(got) == {1, 2}
+
+
 def test_shortest_pack_first():
     rnd = random.Random(2)
     for _ in range(50):
