@@ -26,14 +26,15 @@ def written(spark, df, label):
 def keyed(docs, doc_id="doc_id", text="text", carry=()):
     """doc_id, text, a key (k1, k2) that is never null, and the columns of `carry` as c0, c1 ...
 
-    Rows that share a doc_id but not the text get different keys; fully repeated rows share one,
-    and with it their result.
+    Rows that share a doc_id but not the text get different keys (128 bits tell texts apart); fully
+    repeated rows share one, and with it their result.
     """
     return docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).cast("string").alias("text"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("k1"),
-        F.hash(F.col(text), F.col(doc_id).isNull()).alias("k2"),
+        # the column before the text is its seed, so the two hashes of a text are unlike each other
+        F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string")).alias("k1"),
+        F.xxhash64(F.col(doc_id).isNull(), F.col(text).cast("string")).alias("k2"),
         *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
 
 

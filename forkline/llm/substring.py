@@ -198,7 +198,7 @@ def remove_repeats(docs, doc_id="doc_id", text="text", carry=()):
     d = keyed(docs, doc_id, text, carry)
     more = [f"c{i}" for i in range(len(carry))]
     a = written(spark, d.select("text", "k1", "k2").mapInPandas(
-        find_anchors, "k1 long, k2 int, n_words long, t1 long, t2 long, anchors array<long>"), "anchors")
+        find_anchors, "k1 long, k2 long, n_words long, t1 long, t2 long, anchors array<long>"), "anchors")
     named = a.filter("n_words >= 35")
     repeated = (named.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("c"))
                 .filter("c > 1").select("anchor", (F.col("c") > HOT).alias("hot")))

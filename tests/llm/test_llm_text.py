@@ -103,6 +103,24 @@ def test_substring(docs, monkeypatch, hot, automaton):
     assert rows_of(substring.remove_repeats(empty(docs))) == []
 
 
+@pytest.mark.parametrize("i,other", [(124928, "short n6585"), (None, None)])
+def test_substring_of_texts_with_equal_short_hashes(spark, i, other):
+    """Different texts without a doc_id whose 32-bit hashes are equal."""
+    from pyspark.sql import functions as F
+    p, q = (" ".join(f"{x}{k}" for k in range(40)) for x in "pq")
+    if i is None:
+        n = spark.range(400_000).select(F.col("id").cast("string").alias("n"))
+        a, b = (n.select(F.concat(F.lit(f"{x} n"), "n").alias(c)) for x, c in ((p, "a"), (q, "b")))
+        i, other = a.join(b, F.hash("a", F.lit(True)) == F.hash("b", F.lit(True))).orderBy("a").first()
+    else:
+        i = f"{p} n{i}"
+    rows = [(None, i), (None, other), (1, p), (2, q), (None, i)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert df.filter("doc_id IS NULL").select(F.hash("text", F.lit(True))).distinct().count() == 1
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in rows_of(substring.remove_repeats(df))), key=str)
+    assert got == brute_substring(rows)
+
+
 def brute_links(rows):
     sets = {i: hyperminhash.shingles(t) for i, t in rows if i is not None}
     up = {i: i for i in sets}
