@@ -1,18 +1,14 @@
 """The registered queries of this subpackage and their SQL."""
 
-import os
-
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from forkline.llm import bpe, hyperminhash, langid, packing, permutation, pii, quality, ring, substring, urls
+from forkline.llm import bpe, hyperminhash, langid, lines, merkle, packing, permutation, pii, quality, ring, substring, urls, whitening
 from forkline.llm.common import table
 
-#: Where the public tokenizer files lie.
-TOKENIZERS = os.environ.get("FORKLINE_TOKENIZERS", "/opt/tokenizers")
-
 
 def tokenizer(name="byte_bpe_50k.json"):
-    return os.path.join(TOKENIZERS, name)
+    return public_tokenizers.path(name)
 
 
 def quality_rules(spark, sf_dir):
@@ -67,6 +63,22 @@ def bpe_round_trip(spark, sf_dir):
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def perfect_hash_lines(spark, sf_dir):
+    return lines.drop_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def chebyshev_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def merkle_manifest(spark, sf_dir):
+    proofs = merkle.manifest(table(spark, sf_dir, "documents"), claim=merkle.tampered()).prove("claim")
+    proof = F.array_join(F.zip_with("before", "after", lambda b, a: F.concat(b, a)), "")
+    return proofs.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(proof, 256).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -83,7 +95,10 @@ QUERIES = {
     "op8_language_spans": language_spans,
     "op9_url_filter": url_filter,
     "op10_bpe": bpe_round_trip,
+    "op11_perfect_hash_lines": perfect_hash_lines,
+    "op12_chebyshev_whitening": chebyshev_whitening,
+    "op13_merkle_manifest": merkle_manifest,
     "pipeline": pipeline,
 }
 
-ORACLES = {"op1_quality_rules": quality.ORACLE}
+ORACLES = {"op1_quality_rules": quality.ORACLE, "op11_perfect_hash_lines": lines.ORACLE, "op13_merkle_manifest": merkle.ORACLE}

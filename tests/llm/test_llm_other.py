@@ -129,7 +129,7 @@ def test_quality_matches_sql(spark):
 
 
 def test_all_registered():
-    assert set(queries.QUERIES) <= set(entry.queries()) and len(queries.QUERIES) == 11
+    assert set(queries.QUERIES) <= set(entry.queries()) and len(queries.QUERIES) == 14
 
 
 @pytest.mark.parametrize("name", ["op4_bounded_ring", "op8_language_spans", "op9_url_filter"])
