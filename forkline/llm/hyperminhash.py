@@ -15,15 +15,17 @@ either compared or connected.  A pair at 0.75 shares one of 32 bands of 4
 registers with probability 1 - 6e-6 and passes the estimate with probability 1 - 1e-9.
 
 Cases: null, empty and blank texts have the empty set and are linked with nothing (component is the
-own id, kept).  A null doc_id takes no part in links (component null, kept true).  Rows that repeat a
-doc_id are one node; each row gets its result.  Empty tables give no rows.  Other columns are not read.
+own id, kept).  Every row is a document: rows that share a doc_id are linked by their texts alone, and a
+row without a doc_id links others like any; a component's id is its smallest doc_id, null where all are
+null, and `kept` compares null as equal.  Very long texts are whole sets, one in memory at a time.
+Repeated rows get equal results.  Empty tables give no rows.  Other columns are not read.
 """
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from forkline.llm.common import WordHashes, mix, rolling, slices, strings, written
+from forkline.llm.common import WordHashes, keyed, mix, rolling, slices, strings, written
 from forkline.llm.components import components
 
 BUCKETS, ROWS = 128, 4
@@ -86,11 +88,12 @@ def signatures(batches):
                     minima[own[first]] = np.minimum(minima[own[first]], least)
             regs = registers(minima).astype("<u2")
             yield pd.DataFrame({
-                "doc_id": pdf["doc_id"].iloc[start:end].to_numpy(), "n_shingles": sizes,
+                "doc_id": pdf["doc_id"].iloc[start:end].to_numpy(), "k1": pdf["k1"].iloc[start:end].to_numpy(),
+                "k2": pdf["k2"].iloc[start:end].to_numpy(), "n_shingles": sizes,
                 "fp1": fp[0].view(np.int64), "fp2": fp[1].view(np.int64), "regs": pd.Series([r.tobytes() for r in regs], dtype=object)})
 
 
-SIGNATURE = "doc_id long, n_shingles long, fp1 long, fp2 long, regs binary"
+SIGNATURE = "doc_id long, k1 long, k2 long, n_shingles long, fp1 long, fp2 long, regs binary"
 
 
 def estimate(a, b, n_a, n_b):
@@ -115,17 +118,17 @@ def _close(batches):
 
 
 def _confirm(batches):
-    known = {}
-    def of(node, text):
-        if node not in known:
-            if len(known) >= 64:
-                known.clear()
-            known[node] = shingles(text)
-        return known[node]
+    # a hub comes many times: its set is remembered, up to a bound on the shingles held
+    known, held = {}, 0
     for pdf in batches:
         good = []
         for a, b, ta, tb in zip(pdf["a"], pdf["b"], pdf["ta"], pdf["tb"], strict=True):
-            x, y = shingles(ta), of((b, tb), tb)
+            if b not in known:
+                if held > 200_000:
+                    known, held = {}, 0
+                known[b] = shingles(tb)
+                held += len(known[b])
+            x, y = shingles(ta), known[b]
             inter = len(x & y)
             good.append(100 * inter >= 75 * (len(x) + len(y) - inter))
         yield pdf.loc[np.array(good, bool), ["a", "b"]]
@@ -208,9 +211,9 @@ def _blocks(batches, likeliest):
         yield found(rest, True)[0]
 
 
-def _apart(members, nodes, groups, texts, likeliest):
+def _apart(members, nodes, linked, texts, likeliest):
     """Candidate pairs among members of a group that are in different components, by blocks of BLOCK members."""
-    placed = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = members.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     placed = placed.join(apart.select("key"), "key", "left_semi").withColumn(
         "blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("blk", F.pmod(F.hash("node"), "blocks"))
@@ -220,8 +223,8 @@ def _apart(members, nodes, groups, texts, likeliest):
                      F.expr("CASE WHEN blk = o THEN 0 WHEN blk < o THEN 1 ELSE 2 END").alias("side"))
              .join(nodes.select("node", "n_shingles", "regs"), "node"))
     if not likeliest:
-        sets = texts.join(placed.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        tiles = tiles.join(sets.toDF("node", "text").mapInPandas(_hashes, "node long, hashes binary"), "node")
+        sets = texts.join(placed.select("node").distinct(), "node", "left_semi")
+        tiles = tiles.join(sets.mapInPandas(_hashes, "node long, hashes binary"), "node")
     tiles = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def compare(batches):
@@ -229,36 +232,74 @@ def _apart(members, nodes, groups, texts, likeliest):
     return tiles.mapInPandas(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs, doc_id="doc_id", text="text"):
-    """One row per document: doc_id, n_shingles, component_id, kept (it is its component's smallest)."""
+def groups(docs, doc_id="doc_id", text="text"):
+    """One row per document: doc_id, k1, k2 (`common.keyed`), n_shingles, component_id, kept, and `stays`:
+    whether this is the document of its component with the smallest doc_id (nulls last, then by key)."""
     spark = docs.sparkSession
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    d = keyed(docs, doc_id, text)
     sig = written(spark, d.mapInPandas(signatures, SIGNATURE), "signatures")
-    full = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = full.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("regs").alias("regs"))
-    nodes = written(spark, sets, "nodes")
+    one = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "k1", "k2")
+    sets = sig.filter("n_shingles > 0").groupBy("fp1", "fp2", "n_shingles").agg(F.min(one).alias("one"), F.first("regs").alias("regs"))
+    # written at once, so a set keeps its number
+    nodes = written(spark, sets.withColumn("node", F.monotonically_increasing_id()), "nodes")
     bands = F.explode(F.sequence(F.lit(0), F.lit(BUCKETS // ROWS - 1)))
     posts = (nodes.select("node", "regs", bands.alias("band"))
              .select("node", "band", F.xxhash64(F.expr(f"substring(regs, {2 * ROWS} * band + 1, {2 * ROWS})"), "band").alias("key")))
     shared = posts.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     members = written(spark, posts.join(shared, "key"), "members")
-    # copies share their text with their node, so one text per node is enough
-    texts = d.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    # the text of one document for each set that shares a band
+    some = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.k1", "one.k2")
+    texts = written(spark, d.select("k1", "k2", "text").join(some, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("node", "text"), "texts")
     star = members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     edges = written(spark, _verified(star, nodes, texts), "edges")
-    groups = components(spark, edges)
+    linked = components(spark, edges)
 
     for likeliest in (True, False):
-        late = written(spark, _verified(_apart(members, nodes, groups, texts, likeliest), nodes, texts), "edges")
+        late = written(spark, _verified(_apart(members, nodes, linked, texts, likeliest), nodes, texts), "edges")
         if not late.isEmpty():
             edges = edges.union(late)
-            groups = components(spark, edges)
+            linked = components(spark, edges)
 
-    sets = nodes.join(groups, "node", "left").select(
-        "fp1", "fp2", "n_shingles", F.coalesce("component", "node").alias("component"))
-    in_set = F.col("n_shingles") > 0
+    sets = nodes.drop("regs").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = sets.groupBy("component").agg(F.min("one").alias("first"))
+    sets = sets.join(first, "component").select("fp1", "fp2", "n_shingles", "first")
+    in_set, first = F.col("n_shingles") > 0, F.col("first")
     return (sig.drop("regs").join(sets, ["fp1", "fp2", "n_shingles"], "left")
-            .select("doc_id", "n_shingles",
-                    F.when(in_set & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-                    .alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+            .select("doc_id", "k1", "k2", "n_shingles", F.when(in_set, first["doc_id"]).otherwise(F.col("doc_id")).alias("component_id"),
+                    (~in_set | (F.col("k1") == first["k1"]) & (F.col("k2") == first["k2"])).alias("stays"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def near_duplicates(docs, doc_id="doc_id", text="text"):
+    """One row per document: doc_id, n_shingles, component_id, kept (it is its component's smallest)."""
+    return groups(docs, doc_id, text).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def keep_one(docs, doc_id="doc_id", text="text"):
+    """The rows of `docs` without near duplicates: of each component the document with the smallest doc_id.
+
+    Documents that share a doc_id but not the text are judged by themselves.  Of rows that repeat doc_id
+    and text the one with the smallest hash of all columns stays; rows without words all do.
+    """
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    stay = groups(docs, doc_id, text).filter("stays").groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("n_shingles").alias("words"))
+    rows = keyed(docs, doc_id, text, docs.columns).select("k1", "k2", *columns).join(stay, ["k1", "k2"])
+    repeated = (F.col("n") > 1) & (F.col("words") > 0)
+    one = (rows.filter(repeated).groupBy("k1", "k2").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")).select("row.*"))
+    return rows.filter(~repeated).select(*columns).unionByName(one).toDF(*docs.columns)
+
+
+ORACLE = """
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT r, doc_id, list_distinct(list_transform(range(1, greatest(2, len(w) - 3)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+         FROM docs WHERE len(w) > 0),
+sized AS (SELECT r, doc_id, s, len(s) AS n FROM sets),
+shingles AS (SELECT r, n, md5_number(unnest(s)) AS h FROM sized),
+links AS (SELECT a.r AS a, b.r AS b FROM shingles a JOIN shingles b ON a.h = b.h AND a.r <> b.r AND 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n)
+          GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (SELECT r AS a, r AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least_id AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id,
+       doc_id IS NOT DISTINCT FROM CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS kept
+FROM docs JOIN least_id USING (r) LEFT JOIN (SELECT r, n FROM sized) USING (r)"""

@@ -6,21 +6,24 @@ pays `SWITCH` for each change of language labels every word, so a text in severa
 spans; the text's language is the one with the most letters, its score their share weighted by how
 sure the model is.
 
-The counts come from at most `SAMPLE` labelled texts per language (those with the smallest hashes of
-doc_id), and only from rows the caller names for training.
+The counts come from a sample of the rows the caller names for training: of each language texts of
+about `CHARS` characters in all, drawn whole by a hash of doc_id and text, and at least the one with the
+smallest hash, however long.  So every language is learned, whatever the length of its texts and
+whether or not they have ids.  The model holds one number per hashed piece and language.
 
 Cases: a null text or one without a letter is `und` with score 0; with no training rows every text is
-`und`; ties go to the language first in the alphabet; texts are read whole; repeated rows get equal
-results; empty tables give no rows; other columns are not read.
+`und`; ties go to the language first in the alphabet; texts are read whole, one very long text alone in
+memory; repeated rows get equal results; empty tables give no rows; other columns are not read.
 """
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from forkline.llm.common import slices, strings
+from forkline.llm.common import slices, strings, written
 
-SAMPLE = 400
+#: Characters of training text of a language, about.
+CHARS = 1_000_000
 SWITCH = 4.0
 SIZE = 1 << 18
 ORDERS = (1, 2, 3, 4)
@@ -114,7 +117,7 @@ class Model:
         for g, o in zip(grams, owners, strict=True):
             if len(o):
                 first = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
-                score[o[first]] += np.add.reduceat(self.table[g], first, axis=0)
+                score[o[first]] += np.add.reduceat(self.table[g], first, axis=0, dtype=np.float64)
         allowed = self.uses[:, script].T
         known = allowed.any(axis=1)
         score = np.where(allowed | ~known[:, None], score, -1e6)
@@ -130,10 +133,10 @@ class Model:
         if not len(score):
             return path
         alive = np.searchsorted(-lengths[order], -np.arange(lengths.max()), side="left")
-        came = np.zeros(score.shape, np.int8)
+        came = np.zeros(score.shape, np.int32)
         value = np.zeros((n_texts, score.shape[1]))
         value[:alive[0]] = score[starts[order[:alive[0]]]]
-        same = np.arange(score.shape[1], dtype=np.int8)
+        same = np.arange(score.shape[1], dtype=np.int32)
         for t in range(1, len(alive)):
             m = alive[t]
             v = value[:m]
@@ -177,18 +180,24 @@ class Model:
                 zip(np.r_[0, cuts], np.r_[cuts, len(path)], strict=True) if b > a]
 
 
-def fit(labelled, sample=SAMPLE, doc_id="doc_id", text="text", lang="lang"):
-    """A model from rows with text and language, at most about `sample` texts of each."""
-    rows = labelled.select(F.col(doc_id).cast("string").alias("i"), F.col(text).alias("t"), F.col(lang).alias("l")).filter(
-        "t IS NOT NULL AND l IS NOT NULL")
-    sizes = rows.groupBy("l").agg(F.count("*").alias("n"))
-    at = F.conv(F.substring(F.md5(F.coalesce("i", F.lit(""))), 1, 8), 16, 10).cast("double") / 2.0**32
-    some = rows.join(F.broadcast(sizes), "l").filter(at < sample / F.col("n")).filter("length(t) <= 20000").select("l", "t")
+def draw(labelled, chars=CHARS, doc_id="doc_id", text="text", lang="lang"):
+    """(l, t): the sample of training texts."""
+    rows = labelled.select(F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("h"), F.col(text).alias("t"),
+                           F.col(lang).alias("l")).filter("t IS NOT NULL AND l IS NOT NULL")
+    # written, so that Spark broadcasts it only if it is small
+    sizes = written(labelled.sparkSession, rows.groupBy("l").agg(
+        F.sum(F.length("t")).alias("n"), F.min(F.struct(F.pmod("h", F.lit(2**62)), "h")).alias("least")), "languages")
+    share = F.pmod("h", F.lit(2**62)) / 2.0**62
+    return rows.join(sizes, "l").filter((share < chars / F.col("n")) | (F.col("h") == F.col("least.h"))).select("l", "t")
+
+
+def fit(labelled, chars=CHARS, doc_id="doc_id", text="text", lang="lang"):
+    """A model from rows with text and language."""
     texts = {}
-    for r in some.collect():
+    for r in draw(labelled, chars, doc_id, text, lang).collect():
         texts.setdefault(r["l"], []).append(r["t"])
     langs = sorted(texts)
-    counts = np.zeros((SIZE, len(langs)))
+    counts = np.zeros((SIZE, len(langs)), np.float32)
     uses = np.zeros((len(langs), N_SCRIPTS), bool)
     totals = np.zeros((len(ORDERS), len(langs)))
     for j, name in enumerate(langs):
@@ -200,7 +209,7 @@ def fit(labelled, sample=SAMPLE, doc_id="doc_id", text="text", lang="lang"):
         uses[j] = share >= 0.05
     table = np.log((counts + 0.1) / (counts.sum(axis=0) + 0.1 * SIZE)) if langs else counts
     # against the mean of the languages, and small, so that one rare piece decides nothing
-    table = np.clip(table - table.mean(axis=1, keepdims=True), -3, 3) / 2 if langs else table
+    table = (np.clip(table - table.mean(axis=1, keepdims=True), -3, 3) / 2).astype(np.float32) if langs else table
     return Model(langs, table, uses)
 
 

@@ -101,4 +101,5 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLES = {"op1_quality_rules": quality.ORACLE, "op11_perfect_hash_lines": lines.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
+ORACLES = {"op1_quality_rules": quality.ORACLE, "op2_substring_dedup": substring.ORACLE, "op6_hyperminhash": hyperminhash.ORACLE,
+           "op11_perfect_hash_lines": lines.ORACLE, "op13_merkle_manifest": merkle.ORACLE}

@@ -48,19 +48,18 @@ def _walk(arcs, shards):
     # a shard without a point of its own takes what is left last, like any other
     room = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.coalesce(
         F.get(F.filter("r", lambda x: x["shard"] == s), F.lit(0))["room"], F.lit(0)))
-    order = F.expr(f"transform(sequence(0, size(a) - 1), i -> array_distinct(concat("
-                   f"transform(slice(a, i + 1, {shards * 4}), x -> x.shard), transform(slice(a, 1, {shards * 4}), x -> x.shard),"
-                   f"sequence(0L, {shards - 1}L))))")
     start = F.struct(room.cast("array<bigint>").alias("room"), F.expr("cast(array() as array<struct<arc:int,shard:bigint,first:bigint,past:bigint>>)").alias("out"))
+    # an arc that overflows goes to the shards in the order in which the ring, once round, comes to them
     step = """aggregate(a, start, (acc, x) -> IF(x.n = x.own, acc,
-        aggregate(nexts[x.arc], named_struct('room', acc.room, 'out', acc.out, 'at', x.own),
+        aggregate(array_distinct(concat(slice(s, x.arc + 1, size(s)), slice(s, 1, x.arc), sequence(0L, %dL))), named_struct('room', acc.room, 'out', acc.out, 'at', x.own),
             (b, s) -> IF(b.at >= x.n OR b.room[s] = 0, b, named_struct(
                 'room', transform(b.room, (r, k) -> IF(k = s, r - least(r, x.n - b.at), r)),
                 'out', concat(b.out, array(named_struct('arc', x.arc, 'shard', s, 'first', b.at,
                                                         'past', b.at + least(b.room[s], x.n - b.at)))),
                 'at', b.at + least(b.room[s], x.n - b.at))),
-            b -> named_struct('room', b.room, 'out', b.out))), acc -> acc.out)"""
-    moved = one.select("a", order.alias("nexts"), start.alias("start")).select(F.expr(step).alias("m")).select(
+            b -> named_struct('room', b.room, 'out', b.out))), acc -> acc.out)""" % (shards - 1)
+    ordered = one.withColumn("s", F.transform("a", lambda x: x["shard"]))
+    moved = ordered.select("a", "s", start.alias("start")).select(F.expr(step).alias("m")).select(
         F.explode("m").alias("m")).select("m.*")
     own = arcs.filter("own > 0").select("arc", "shard", F.lit(0).cast("long").alias("first"), F.col("own").alias("past"))
     return own.union(moved)

@@ -3,21 +3,24 @@
 A window is `WINDOW` consecutive words.  Of each window the smallest hash among its phrases of
 `PHRASE` words is its anchor; equal windows have equal anchors.  So
 
-1. every document names its anchors, and those named twice or more in the corpus are kept;
+1. every document names its anchors and how often they stand in it; those that stand twice or more in
+   the corpus are kept;
 2. documents are cut into segments, the runs of windows under one repeated anchor; the anchor is the
    shard key, so each window's every occurrence meets in one shard;
-3. a shard confirms which of its windows recur, word for word, joins those that always follow one
-   another into passages, compiles these into automata of bounded size and streams its segments
-   through them, which gives every occurrence;
-4. words under an occurrence are removed.
+3. a shard counts its windows by their hashes; those that seem to recur, joined with those that always
+   follow them, are passages.  Each distinct passage goes once into an automaton of bounded size, and all
+   segments stream through: the automaton finds the passages word for word and says how often they occur,
+   which confirms or drops them;
+4. words under an occurrence of a confirmed passage are removed.
 
 Text outside segments holds no recurring window, so no document needs to visit a shard that cannot
-match it.  Equal segments travel once with a count.  Windows under an anchor named more than
-`HOT` times are segments of their own under their own hash, so no shard key is hot and nothing is left out.
+match it.  Equal segments travel once with a count.  Windows under an anchor that stands more than
+`HOT` times are segments of their own under their own hash, so no shard key is hot and nothing is left
+out; and a shard has `HOT` x (2 `WINDOW` - `PHRASE`) different words at most, a letter of Unicode for each.
 
 Cases: null and blank texts have no words; rows of fewer words than a window lose nothing; a row that
-is repeated has its windows found elsewhere; null doc_ids are ordinary documents; empty tables give no
-rows; other columns are not read.
+is repeated has its windows found elsewhere; null doc_ids are ordinary documents; very long texts are
+whole, their segments leave the task as they are cut; empty tables give no rows; other columns are not read.
 """
 
 import ahocorasick
@@ -39,26 +42,25 @@ def _anchors_of_windows(h):
 
 
 def find_anchors(batches):
-    """Per text: words, a hash of the word sequence, its anchors (one twice if it has two places)."""
+    """Per text: words, a hash of the word sequence, its anchors and the number of places of each."""
     hashes = WordHashes()
     for pdf in batches:
         out = []
         for text in strings(pdf["text"]):
             h = hashes.of(text.encode().split() if text else [])
-            anchors = np.zeros(0, np.uint64)
+            anchors, places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             t = np.zeros(2, np.uint64)
             if len(h) >= WINDOW:
                 with np.errstate(over="ignore"):
                     phrases, least = rolling(h, PHRASE), _anchors_of_windows(h)
                     pad = np.zeros(WINDOW - PHRASE, np.uint64)
                     chosen = sliding(np.concatenate([pad, least, pad]), WINDOW - PHRASE + 1, np.maximum) == phrases
-                    u, c = np.unique(phrases[chosen], return_counts=True)
-                    anchors = np.concatenate([u, u[c > 1]])
+                    anchors, places = np.unique(phrases[chosen], return_counts=True)
                     t[0], t[1] = rolling(h, len(h))[0], rolling(mix(h), len(h))[0]
-            out.append((len(h), *t.view(np.int64), anchors.view(np.int64)))
+            out.append((len(h), *t.view(np.int64), anchors.view(np.int64), places.astype(np.int64)))
         yield pd.DataFrame({"k1": pdf["k1"], "k2": pdf["k2"], **{
-            c: pd.Series([x[i] for x in out], index=pdf.index, dtype=object if c == "anchors" else "int64")
-            for i, c in enumerate(("n_words", "t1", "t2", "anchors"))}})
+            c: pd.Series([x[i] for x in out], index=pdf.index, dtype=object if c in ("anchors", "places") else "int64")
+            for i, c in enumerate(("n_words", "t1", "t2", "anchors", "places"))}})
 
 
 def cut_segments(batches):
@@ -86,9 +88,9 @@ def cut_segments(batches):
             for s, e in zip(first[use[first]], end[use[first]], strict=True):
                 seg = b" ".join(words[s:e + WINDOW - 1])
                 rows.append((k1, k2, int(s), least[s:s + 1].view(np.int64)[0], copies, seg.decode()))
-            if len(rows) >= 20_000:
-                yield _segments(rows)
-                rows = []
+                if len(rows) >= 20_000:
+                    yield _segments(rows)
+                    rows = []
         yield _segments(rows)
 
 
@@ -99,46 +101,60 @@ def _segments(rows):
     return pd.DataFrame(rows, columns=SEGMENT).astype({c: "int64" for c in SEGMENT[:5]})
 
 
+def _passages(hashes, weights):
+    """(segment, from, to in words) of one place of each passage that seems to recur."""
+    with np.errstate(over="ignore"):
+        windows = [rolling(h, WINDOW) for h in hashes]
+        longer = [rolling(h, WINDOW + 1) for h in hashes]
+    sizes = np.array([len(w) for w in windows])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    counted = lambda lists, own: (lambda u, at: (at, np.bincount(at, weights=weights[own])[at]))(
+        *np.unique(np.concatenate(lists), return_inverse=True))
+    which, n = counted(windows, owner)
+    last = np.cumsum(sizes) - 1
+    inner = np.ones(len(owner), bool)
+    inner[last] = False
+    # goes on if the next window follows wherever this one stands, and stands nowhere else
+    on = np.zeros(len(owner), bool)
+    if inner.any():
+        _, twice = counted(longer, owner[inner])
+        at = np.flatnonzero(inner)
+        on[at] = (n[at] == twice) & (n[at + 1] == twice)
+    many = n >= 2
+    first = np.flatnonzero(many & ~np.r_[False, on[:-1]])
+    end = np.flatnonzero(many & ~on)
+    # the first window and the length tell passages apart
+    _, one = np.unique(np.stack([which[first], end - first]), axis=1, return_index=True)
+    first, end = first[one], end[one]
+    base = (np.cumsum(sizes) - sizes)[owner[first]]
+    return owner[first], first - base, end - base + WINDOW
+
+
 def _search(texts, weights):
-    """For each segment the flat [from, to, ...] of its words under windows that recur in these segments."""
-    letters, coded = {}, []
+    """For each segment the flat [from, to, ...] of its words under passages that recur in these segments."""
+    hashes, letters, coded, words = WordHashes(), {}, [], []
     for t in texts:
+        w = t.split(" ")
+        words.append(hashes.of([x.encode() for x in w]))
         # one letter per word; surrogates are no letters
-        coded.append("".join([letters.setdefault(w, chr(n if (n := len(letters) + 1) < 0xD800 else n + 0x800))
-                              for w in t.split(" ")]))
-    once, twice = {}, {}
-    for s, n in zip(coded, weights, strict=True):
-        for i in range(len(s) - WINDOW + 1):
-            w = s[i:i + WINDOW]
-            once[w] = once.get(w, 0) + n
-            w = s[i:i + WINDOW + 1]
-            if len(w) > WINDOW:
-                twice[w] = twice.get(w, 0) + n
-    passages = set()
-    for s in coded:
-        begin = None
-        for i in range(len(s) - WINDOW + 1):
-            n = once[s[i:i + WINDOW]]
-            if n < 2:
-                continue
-            begin = i if begin is None else begin
-            step = s[i:i + WINDOW + 1]
-            # goes on if the next window follows wherever this one stands, and stands nowhere else
-            if len(step) == WINDOW or not n == twice[step] == once[step[1:]]:
-                passages.add(s[begin:i + WINDOW])
-                begin = None
-    found = [[] for _ in coded]
-    passages = list(passages)
-    at = 0
+        coded.append("".join([letters.setdefault(x, chr(n if (n := len(letters) + 1) < 0xD800 else n + 0x800)) for x in w]))
+    passages = [coded[s][a:b] for s, a, b in zip(*_passages(words, np.asarray(weights)), strict=True)]
+    found, at = [[] for _ in coded], 0
     while at < len(passages):
-        automaton, size = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), 0
+        automaton, first, size = ahocorasick.Automaton(), at, 0
         while at < len(passages) and size < AUTOMATON * WINDOW:
-            automaton.add_word(passages[at])
+            automaton.add_word(passages[at], at)
             size += len(passages[at])
             at += 1
         automaton.make_automaton()
-        for s, spans in zip(coded, found, strict=True):
-            spans += [(e - n + 1, e + 1) for e, n in automaton.iter(s)]
+        places, seen = [], np.zeros(at - first, np.int64)
+        for i, (s, n) in enumerate(zip(coded, weights, strict=True)):
+            for e, k in automaton.iter(s):
+                places.append((i, e + 1 - len(passages[k]), e + 1, k - first))
+                seen[k - first] += n
+        for i, a, b, k in places:
+            if seen[k] > 1:
+                found[i].append((a, b))
     out = []
     for spans in found:
         flat = []
@@ -198,14 +214,14 @@ def remove_repeats(docs, doc_id="doc_id", text="text", carry=()):
     d = keyed(docs, doc_id, text, carry)
     more = [f"c{i}" for i in range(len(carry))]
     a = written(spark, d.select("text", "k1", "k2").mapInPandas(
-        find_anchors, "k1 long, k2 long, n_words long, t1 long, t2 long, anchors array<long>"), "anchors")
+        find_anchors, "k1 long, k2 long, n_words long, t1 long, t2 long, anchors array<long>, places array<long>"), "anchors")
     named = a.filter("n_words >= 35")
-    repeated = (named.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("c"))
+    repeated = (named.select(F.inline(F.arrays_zip("anchors", "places")).alias("anchor", "n")).groupBy("anchor").agg(F.sum("n").alias("c"))
                 .filter("c > 1").select("anchor", (F.col("c") > HOT).alias("hot")))
     # texts of the same words are searched once
     same = named.groupBy("t1", "t2").agg(F.min(F.struct("k1", "k2")).alias("k"), F.count("*").alias("copies"))
     one = same.select("k.k1", "k.k2", "copies")
-    hits = (named.join(one, ["k1", "k2"], "left_semi").select("k1", "k2", F.explode(F.array_distinct("anchors")).alias("anchor"))
+    hits = (named.join(one, ["k1", "k2"], "left_semi").select("k1", "k2", F.explode("anchors").alias("anchor"))
             .join(repeated, "anchor").groupBy("k1", "k2").agg(F.collect_set(F.struct("anchor", "hot")).alias("x"))
             .join(one, ["k1", "k2"]).select("k1", "k2", "copies", "x.anchor", "x.hot").toDF(
                 "k1", "k2", "copies", "anchors", "hot"))
@@ -227,3 +243,26 @@ def remove_repeats(docs, doc_id="doc_id", text="text", carry=()):
         f", {c} {kind}" for c, kind in d.select(*more).dtypes)
     return (d.join(every, ["k1", "k2"], "left")
             .select("doc_id", "text", *more, F.when(F.col("s").isNotNull(), pairs).alias("spans")).mapInArrow(strip, schema))
+
+
+def clean(docs, doc_id="doc_id", text="text", size="n_chars"):
+    """The rows of `docs` without repeated passages; a text that loses nothing stays as it is."""
+    rest = [c for c in docs.columns if c != text]
+    new_text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    new = {c: F.col(f"c{i}") for i, c in enumerate(rest)} | {text: new_text}
+    if size in rest:
+        new[size] = F.char_length(new_text).cast("long")
+    return remove_repeats(docs, doc_id, text, rest).select(*[new[c].alias(c) for c in docs.columns])
+
+
+ORACLE = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+starts AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35),
+windows AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM starts),
+again AS (SELECT r, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS j FROM again),
+gone_of AS (SELECT r, list(j) AS js FROM gone GROUP BY r),
+kept AS (SELECT doc_id, len(w) AS n_words, len(coalesce(js, [])) AS n_removed, CASE WHEN js IS NULL THEN w ELSE
+         list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(js, x[2])), lambda x: x[1]) END AS stay
+         FROM docs LEFT JOIN gone_of USING (r))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(stay, ' ')) AS kept_sha256 FROM kept"""

@@ -103,6 +103,32 @@ def test_substring(docs, monkeypatch, hot, automaton):
     assert rows_of(substring.remove_repeats(empty(docs))) == []
 
 
+def test_substring_of_repetitive_long_texts(spark, monkeypatch):
+    """A phrase on every line with a number: one anchor stands thousands of times in one text."""
+    line = "the same ten words stand on every line of this"
+    rows = [(i, "\n".join(f"{line} {k * (i + 1)}" for k in range(1500))) for i in range(2)] + [(9, line * 3)]
+    rows += [(20 + i, " ".join(["again and again"] * 400)) for i in range(2)] + [(30, " ".join(f"n{i}" for i in range(30_000)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot in (10_000, 100):
+        monkeypatch.setattr(substring, "HOT", hot)
+        got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in rows_of(substring.remove_repeats(df))), key=str)
+        assert got == brute_substring(rows)
+
+
+def test_a_shard_never_has_more_words_than_letters():
+    """The bound on a shard: occurrences of an anchor, times the words that may stand around one."""
+    assert substring.HOT * (2 * substring.WINDOW - substring.PHRASE) + substring.AUTOMATON + substring.WINDOW < 0x110000 - 0x800
+
+
+def test_search_confirms_by_words(monkeypatch):
+    """Windows whose hashes collide are told apart by the automaton."""
+    import numpy as np
+    a, b = ([f"{x}{i}" for i in range(35)] for x in "ab")
+    monkeypatch.setattr(substring, "rolling", lambda h, width: np.zeros(max(0, len(h) - width + 1), np.uint64))
+    assert substring._search([" ".join(a), " ".join(b)], [1, 1]) == [[], []]
+    assert substring._search([" ".join(a)], [2]) == [[0, 35]]
+
+
 @pytest.mark.parametrize("i,other", [(124928, "short n6585"), (None, None)])
 def test_substring_of_texts_with_equal_short_hashes(spark, i, other):
     """Different texts without a doc_id whose 32-bit hashes are equal."""
@@ -122,36 +148,61 @@ def test_substring_of_texts_with_equal_short_hashes(spark, i, other):
 
 
 def brute_links(rows):
-    sets = {i: hyperminhash.shingles(t) for i, t in rows if i is not None}
-    up = {i: i for i in sets}
+    """Per row (doc_id, size, component id, kept), links between rows whatever their ids."""
+    sets = [hyperminhash.shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
     def top(x):
         while up[x] != x:
             x = up[x]
         return x
-    ids = sorted(sets)
-    for a in ids:
-        for b in ids:
+    for a in range(len(rows)):
+        for b in range(a):
             both = len(sets[a] & sets[b])
-            if a < b and both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
-                x, y = top(a), top(b)
-                up[max(x, y)] = min(x, y)
-    return {i: (len(sets[i]), top(i), top(i) == i) for i in ids}
+            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                up[top(a)] = top(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[top(k)] = min(i, least.get(top(k), i))
+    out = []
+    for k, (i, _) in enumerate(rows):
+        c = least.get(top(k)) if sets[k] else i
+        out.append((i, len(sets[k]), c, i == c))
+    return collections.Counter(out)
+
+
+def linked(df):
+    return collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in rows_of(hyperminhash.near_duplicates(df)))
 
 
 @pytest.mark.parametrize("block", [1024, 2])
 def test_near_duplicates(docs, monkeypatch, block):
     monkeypatch.setattr(hyperminhash, "BLOCK", block)
-    got = rows_of(hyperminhash.near_duplicates(docs))
-    assert len(got) == len(corpus())
-    want = brute_links(corpus())
-    for r in got:
-        if r["doc_id"] is None:
-            assert r["component_id"] is None and r["kept"]
-        else:
-            assert (r["n_shingles"], r["component_id"], r["kept"]) == want[r["doc_id"]], r
+    assert linked(docs) == brute_links(corpus())
     assert rows_of(hyperminhash.near_duplicates(empty(docs))) == []
 
 
+def shared_ids():
+    """Rows that share an id, have none, or are joined only through one that has none."""
+    rnd = random.Random(8)
+    a, b, c = (prose(rnd, 120) for _ in range(3))
+    chain = [f"w{i}" for i in range(300)]
+    steps = [" ".join(chain[12 * k:] + [f"v{j}" for j in range(12 * k)]) for k in range(3)]
+    return [(7, a), (7, b), (8, a), (None, c), (None, c), (None, c), (9, c + " more"), (None, "alone " + prose(rnd, 40)),
+            (20, steps[0]), (None, steps[1]), (21, steps[2]), (30, "x y z"), (30, "x y z"), (30, "x y z"), (None, None), (5, ""), (5, " ")]
+
+
+def test_near_duplicates_of_shared_and_missing_ids(spark):
+    rows = shared_ids()
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, c0 long").repartition(3)
+    assert linked(df) == brute_links(rows)
+    got = rows_of(hyperminhash.keep_one(df))
+    # one of each group: 7a over 8a, 7b, 9 over the copies without an id, 20 of the chain, one of the repeated rows; rows without words
+    kept = collections.Counter((r["doc_id"], r["text"]) for r in got)
+    want = [rows[0], rows[1], rows[6], rows[7], rows[8], rows[11], *rows[14:]]
+    assert kept == collections.Counter(want) and all(r.keys() == {"doc_id", "text", "c0"} for r in got)
+
+
 def test_chain_of_near_copies_is_one_component(spark):
     """Each text is like its neighbours, the far ones are not alike at all."""
     rnd = random.Random(5)
@@ -163,7 +214,7 @@ def test_chain_of_near_copies_is_one_component(spark):
     rnd.shuffle(rows)
     got = {r["doc_id"]: r["component_id"] for r in rows_of(hyperminhash.near_duplicates(
         spark.createDataFrame(rows, "doc_id long, text string")))}
-    assert got == {i: v[1] for i, v in brute_links(rows).items()} and set(got.values()) == {941}
+    assert got == {i: c for i, _, c, _ in brute_links(rows)} and set(got.values()) == {941}
 
 
 @pytest.mark.parametrize("i", [2681, 15849])
@@ -173,7 +224,7 @@ def test_pair_at_the_limit_with_a_low_estimate(spark, i):
     rows = [(1, " ".join(w)), (2, " ".join(w[:7]))]
     got = {r["doc_id"]: r["component_id"] for r in rows_of(hyperminhash.near_duplicates(
         spark.createDataFrame(rows, "doc_id long, text string")))}
-    assert got == {i: v[1] for i, v in brute_links(rows).items()} == {1: 1, 2: 1}
+    assert got == {i: c for i, _, c, _ in brute_links(rows)} == {1: 1, 2: 1}
 
 
 def test_estimate_corrects_collisions():
@@ -199,11 +250,68 @@ def test_ring(docs, shards):
     assert rows_of(ring.shard(empty(docs), shards)) == []
 
 
+def plain_ring(rows, shards, nodes):
+    """The ring walked document by document: {(point, doc_id, crc, size): Counter of shards}."""
+    md5 = lambda *p: int(hashlib.md5("-".join(map(str, p)).encode()).hexdigest()[:8], 16)
+    points = {}
+    for s in range(shards):
+        for k in range(nodes):
+            h = md5("shard", s, k)
+            points[h] = min(points.get(h, s), s)
+    ends = sorted(points)
+    owner = [points[h] for h in ends]
+    bound = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    arcs = [0] * len(ends)
+    for i, _ in rows:
+        p = md5("" if i is None else i)
+        arcs[next((k for k, h in enumerate(ends) if h >= p), 0)] += 1
+    # first each shard's own arcs, in the order of the ring
+    room, left = list(bound), []
+    for k, n in enumerate(arcs):
+        own = min(n, room[owner[k]])
+        room[owner[k]] -= own
+        left.append(n - own)
+    # then what is left of each arc goes on clockwise
+    moved = collections.Counter()
+    for k, n in enumerate(left):
+        step = 0
+        while n and step < len(ends):
+            s = owner[(k + step) % len(ends)]
+            take = min(n, room[s])
+            if take:
+                moved[k, s] += take
+                room[s] -= take
+                n -= take
+            step += 1
+        for s in range(shards):
+            take = min(n, room[s])
+            if take:
+                moved[k, s] += take
+                room[s] -= take
+                n -= take
+    total = collections.Counter(moved)
+    for k, n in enumerate(arcs):
+        if n - left[k]:
+            total[k, owner[k]] += n - left[k]
+    return ends, total
+
+
+@pytest.mark.parametrize("n,shards,nodes", [(500, 7, 3), (2000, 24, 64), (40, 50, 1)])
+def test_ring_against_a_plain_walk(spark, n, shards, nodes):
+    # a third of the rows have no id and lie in one arc, which overflows far
+    rows = [(i if i % 3 else None, f"text {i}") for i in range(n)]
+    got = rows_of(ring.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards, nodes=nodes))
+    ends, want = plain_ring(rows, shards, nodes)
+    md5 = lambda i: int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:8], 16)
+    arc = lambda i: next((k for k, h in enumerate(ends) if h >= md5(i)), 0)
+    assert collections.Counter((arc(r["doc_id"]), r["shard"]) for r in got) == want
+
+
 def test_ring_moves_little(spark):
     d = spark.range(20000).selectExpr("id AS doc_id", "'x' AS text")
     place = lambda n: {r["doc_id"]: r["shard"] for r in rows_of(ring.shard(d, n))}
     a, b = place(24), place(25)
-    assert sum(a[i] != b[i] for i in a) < 0.5 * len(a)
+    assert sum(a[i] != b[i] for i in a) < 0.1 * len(a)
 
 
 def test_pii_base_and_added(docs, spark):
@@ -354,3 +462,41 @@ def test_language(spark):
     assert len(rows_of(langid.predict(one, model))) == 2
     nothing = langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     assert nothing.predict(["abc"]) == [("und", 0.0)]
+
+
+def test_language_of_long_texts_without_ids_and_many_languages(spark):
+    """Every language is learned: one with long texts only, one without ids, and more than a byte can count."""
+    rnd = random.Random(7)
+    def word(k):
+        # syllables of its own for each language, made of common letters
+        a, b, c = chr(97 + k % 12), chr(97 + k // 12), "aeiouxyz"[k % 8]
+        return "".join(rnd.choice([a + b + c, c + b + a, b + c + c]) for _ in range(rnd.randint(2, 4)))
+    langs = [f"l{k:03d}" for k in range(140)]
+    text = lambda k, n: " ".join(word(k) for _ in range(n))
+    rows = [(k * 10 + j, text(k, 300 if k else 30_000), langs[k]) for k in range(140) for j in range(2)]
+    rows += [(None, text(140, 200), "none") for _ in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["l"] for r in rows_of(langid.draw(df, chars=50))} == {*langs, "none"}
+    model = langid.fit(df)
+    assert model.langs == sorted([*langs, "none"])
+    tests = [(k, text(k, 40)) for k in range(141)]
+    names = [*langs, "none"]
+    assert sum(p[0] == names[k] for (k, _), p in zip(tests, model.predict([t for _, t in tests]), strict=True)) >= 135
+
+
+def test_language_path_against_all_paths():
+    """The path is the best of all label sequences, for several texts side by side."""
+    import itertools
+
+    import numpy as np
+    rng = np.random.default_rng(1)
+    model = langid.Model(["a", "b", "c"], np.zeros((langid.SIZE, 3)), np.ones((3, langid.N_SCRIPTS), bool))
+    for _ in range(30):
+        lengths = rng.integers(0, 7, 4)
+        score = rng.normal(size=(lengths.sum(), 3)) * 4
+        text_of = np.repeat(np.arange(4), lengths)
+        path = model._path(score, text_of, 4)
+        for k in range(4):
+            rows = np.flatnonzero(text_of == k)
+            value = lambda p: sum(score[r, x] for r, x in zip(rows, p)) - langid.SWITCH * sum(x != y for x, y in zip(p, p[1:]))
+            assert value(path[rows]) == pytest.approx(max(map(value, itertools.product(range(3), repeat=len(rows)))))
