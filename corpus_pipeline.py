@@ -17,18 +17,12 @@ def quality_rules(spark, docs, sf_dir):
 
 def near_dedup(spark, docs, sf_dir):
     """One document of each group stays: the one with the smallest doc_id."""
-    kept = hyperminhash.near_duplicates(docs).filter("kept")
-    named = docs.filter("doc_id IS NOT NULL").join(
-        kept.filter("doc_id IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    return hyperminhash.keep_one(docs)
 
 
 def substring_dedup(spark, docs, sf_dir):
     """Words of passages that occur again go; untouched documents keep their text as it is."""
-    rest = [c for c in docs.columns if c != "text"]
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    new = {c: F.col(f"c{i}") for i, c in enumerate(rest)} | {"text": text, "n_chars": F.char_length(text).cast("long")}
-    return substring.remove_repeats(docs, carry=rest).select(*[new[c].alias(c) for c in docs.columns])
+    return substring.clean(docs)
 
 
 def redact_pii(spark, docs, sf_dir):
