@@ -126,11 +126,10 @@ def alert_states(samples: DataFrame, condition: Column, hold: str, series=SERIES
 
 
 def throughput_drops(rates: DataFrame, trailing: int = 10, fraction: float = 0.5,
-                     series=SERIES) -> DataFrame:
+                     series=SERIES, span: int = 50_000) -> DataFrame:
     """Windows whose rate is below ``fraction`` of the mean of the ``trailing`` windows
-    before them.  Input has one row per series and window."""
-    before = Window.partitionBy(*series).orderBy("window_start").rowsBetween(-trailing, -1)
-    return (rates.withColumn("baseline", F.avg("rate").over(before))
+    before them.  Input has one row per series and window; no task sees more than a span of them."""
+    return (ordered.trailing_mean(rates, list(series), ["window_start"], "rate", trailing, "window_start", "baseline", span)
             .withColumn("dropped", F.coalesce(F.col("rate") < F.col("baseline") * fraction, F.lit(False))))
 
 

@@ -117,6 +117,24 @@ def rolling_mean(df: DataFrame, order: list, value: str, n: int, bucket, out: st
             .select(*df.columns, out))
 
 
+def trailing_mean(df: DataFrame, keys: list, order: list, value: str, n: int, bucket, out: str,
+                  span: int = 50_000) -> DataFrame:
+    """Add the mean of ``value`` over the ``n`` rows before the current one, per ``keys``.
+
+    As in :func:`rolling_mean` every series is cut into spans of positions, and the last ``n`` rows
+    of a span are copied to the next."""
+    if span < n:
+        raise ValueError("a span must hold at least one frame")
+    placed = rank_in_keys(df, keys, order, bucket, "_pos")
+    position = F.col("_pos") - 1
+    home = F.call_function("div", position, F.lit(span).cast("bigint"))
+    copies = F.when(position % span >= span - n, F.array(home, home + 1)).otherwise(F.array(home))
+    spread = placed.withColumn("_home", home).withColumn("_span", F.explode(copies))
+    frame = Window.partitionBy(*keys, "_span").orderBy("_pos").rowsBetween(-n, -1)
+    return (spread.withColumn(out, F.avg(value).over(frame)).where(F.col("_span") == F.col("_home"))
+            .select(*df.columns, out))
+
+
 def tail_rolling_mean(df: DataFrame, order: list, value: str, n: int, k: int, out: str,
                       scale: float = 1.0) -> DataFrame:
     """The last ``k`` rows of :func:`rolling_mean`.  Their frames lie inside the last
@@ -126,3 +144,10 @@ def tail_rolling_mean(df: DataFrame, order: list, value: str, n: int, k: int, ou
     mean = (F.sum(F.col(value).cast("decimal(38,0)")).over(frame).cast("double")
             / F.count(value).over(frame) / F.lit(scale))
     return tail.withColumn(out, mean).orderBy(*[F.col(c).desc() for c in order]).limit(k)
+
+
+def count_over(df: DataFrame, keys: list, out: str) -> DataFrame:
+    """Add the number of rows with the same keys, as a window count would, from partial counts."""
+    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+    same = [df[k].eqNullSafe(totals[k]) for k in keys]
+    return df.join(totals, same).select(*[df[c] for c in df.columns], totals[out])

@@ -3,8 +3,11 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from forkline.operators import ordered
+from forkline.session import written
 
 SIDE = 16
+#: Distinct values that one task may order by itself.
+ONE_TASK = 1_000_000
 
 
 def _cut(counts: DataFrame, groups: list, value: str) -> DataFrame:
@@ -45,6 +48,14 @@ def _pick_ranks(counts: DataFrame, groups: list, value: str, ranks: DataFrame) -
             .select(*within, value))
 
 
+def _in_order(counts: DataFrame, groups: list, value: str, ranks: DataFrame) -> DataFrame:
+    """The same where all distinct values are few enough for one task."""
+    run = Window.partitionBy(*groups).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    placed = _with(counts.withColumn("_upto", F.sum("_n").over(run)), ranks, groups)
+    return (placed.where((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n")))
+            .select(*groups, "p", value))
+
+
 def _with(df: DataFrame, other: DataFrame, groups: list) -> DataFrame:
     # without groups both sides are constant in size: ranks, pieces or totals
     return df.join(other, groups) if groups else df.withColumn("_one", F.lit(1)).join(
@@ -57,7 +68,8 @@ def nearest_rank_stats(df: DataFrame, value: str, groups: list = (), percentiles
     gives one row of zeros when there are no groups."""
     groups = list(groups)
     samples = df.where(F.col(value).isNotNull())
-    counts = samples.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    # counted once; all that follows reads the table
+    counts = written(df.sparkSession, samples.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")), "counts")
     whole = counts.groupBy(*groups).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("samples"),
         F.coalesce(F.sum(F.col(value) * F.col("_n")) / F.sum("_n"), F.lit(0.0)).alias("avg"),
@@ -66,7 +78,8 @@ def nearest_rank_stats(df: DataFrame, value: str, groups: list = (), percentiles
                        F.col("samples") - 1)
     ranks = (whole.select(*groups, "samples", F.explode(F.array(*[F.lit(p) for p in percentiles])).alias("p"))
              .select(*groups, "p", position.alias("rank")))
-    picked = _pick_ranks(counts, groups, value, ranks)
+    pick = _in_order if counts.count() <= ONE_TASK else _pick_ranks
+    picked = pick(counts, groups, value, ranks)
     wide = picked.groupBy(*groups).agg(*[
         F.max(F.when(F.col("p") == p, F.col(value))).alias(f"p{p}") for p in percentiles])
     return _with(whole, wide, groups).select(*groups, "samples", *[F.coalesce(f"p{p}", F.lit(0.0)).alias(f"p{p}") for p in percentiles],

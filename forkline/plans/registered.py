@@ -1,18 +1,21 @@
 """Registered queries: each runs an operator over the whole derived tables and, where SQL
 can state it, carries the equivalent SQL."""
 
+import time
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from forkline import schemas
 from forkline.fixtures import Chain, LATENCY_BUCKETS
 from forkline.functions import bytesx, timex, u256
-from forkline.operators import collapse as sign, flatten, metrics, ordered, stats
+from forkline.operators import collapse as sign, flatten, forks, metrics, ordered, sketches, stats
 from forkline.plans import catalog
 from forkline.plans.oracles import CHAIN_SQL
 from forkline.session import scratch_dir
-from forkline.sources import backfill, notifications
+from forkline.sources import backfill, notifications, schema, sequence
 from forkline.sources.store import Store, export_csv
-from forkline.streaming import pipeline, state
+from forkline.streaming import live, pipeline, state
+from forkline.streaming.listener import ProgressListener
 
 QUERIES = {}
 ORACLES = {}
@@ -208,6 +211,20 @@ def _(c):
     return sign.previous_slot_value(current).select("block_number", "address", "slot", "value", "previous_value")
 
 
+@query("t13_live_previous_slot_value", """
+SELECT block_number, address, slot, value, lag(value) OVER (PARTITION BY address, slot ORDER BY block_number) AS previous_value
+FROM final_diffs""")
+def _(c):
+    """Kept on write: reverts and replacements change the next change's previous value."""
+    def make():
+        path = scratch_dir(c.spark, "slots")
+        rows = live.previous_slot_values(flatten.flatten_state(_live(c)))
+        sequence.drain(state.start_append(rows, path, scratch_dir(c.spark, "slots-cp"), processingTime="0 seconds"))
+        return path
+    return live.read_previous(c.spark.read.parquet(_once(c, "slots", make))).select(
+        "block_number", "address", "slot", "value", "previous_value")
+
+
 @query("t14_width_check", """
 SELECT 'good' AS verdict, count(*) AS rows FROM transactions WHERE "to" IS NOT NULL
 UNION ALL SELECT 'quarantined', count(*) FROM transactions WHERE "to" IS NULL""")
@@ -362,6 +379,27 @@ def _(c):
     return sign.parent_links(c.blocks.where("sign = 1").select("block_number", "hash", "parent_hash").distinct())
 
 
+@query("r15_r10_fork_tree", """
+, nodes AS (SELECT DISTINCT hash, parent_hash, block_number FROM blocks),
+chain AS (SELECT hash, parent_hash, 0 AS d FROM (SELECT * FROM nodes ORDER BY block_number DESC, hash LIMIT 1)
+          UNION ALL SELECT n.hash, n.parent_hash, d + 1 FROM chain c JOIN nodes n ON n.hash = c.parent_hash),
+low AS (SELECT max(d) AS top, arg_max(hash, d) AS root FROM chain),
+off AS (SELECT * FROM nodes WHERE hash NOT IN (SELECT hash FROM chain)),
+walk AS (SELECT hash, hash AS lowest, parent_hash AS up, 0 AS d FROM off
+         UNION ALL SELECT w.hash, n.hash, n.parent_hash, d + 1 FROM walk w JOIN off n ON n.hash = w.up),
+tree AS (SELECT hash, true AS on_head_chain, root AS branch_root, top - d AS branch_depth FROM chain, low
+         UNION ALL SELECT hash, false, arg_max(lowest, d), max(d) FROM walk GROUP BY hash)
+SELECT block_number, hash, on_head_chain, branch_root, CAST(branch_depth AS BIGINT) AS branch_depth
+FROM nodes JOIN tree USING (hash)""")
+def _(c):
+    # neither sign nor sequence is read
+    return forks.fork_tree(c.blocks.select("block_number", "hash", "parent_hash"))
+
+
+# a recursive term needs the keyword in front of all terms
+ORACLES["r15_r10_fork_tree"] = ORACLES["r15_r10_fork_tree"].replace("WITH steps", "WITH RECURSIVE steps", 1)
+
+
 # ---- filters, joins, scans -----------------------------------------------------------
 
 @query("s4_s10_head", """
@@ -535,6 +573,18 @@ def _(c):
     return catalog.merge_daily(sides[0].unionByName(sides[1]))
 
 
+@query("a12_a14_daily_sketches", """
+SELECT strftime(timestamp, '%Y-%m-%d') AS date, count(*) AS tx_count, true AS receivers_within, true AS senders_within,
+       true AS p50_within, true AS p95_within, true AS same_in_any_order
+FROM transactions t JOIN blocks b ON t.block_number = b.block_number AND t.seq = b.seq WHERE t.sign = 1 GROUP BY 1""")
+def _(c):
+    """Merged partials against the exact figures: every estimate within its stated error, and
+    the same whichever way the partials are cut."""
+    rows = catalog.daily_partials(c.transactions.where("sign = 1"), c.blocks)
+    cuts = [sketches.merge(sketches.daily(rows, F.pmod(F.col(k), F.lit(7)))) for k in ("block_number", "nonce")]
+    return sketches.compare(rows, *cuts).withColumn("date", F.col("date").cast("string"))
+
+
 LATENCY_SQL = """
 , ranked AS (SELECT {g}value, row_number() OVER ({w}ORDER BY value) - 1 AS i, count(*) OVER ({w2}) AS n FROM {t})
 SELECT {g}any_value(n) AS samples, max(value) FILTER (WHERE i = least(n * 50 // 100, n - 1)) AS p50,
@@ -580,8 +630,7 @@ def _(c):
 @query("w2_count_over_address", f"""
 SELECT block_number, log_index, seq, count(*) OVER (PARTITION BY address) AS total FROM logs""")
 def _(c):
-    totals = c.logs.groupBy("address").agg(F.count(F.lit(1)).alias("total"))
-    return c.logs.join(totals, "address").select("block_number", "log_index", "seq", "total")
+    return ordered.count_over(c.logs.select("block_number", "log_index", "seq", "address"), ["address"], "total").drop("address")
 
 
 # ---- catalogue -----------------------------------------------------------------------
@@ -822,14 +871,14 @@ def _(c):
 # ---- scalar functions ----------------------------------------------------------------
 
 @query("x1_x4_bytes", """
-SELECT tx_hash, seq, lower(tx_hash) AS hex, '0x' || tx_hash AS prefixed, CAST(32 AS BIGINT) AS width,
+SELECT tx_hash, seq, lower(tx_hash) AS hex, '0x' || tx_hash AS prefixed, length(input) // 2 AS width,
        substr(tx_hash, 25) AS tail, '0x' || substr(tx_hash, 1, 8) || '...' || substr(tx_hash, 57) AS short
 FROM transactions""")
 def _(c):
     text = bytesx.to_hex0x(F.col("tx_hash"))
     return c.transactions.select(
         "tx_hash", "seq", bytesx.to_hex("tx_hash").alias("hex"), text.alias("prefixed"),
-        F.octet_length(bytesx.from_hex(text)).alias("width"), F.substring("tx_hash", 13, 20).alias("tail"),
+        F.octet_length(bytesx.from_hex(F.concat(F.lit("0x"), "input"))).alias("width"), F.substring("tx_hash", 13, 20).alias("tail"),
         bytesx.short_hash(text).alias("short"))
 
 
@@ -840,6 +889,21 @@ def _(c):
     return c.transactions.select("tx_hash", "seq", u256.from_be(word).alias("value"), word.alias("word"))
 
 
+BIG = """list_reduce(list_prepend(CAST(0 AS BIGNUM), list_transform(string_split({h}, ''), lambda ch: CAST(CAST('0x' || ch AS INTEGER) AS BIGNUM))),
+  lambda a, d: list_reduce([a, a, a, a, a], lambda c, i: c + c) + d)"""
+
+
+@query("x7_x8_a10_full_width", f"""
+, wide AS (SELECT DISTINCT ON (tx_hash) "from", tx_hash, {BIG.format(h="tx_hash")} AS v FROM transactions)
+SELECT "from" AS sender, CAST(sum(v) AS VARCHAR) AS total, CAST(max(v) AS VARCHAR) AS largest, count(*) AS back FROM wide GROUP BY 1""")
+def _(c):
+    """Hashes as numbers of the full 256 bits: decoded, added up, encoded again."""
+    rows = c.transactions.select("from", "tx_hash").distinct().withColumn("v", u256.from_be("tx_hash"))
+    return rows.groupBy(F.col("from").alias("sender")).agg(
+        u256.sum_signed("v").alias("total"), F.max_by("v", "tx_hash").alias("largest"),
+        F.count_if(u256.to_be("v") == F.col("tx_hash")).alias("back"))
+
+
 @query("x9_x12_time", f"""
 SELECT block_number, seq, strftime(timestamp, '%Y-%m-%d %H:%M') AS minute_text, {ts("timestamp")} AS second_text,
        {ts("date_trunc('minute', timestamp)")} AS minute, {ts("date_trunc('day', timestamp)")} AS day,
@@ -966,6 +1030,37 @@ def _(c):
     return metrics.alert_states(c.metrics.where("name = 'buffer_rows'"), F.col("value") > 12, "10 MINUTES")
 
 
+@query("m10_live_alerts", f"""
+, marked AS (SELECT ts, name, value, value > 12 AS hot, lag(value > 12) OVER (ORDER BY ts) AS was FROM metrics WHERE name = 'buffer_rows'),
+since AS (SELECT *, max(CASE WHEN hot AND NOT coalesce(was, false) THEN ts END) OVER (ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM marked)
+SELECT name, {ts("ts")} AS ts, value, {ts("CASE WHEN hot THEN s END")} AS active_since,
+       CASE WHEN NOT hot THEN 'inactive' WHEN ts >= s + INTERVAL 10 MINUTE THEN 'firing' ELSE 'pending' END AS state FROM since""")
+def _(c):
+    """The alert of m10 from a stream; samples wait until the watermark is past them."""
+    def make():
+        source, path = scratch_dir(c.spark, "samples"), scratch_dir(c.spark, "alerts")
+        samples = c.metrics.where("name = 'buffer_rows'")
+        samples.repartition(6, "ts").write.parquet(source)
+        rows = c.spark.readStream.schema(schemas.METRICS).option("maxFilesPerTrigger", 2).parquet(source)
+        # files in any order: the delay is the whole span of the samples, and one sample later still lets all go
+        span = samples.agg(F.max(F.unix_seconds("ts")) - F.min(F.unix_seconds("ts"))).first()[0] + 1
+        last = samples.agg((F.max("ts") + F.make_dt_interval(secs=F.lit(2.0 * span))).alias("ts")).select(
+            "ts", F.lit("clock").alias("name"), F.lit(None).cast("double").alias("le"), F.lit(0.0).alias("value"))
+        checkpoint = scratch_dir(c.spark, "alerts-cp")
+
+        def run():
+            found = live.alerts(rows, F.col("value") > 12, 600_000, f"{span} seconds", absent_ms=3_600_000)
+            state.start_append(found, path, checkpoint).awaitTermination()
+
+        run()
+        last.write.mode("append").parquet(source)
+        run()
+        return path
+    found = c.spark.read.parquet(_once(c, "alerts", make)).where("name = 'buffer_rows' AND state <> 'absent'")
+    return found.select("name", F.timestamp_millis("millis").alias("ts"), "value",
+                        F.timestamp_millis("active_since").alias("active_since"), "state")
+
+
 @query("m11_throughput_drop", DELTA_SQL + f"""
 , rates AS (SELECT name, w, CASE WHEN samples >= 2 THEN inc / 1800 END AS rate FROM grown),
 based AS (SELECT *, avg(rate) OVER (PARTITION BY name ORDER BY w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS b FROM rates)
@@ -1009,11 +1104,15 @@ def _bucket_width(c: Chain) -> int:
     return _once(c, "width", lambda: max(1, (backfill.head(c.blocks) + 1) // 12))
 
 
+def _live(c: Chain, source=sequence.stream) -> DataFrame:
+    """The notifications as a stream in the order of their numbers, in four to five batches."""
+    return source(c.spark, _notification_folder(c), max(1, _notifications(c).count() // 4))
+
+
 def _streamed(c: Chain) -> Store:
     def make():
         store = Store(c.spark, scratch_dir(c.spark, "store"), bucket_width=_bucket_width(c))
-        live = notifications.stream(c.spark, _notification_folder(c), max_files=3)
-        pipeline.start(store, live, scratch_dir(c.spark, "ingest")).awaitTermination()
+        sequence.drain(pipeline.start(store, _live(c, sequence.ranges), scratch_dir(c.spark, "ingest"), "0 seconds"))
         return store
     return _once(c, "streamed", make)
 
@@ -1066,7 +1165,7 @@ UNION ALL SELECT 'reorgs_handled_total', CAST(count(*) FILTER (WHERE sign = -1)
 UNION ALL SELECT 'events_captured_total', CAST((SELECT count(*) FROM transactions) + (SELECT count(*) FROM logs)
   + (SELECT count(*) FROM storage_diffs) AS DOUBLE)""")
 def _(c):
-    return metrics.last_value(pipeline.counters(_streamed(c))).select("name", "value")
+    return metrics.last_value(_streamed(c).counters()).select("name", "value")
 
 
 @query("d10_daily_stats_maintained", DAILY_SQL)
@@ -1155,33 +1254,34 @@ def _(c):
     return state.read_current(c.spark, _once(c, "current", make), schemas.KEYS["blocks"])
 
 
-@query("r13_finalized_blocks", """
+OUTCOME_SQL = """
 SELECT block_number, hash, CAST(sum(sign) AS BIGINT) AS net, max(seq) FILTER (WHERE sign = 1) AS seq FROM blocks
-GROUP BY 1, 2 HAVING any_value(timestamp) <= (SELECT max(timestamp) FROM blocks) - INTERVAL 2 DAY""")
+GROUP BY 1, 2 HAVING any_value(timestamp) <= (SELECT max(timestamp) FROM blocks) - INTERVAL 2 DAY"""
+
+
+@query("r13_finalized_blocks", OUTCOME_SQL)
 def _(c):
     def make():
         path = scratch_dir(c.spark, "final")
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=3))
-        state.start_series(state.finalized(rows, "2 days"), path, scratch_dir(c.spark, "final-cp")).awaitTermination()
+        rows = flatten.flatten_blocks(_live(c))
+        sequence.drain(state.start_append(state.outcomes(rows, "2 days"), path, scratch_dir(c.spark, "final-cp"),
+                                          processingTime="0 seconds"))
         return path
-    return c.spark.read.parquet(_once(c, "final", make)).select("block_number", "hash", "net", "seq")
+    return state.read_outcomes(c.spark, _once(c, "final", make)).select("block_number", "hash", "net", "seq")
 
 
-@query("r13_corrected_outcomes", """
-SELECT block_number, hash, CAST(sum(sign) AS BIGINT) AS net, max(seq) FILTER (WHERE sign = 1) AS seq FROM blocks
-GROUP BY 1, 2 HAVING any_value(timestamp) <= (SELECT max(timestamp) FROM blocks) - INTERVAL 2 DAY""")
+@query("r13_corrected_outcomes", OUTCOME_SQL)
 def _(c):
     def make():
-        # files out of order and a watermark of a minute: many rows come too late
+        # files out of order, a watermark of a minute, state kept for a minute: many rows come late
         source, path = scratch_dir(c.spark, "shuffled"), scratch_dir(c.spark, "early")
         c.notifications.repartition(12, "seq").write.parquet(source)
         rows = flatten.flatten_blocks(notifications.stream(c.spark, source, max_files=3))
-        state.start_series(state.finalized(rows, "1 minute"), path, scratch_dir(c.spark, "early-cp")).awaitTermination()
+        state.start_append(state.outcomes(rows, "1 minute", keep_ms=60_000), path, scratch_dir(c.spark, "early-cp")).awaitTermination()
         return path
-    blocks = flatten.flatten_blocks(_notifications(c))
-    until = blocks.agg(F.max("timestamp") - F.expr("INTERVAL 2 DAYS")).scalar()
-    finals = c.spark.read.parquet(_once(c, "early", make))
-    return state.corrected(finals, blocks, until).select("block_number", "hash", "net", "seq")
+    until = flatten.flatten_blocks(_notifications(c)).agg(F.max("timestamp") - F.expr("INTERVAL 2 DAYS")).scalar()
+    return state.read_outcomes(c.spark, _once(c, "early", make)).where(
+        F.timestamp_millis("millis") <= until).select("block_number", "hash", "net", "seq")
 
 
 @query("ms13_stream_series", f"""
@@ -1191,10 +1291,118 @@ def _(c):
     def make():
         path = scratch_dir(c.spark, "series")
         rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=3))
-        series = state.block_series(rows, watermark="2 days")
-        state.start_series(series, path, scratch_dir(c.spark, "series-cp"), "update").awaitTermination()
+        state.start_series(rows, path, scratch_dir(c.spark, "series-cp")).awaitTermination()
         return path
-    return state.read_series(c.spark, _once(c, "series", make), ["interval"])
+    return state.read_series(c.spark, _once(c, "series", make))
+
+
+@query("s5_j6_coverage_gaps", """
+, heights AS (SELECT DISTINCT block_number FROM blocks WHERE block_number % 9 <> 4),
+ends AS (SELECT block_number AS lo, lead(block_number) OVER (ORDER BY block_number) - 1 AS hi FROM heights)
+SELECT lo + 1 AS lo, hi FROM ends WHERE lo + 1 <= hi""")
+def _(c):
+    """Gaps of a store that was given eight heights of nine, from the ranges its batches left."""
+    def make():
+        store = Store(c.spark, scratch_dir(c.spark, "holes"), bucket_width=_bucket_width(c))
+        middle = backfill.head(c.blocks) // 2
+        held = c.blocks.where("block_number % 9 <> 4")
+        for i, part in enumerate((held.where(F.col("block_number") <= middle), held.where(F.col("block_number") >= middle))):
+            empty = {n: c.spark.createDataFrame([], s) for n, s in schemas.TABLES.items()}
+            store.write_batch({**empty, "blocks": part}, f"part-{i}", "test")
+        return store
+    store = _once(c, "holes", make)
+    return store.gaps(store.coverage().agg(F.min("lo")).first()[0])
+
+
+@query("ms11_d1_metrics_table", """
+SELECT 'numInputRows' AS name, CAST(count(*) AS DOUBLE) AS value FROM (SELECT DISTINCT seq // 2 FROM blocks)""")
+def _(c):
+    """Rows that the micro-batches took in, from the metrics table that the stream fed."""
+    def make():
+        store = Store(c.spark, scratch_dir(c.spark, "measured"), bucket_width=_bucket_width(c))
+        listener = ProgressListener(store, every=2)
+        c.spark.streams.addListener(listener)
+        try:
+            found = notifications.stream(c.spark, _notification_folder(c), max_files=3).select("seq")
+            state.start_append(found, scratch_dir(c.spark, "measured-out"), scratch_dir(c.spark, "measured-cp")).awaitTermination()
+            # progress events come by a queue of their own
+            for _ in range(100):
+                if listener.ended:
+                    break
+                time.sleep(0.1)
+        finally:
+            c.spark.streams.removeListener(listener)
+        listener.flush()
+        return store
+    samples = _once(c, "measured", make).metrics().where("name LIKE '%.numInputRows'")
+    return samples.groupBy(F.lit("numInputRows").alias("name")).agg(F.sum("value").alias("value"))
+
+
+BUCKETS = 8
+
+
+def _catalog(c: Chain) -> str:
+    """The name of a database whose tables the ingested batches were published to."""
+    def make():
+        name = "forkline_" + scratch_dir(c.spark, "db").rsplit("-", 1)[1]
+        c.spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(c.spark, 'catalog')}'")
+        schema.migrate(c.spark, name, [(1, "initial_schema", [schema.create_statement(name, t, BUCKETS) for t in schemas.TABLES])])
+        for t in schemas.TABLES:
+            schema.publish(_streamed(c), name, t, BUCKETS)
+        # again, one range of heights: nothing may change
+        schema.publish(_streamed(c), name, "transactions", BUCKETS, heights=(0, 2))
+        return name
+    return _once(c, "catalog", make)
+
+
+@query("d2_catalog_transactions", f"SELECT {TX_COLUMNS} FROM transactions")
+def _(c):
+    return c.spark.table(f"{_catalog(c)}.transactions").drop("block_bucket")
+
+
+@query("d2_r2_catalog_collapse", f"SELECT {BLOCK_COLUMNS} FROM final_blocks")
+def _(c):
+    return sign.collapse(c.spark.table(f"{_catalog(c)}.blocks"), schemas.KEYS["blocks"]).drop("month", "block_bucket")
+
+
+@query("d2_j1_catalog_join", f"""
+SELECT t.tx_hash, t.seq, t.block_number, {ts("b.timestamp")} AS timestamp FROM transactions t
+JOIN blocks b ON t.block_number = b.block_number AND t.seq = b.seq""")
+def _(c):
+    db = _catalog(c)
+    times = c.spark.table(f"{db}.blocks").select("block_number", "seq", "timestamp")
+    return c.spark.table(f"{db}.transactions").join(times, ["block_number", "seq"]).select("tx_hash", "seq", "block_number", "timestamp")
+
+
+@query("d3_d7_partitions", """
+SELECT strftime(timestamp, '%Y%m') AS month, block_number // greatest(1, (SELECT max(block_number) + 1 FROM blocks) // 12) AS block_bucket,
+       count(*) AS rows FROM blocks GROUP BY 1, 2""")
+def _(c):
+    """The folders of the published block table with their rows."""
+    return c.spark.table(f"{_catalog(c)}.blocks").groupBy("month", "block_bucket").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("d3_d5_verified", """
+SELECT name, CAST(0 AS BIGINT) AS problems, CAST(1 AS BIGINT) AS version, rows FROM (
+  SELECT 'blocks' AS name, count(*) AS rows FROM blocks UNION ALL SELECT 'transactions', count(*) FROM transactions
+  UNION ALL SELECT 'logs', count(*) FROM logs UNION ALL SELECT 'storage_diffs', count(*) FROM storage_diffs)""")
+def _(c):
+    """What verification and migrations say about each published table, and how many rows it has."""
+    db = _catalog(c)
+    problems, version = schema.verify(c.spark, db), schema.current_version(c.spark, db)
+    out = None
+    for t in schemas.TABLES:
+        bad = sum(p.startswith(f"{db}.{t}") for p in problems)
+        one = c.spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(t).alias("name"), F.lit(bad).cast("bigint").alias("problems"), F.lit(version).cast("bigint").alias("version"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("k3_f2_hash_index", f"SELECT {TX_COLUMNS} FROM transactions WHERE sign = 1 AND nonce % 97 = 5")
+def _(c):
+    wanted = _streamed(c).table("transactions").where("nonce % 97 = 5").select("tx_hash")
+    return _streamed(c).lookup(wanted).drop("block_bucket")
 
 
 @query("s2_s6_backfill_blocks", """

@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # a join on (height, sequence) may use tables that are bucketed by height alone
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -32,8 +34,19 @@ def local_session(cpus="*", shuffle_partitions=8, memory="12g", **conf):
 def scratch_dir(spark, label):
     """A fresh folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``; where that is unset it lies in the
-    warehouse, which the executors share as well.
+    The cluster names it in ``spark.checkpoint.dir``.  A local session, whose executors are
+    the driver, may leave it unset: then it lies in the warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def written(spark, df, label):
+    """The rows as a table in the scratch folder: lineage ends there, a lost executor costs a reread."""
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -16,7 +16,7 @@ def create_statement(database: str, name: str, buckets: int | None = None) -> st
     folders = schemas.PARTITIONS[name]
     extra = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in folders)
     return (f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_columns(schemas.TABLES[name])}, {extra}) "
-            f"USING parquet PARTITIONED BY ({', '.join(f.name for f in folders)}){clustered}")
+            f"USING parquet OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({', '.join(f.name for f in folders)}){clustered}")
 
 
 def create_all(spark: SparkSession, database: str, buckets: int | None = None) -> None:
@@ -25,6 +25,26 @@ def create_all(spark: SparkSession, database: str, buckets: int | None = None) -
         spark.sql(create_statement(database, name, buckets))
 
 
+def publish(store, database: str, name: str, buckets: int | None = None, heights: tuple | None = None) -> None:
+    """Fill a catalog table from the store's committed batches: all of it, or the height buckets
+    ``heights[0]`` to ``heights[1]`` that new batches touched.
+
+    Whole partitions are overwritten, so a repeated or retried publication changes nothing.  With
+    ``buckets`` (those the table was created with) rows are dealt the way the table is, one task per
+    bucket, so that no task writes a file of every bucket."""
+    rows = store.table(name)
+    if heights is not None:
+        rows = rows.where(F.col("block_bucket").between(*heights))
+    if buckets:
+        rows = rows.repartition(buckets, "block_number")
+    else:
+        rows = rows.hint("rebalance", "block_bucket")
+    folders = [f.name for f in schemas.PARTITIONS[name]]
+    columns = [f.name for f in schemas.TABLES[name].fields] + folders
+    # the table's own options say that only the partitions written are overwritten
+    rows.select(*columns).sortWithinPartitions(*folders, "block_number").write.insertInto(f"{database}.{name}", overwrite=True)
+
+
 def verify(spark: SparkSession, database: str) -> list:
     """Problems found: missing tables and columns of the wrong type.  Empty when sound."""
     problems = []

@@ -10,6 +10,9 @@ Layout under one root::
     <table>_batches/gen=<id>/...                      batches of the log it has seen
     daily_sender_stats/batch=<id>/...                 additive partial rows
     quarantine/batch=<id>/...                         rows set aside, with the reason
+    transactions_index/batch=<id>/prefix=<hex>/...    hash to height bucket
+    coverage/batch=<id>/...                           ranges of heights
+    metrics/...                                       samples, appended
 
 A batch writes only its own folders and counts once its progress row exists, so a retried
 or half-written batch never shows up twice or in part.  A batch that counts is never
@@ -21,12 +24,13 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from forkline import schemas
 from forkline.functions import timex
 from forkline.operators import collapse as sign
 from forkline.plans import catalog
+from forkline.sources import coverage
 
 PROGRESS = T.StructType([
     T.StructField("source", T.StringType()),
@@ -69,6 +73,11 @@ def write_options(name: str, compression: str = "zstd", max_records: int = 5_000
     return out
 
 
+INDEX = T.StructType([T.StructField("tx_hash", T.BinaryType()), T.StructField("block_bucket", T.LongType())])
+PREFIX = T.StructField("prefix", T.StringType())
+
+RANGES = T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
+
 BATCH = T.StructField("batch", T.StringType())
 GENERATION = T.StructField("gen", T.LongType())
 
@@ -140,14 +149,19 @@ class Store:
         """All tables of a batch side by side, then the commit.  Order among the tables does
         not matter: none of them counts before the commit.  A committed batch is left as it
         is, and is an error if another source committed it."""
-        owner = self.progress().where(F.col("batch") == batch).select("source").first()
+        owner = self.committed_by(batch)
         if owner is not None:
-            if owner[0] != source:
-                raise ValueError(f"batch {batch} was committed by {owner[0]}, not {source}")
+            if owner != source:
+                raise ValueError(f"batch {batch} was committed by {owner}, not {source}")
             return {}
         jobs = {name: (lambda name=name: self.append(name, tables[name], batch, rebalance, bulk)) for name in schemas.TABLES}
+        jobs["index"] = lambda: self.append_index(tables["transactions"], batch)
+        jobs["coverage"] = lambda: self.append_coverage(tables["blocks"], batch, bulk)
         done = self.together({**jobs, **(also or {})})
         seen = {name: done[name] for name in schemas.TABLES}
+        if span is None and not any(s["commits"] + s["reverts"] for s in seen.values()) and not done.get("quarantined"):
+            # nothing came: the empty folders do not count without a commit
+            return seen
         self.commit(batch, source, seen, done.get("reorg_events", 0), span, done.get("quarantined", 0))
         return seen
 
@@ -157,6 +171,11 @@ class Store:
             futures = {k: pool.submit(inheritable_thread_target(self.spark)(job)) for k, job in jobs.items()}
             return {k: f.result() for k, f in futures.items()}
 
+    def committed_by(self, batch: str) -> str | None:
+        """The source of a committed batch; where there is none, no job runs."""
+        row = self._read(f"progress/batch={batch}", PROGRESS, []).select("source").first()
+        return row and row[0]
+
     def progress(self) -> DataFrame:
         return self._read("progress", PROGRESS, [BATCH])
 
@@ -185,6 +204,74 @@ class Store:
         """Tell the catalogue how wide a bucket is, so that it can prune by height."""
         return df.withMetadata("block_bucket", {"width": self.bucket_width})
 
+    # ---- heights held
+
+    def append_coverage(self, blocks: DataFrame, batch: str, bulk: bool = False) -> None:
+        found = coverage.ranges(blocks, self.bucket_width) if bulk else coverage.batch_ranges(blocks)
+        found.coalesce(1).write.mode("overwrite").parquet(self.path("coverage", f"batch={batch}"))
+
+    def coverage(self) -> DataFrame:
+        """Merged ranges of the heights that committed batches hold."""
+        parts = self._read("coverage", RANGES, [BATCH]).join(self.committed_batches(), "batch", "left_semi")
+        return coverage.merge(parts.select("lo", "hi"))
+
+    def gaps(self, lo: int = 0) -> DataFrame:
+        """Ranges from ``lo`` up to the highest height that no batch holds."""
+        merged = self.coverage()
+        return coverage.gaps(merged, lo, merged.agg(F.max("hi")).scalar())
+
+    # ---- metrics
+
+    def append_metrics(self, samples: DataFrame) -> None:
+        samples.select(*[f.name for f in schemas.METRICS.fields]).coalesce(1).write.mode("append").parquet(self.path("metrics"))
+
+    def metrics(self) -> DataFrame:
+        """All samples: those appended, and the counters that follow from the committed batches."""
+        appended = self._read("metrics", schemas.METRICS, [])
+        return appended.unionByName(self.counters())
+
+    def counters(self) -> DataFrame:
+        """Cumulative counters in the long metric form, one sample per committed batch."""
+        # one row per batch: small whatever the batches held
+        upto = Window.partitionBy("name").orderBy("ts", "batch").rowsBetween(Window.unboundedPreceding, 0)
+        samples = self.progress().select(F.col("committed_at").alias("ts"), "batch", F.inline(F.array(*[
+            F.struct(F.lit(out).alias("name"), F.col(c).cast("double").alias("v")) for out, c in (
+                ("blocks_processed_total", "committed_blocks"), ("events_captured_total", "events"),
+                ("reorgs_handled_total", "reorg_events"), ("reverted_blocks_total", "reverted_blocks"))])))
+        return samples.select("ts", "name", F.lit(None).cast("double").alias("le"), F.sum("v").over(upto).alias("value"))
+
+    # ---- lookup by hash
+
+    def append_index(self, transactions: DataFrame, batch: str) -> None:
+        """Where the transactions of a batch are: hash and height bucket, in folders by the first
+        hex digit of the hash, sorted by it inside."""
+        rows = transactions.select("tx_hash", timex.block_bucket("block_number", self.bucket_width).alias("block_bucket"))
+        # a transaction that is committed and reverted in one batch is named twice, which lookups do not mind
+        (rows.withColumn("prefix", self._prefix()).sortWithinPartitions("prefix", "tx_hash")
+         .write.mode("overwrite").partitionBy("prefix").parquet(self.path("transactions_index", f"batch={batch}")))
+
+    @staticmethod
+    def _prefix():
+        return F.substring(F.lower(F.hex("tx_hash")), 1, 1)
+
+    def places(self, hashes: DataFrame) -> list:
+        """(batch, height bucket) of each asked transaction: as many rows as there are hits."""
+        asked = hashes.select("tx_hash").distinct().withColumn("prefix", self._prefix())
+        index = self._read("transactions_index", INDEX, [BATCH, PREFIX])
+        # the list of asked hashes prunes the folders of the index
+        hits = index.join(asked, ["prefix", "tx_hash"], "left_semi").join(self.committed_batches(), "batch", "left_semi")
+        return [(r["batch"], r["block_bucket"]) for r in hits.select("batch", "block_bucket").distinct().collect()]
+
+    def lookup(self, hashes: DataFrame) -> DataFrame:
+        """Committed rows of a list of transaction hashes.  Only the folders that the index names
+        are opened, whatever the size of the log."""
+        full = T.StructType([*schemas.TRANSACTIONS.fields, BATCH, *schemas.PARTITIONS["transactions"]])
+        folders = [self.path("transactions", f"batch={b}", f"block_bucket={k}") for b, k in self.places(hashes)]
+        if not folders:
+            return self.spark.createDataFrame([], full).drop("batch")
+        rows = self.spark.read.schema(full).option("basePath", self.path("transactions")).parquet(*folders).drop("batch")
+        return catalog.lookup_transactions(rows, hashes)
+
     # ---- rows set aside
 
     def append_quarantine(self, bad: DataFrame, batch: str) -> int:
@@ -220,16 +307,17 @@ class Store:
         keys reverted too often.  A bucket whose rows all vanished is covered by the
         manifest and so becomes empty."""
         gen = (self._manifest(name).agg(F.max("gen")).first()[0] or 0) + 1
-        seen = [r[0] for r in self.committed_batches().collect()]
-        log = self._log(name).where(F.col("batch").isin(seen)).drop("batch")
+        # which batches it covers is written first: later commits belong to the next generation
+        listed = self.path(f"{name}_batches", f"gen={gen}")
+        self.committed_batches().coalesce(1).write.mode("overwrite").parquet(listed)
+        seen = self.spark.read.schema(T.StructType([BATCH])).parquet(listed)
+        log = self._log(name).join(seen, "batch", "left_semi").drop("batch")
         if buckets is not None:
             log = log.where(F.col("block_bucket").between(*buckets))
         current = sign.collapse(log.drop(*_folders(name)), schemas.KEYS[name])
         (self._laid_out(current, name, rebalance=True).write.mode("overwrite")
          .options(**write_options(name, self.compression, self.max_records))
          .partitionBy(*_folders(name)).parquet(self.path(f"{name}_current", f"gen={gen}")))
-        (self.committed_batches().where(F.col("batch").isin(seen)).coalesce(1)
-         .write.mode("overwrite").parquet(self.path(f"{name}_batches", f"gen={gen}")))
         (log.select(F.col("block_bucket").alias("covered_bucket")).distinct().coalesce(1)
          .write.mode("overwrite").parquet(self.path(f"{name}_manifest", f"gen={gen}")))
         return sign.anomalies(log, schemas.KEYS[name])

@@ -1,22 +1,24 @@
-"""Batch figures from Spark's own progress events."""
+"""Batch figures from Spark's own progress events, appended to the metrics table."""
 
 from datetime import datetime, timezone
+from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from forkline import schemas
+from forkline.sources.store import Store
 
 
 class ProgressListener(StreamingQueryListener):
-    """Collects a few numbers per micro-batch; :meth:`samples` gives them in metric form.
-    One entry per micro-batch, none per row."""
+    """Samples of every micro-batch, a few numbers each, none per row.  They go to the store's
+    metrics table every ``every`` batches and when a query ends; what is held back is no more
+    than that, and nothing is cut."""
 
     FIGURES = ("numInputRows", "batchDuration", "inputRowsPerSecond", "processedRowsPerSecond")
 
-    def __init__(self, keep: int = 10_000):
-        self.keep = keep
-        self.rows = []
+    def __init__(self, store: Store, every: int = 100):
+        self.store, self.every = store, every
+        self.rows, self.batches, self.ended, self.lock = [], 0, 0, Lock()
 
     def onQueryStarted(self, event):
         pass
@@ -26,14 +28,23 @@ class ProgressListener(StreamingQueryListener):
         ts = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).astimezone(timezone.utc)
         dropped = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
         figures = {f: getattr(p, f, None) for f in self.FIGURES} | {"numRowsDroppedByWatermark": dropped}
-        self.rows += [(ts, f"{p.name or p.id}.{k}", None, float(v)) for k, v in figures.items() if v is not None]
-        del self.rows[:-self.keep]
+        with self.lock:
+            self.rows += [(ts, f"{p.name or p.id}.{k}", None, float(v)) for k, v in figures.items() if v is not None]
+            self.batches += 1
+            due = self.batches >= self.every
+        if due:
+            self.flush()
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        pass
-
-    def samples(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows), schemas.METRICS)
+        self.flush()
+        self.ended += 1
+
+    def flush(self) -> None:
+        """Write what is held back."""
+        with self.lock:
+            rows, self.rows, self.batches = self.rows, [], 0
+        if rows:
+            self.store.append_metrics(self.store.spark.createDataFrame(rows, schemas.METRICS))

@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from forkline import schemas
 from forkline.operators import flatten
-from forkline.sources import backfill
+from forkline.sources import backfill, sequence
 from forkline.sources.store import Store
 from forkline.streaming.retry import with_retry
 
@@ -16,12 +16,10 @@ def ingest_batch(store: Store, batch: DataFrame, batch_id: int, time_unit: str =
     then the progress row.  A batch that is committed is left alone; one that is not is
     written anew."""
     name = f"{prefix}-{batch_id:012d}"
-    if not store.progress().where(F.col("batch") == name).isEmpty():
+    if store.committed_by(name):
         return
 
     def write():
-        if batch.isEmpty():
-            return
         also = {"reorg_events": lambda: batch.where(F.col("kind").isin("ChainReverted", "ChainReorged")).count()}
         if daily:
             timed = flatten.flatten_transactions(batch, time_unit, block_time=True)
@@ -38,13 +36,19 @@ def start(store: Store, notifications: DataFrame, checkpoint: str, processing_ti
     """Start ingesting.  Batches carry the id that Spark keeps in the checkpoint, so two
     streams, or one with a new checkpoint, never write each other's batches.  Without
     ``processing_time`` everything available is drained and the query ends; a trigger like
-    ``"100 milliseconds"`` keeps it running."""
+    ``"100 milliseconds"`` keeps it running.
+
+    ``notifications`` may be a stream of notifications or one of ranges (``sequence.ranges``),
+    whose batches come in the order of their numbers; that one takes a trigger, and
+    ``sequence.drain`` ends it."""
     known = []
+    by_number = sequence.is_ranges(notifications)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not known:
             known.append(store.spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"])
-        ingest_batch(store, batch, batch_id, time_unit, daily, f"st-{known[0]}", **retry)
+        rows = sequence.fetch(batch) if by_number else batch
+        ingest_batch(store, rows, batch_id, time_unit, daily, f"st-{known[0]}", **retry)
 
     writer = notifications.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
@@ -57,15 +61,3 @@ def backfill_then_live(store: Store, history: DataFrame, notifications: DataFram
     below every live one, so live reorgs of backfilled heights win."""
     backfill.run(store, history, after=-1, check_missing=check_missing)
     return start(store, notifications, checkpoint, **options)
-
-
-def counters(store: Store) -> DataFrame:
-    """Cumulative counters in the long metric form, one sample per committed batch."""
-    from pyspark.sql import Window
-    # one row per batch: small whatever the batches held
-    upto = Window.partitionBy("name").orderBy("ts", "batch").rowsBetween(Window.unboundedPreceding, 0)
-    samples = store.progress().select(F.col("committed_at").alias("ts"), "batch", F.inline(F.array(*[
-        F.struct(F.lit(out).alias("name"), F.col(c).cast("double").alias("v")) for out, c in (
-            ("blocks_processed_total", "committed_blocks"), ("events_captured_total", "events"),
-            ("reorgs_handled_total", "reorg_events"), ("reverted_blocks_total", "reverted_blocks"))])))
-    return samples.select("ts", "name", F.lit(None).cast("double").alias("le"), F.sum("v").over(upto).alias("value"))

@@ -1,9 +1,15 @@
-"""Reorg-aware state and series computed on the stream itself."""
+"""Reorg-aware state and series computed on the stream itself.
 
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+None of them depends on the order in which rows arrive: what a stream emits are amounts that
+add up, and a late row is one more amount.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from forkline.functions import timex
 from forkline.operators.collapse import OWN
 
 
@@ -39,57 +45,115 @@ def read_current(spark, path: str, keys: list) -> DataFrame:
     return latest.select(*keys, "row.*")
 
 
-def finalized(blocks: DataFrame, finality: str = "1 hour") -> DataFrame:
-    """Outcome of each block once no revert is accepted any more, for append mode.
+class OutcomeProcessor(StatefulProcessor):
+    """Adds up the rows of one block; its key ends with the block's time in milliseconds.
+
+    A timer at the block's time, which the watermark reaches once no revert is expected any
+    more, emits the outcome.  A row that comes after that is emitted at once, as a correction
+    to be added.  A second timer lets go of the state; rows later still are corrections as well.
+    """
 
-    The watermark on the block time bounds the state: a key is emitted with its net sign
-    and dropped when the watermark passes it.  Rows later than that are counted by Spark
-    in ``numRowsDroppedByWatermark``; :func:`late_outcomes` finds them in the change log.
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("outcome", "net bigint, seq bigint, final boolean")
+
+    def _out(self, key, net, seq, late):
+        return Row(block_number=key[0], hash=key[1], millis=key[2], net=net, seq=seq, late=late)
+
+    def _settle(self, key):
+        self.state.update((None, None, True))
+        self.handle.registerTimer(key[2] + self.keep_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self.state.get() if self.state.exists() else None
+        late = known[2] if known else timerValues.getCurrentWatermarkInMs() >= key[2]
+        net, seq = (known[0], known[1]) if known and not late else (0, None)
+        for r in rows:
+            net += r["sign"]
+            if r["sign"] == 1:
+                seq = r["seq"] if seq is None else max(seq, r["seq"])
+        if late:
+            if not known:
+                self._settle(key)
+            yield self._out(key, net, seq, True)
+            return
+        if not known:
+            # due as soon as the watermark is at the block's time
+            self.handle.registerTimer(key[2] - 1)
+        self.state.update((net, seq, False))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if not self.state.exists():
+            return
+        net, seq, final = self.state.get()
+        if final:
+            self.state.clear()
+        else:
+            self._settle(key)
+            yield self._out(key, net, seq, False)
+
+    def close(self) -> None:
+        pass
+
+
+OUTCOME = "block_number bigint, hash binary, millis bigint, net bigint, seq bigint, late boolean"
+
+
+def outcomes(blocks: DataFrame, finality: str = "1 hour", keep_ms: int = 86_400_000) -> DataFrame:
+    """Outcome of each block once the newest block is ``finality`` later, then corrections.
+
+    Append mode.  The rows of a block add up: its net sign is the sum of ``net``, its newest
+    commit the greatest ``seq`` (:func:`read_outcomes`), whatever came late and whatever state
+    has been let go.
     """
-    keyed = blocks.withWatermark("timestamp", finality)
-    return keyed.groupBy("timestamp", "block_number", "hash").agg(
-        F.sum("sign").alias("net"), F.max(F.when(F.col("sign") == 1, F.col("seq"))).alias("seq"))
+    # the watermark column itself stays below, or rows behind the watermark would be dropped here
+    rows = blocks.withWatermark("timestamp", finality).select(
+        "block_number", "hash", F.unix_millis("timestamp").alias("millis"), F.col("sign").cast("bigint").alias("sign"), "seq")
+    return rows.groupBy("block_number", "hash", "millis").transformWithState(
+        OutcomeProcessor(keep_ms), OUTCOME, "append", "EventTime")
+
 
+def start_append(rows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Write what a stream emits, a folder per micro-batch that a replay writes anew."""
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+    return (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+            .foreachBatch(save).trigger(**(trigger or {"availableNow": True})).start())
 
-def late_outcomes(finals: DataFrame, blocks: DataFrame, until) -> DataFrame:
-    """Blocks up to time ``until`` whose outcome is not the one that ``finalized`` emitted:
-    rows that came after the watermark changed it, or it never appeared.  The change log
-    holds every row, so nothing that the stream dropped is lost."""
-    truth = (blocks.where(F.col("timestamp") <= until).groupBy("timestamp", "block_number", "hash")
-             .agg(F.sum("sign").alias("net"), F.max(F.when(F.col("sign") == 1, F.col("seq"))).alias("seq")))
-    emitted = finals.select("block_number", "hash", F.col("net").alias("final_net"), F.col("seq").alias("final_seq"))
-    return (truth.join(emitted, ["block_number", "hash"], "left")
-            .where("final_net IS NULL OR final_net <> net OR NOT final_seq <=> seq"))
 
+def _folders(spark, path: str) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(path).drop("batch")
 
-def corrected(finals: DataFrame, blocks: DataFrame, until) -> DataFrame:
-    """What ``finalized`` emitted up to ``until``, with late outcomes in the place of theirs."""
-    late = late_outcomes(finals, blocks, until)
-    columns = ["timestamp", "block_number", "hash", "net", "seq"]
-    return (finals.where(F.col("timestamp") <= until).join(late, ["block_number", "hash"], "left_anti").select(*columns)
-            .unionByName(late.select(*columns)))
 
+def read_outcomes(spark, path: str) -> DataFrame:
+    """Outcome of each block so far; ``corrected`` tells whether a late row changed it."""
+    return (_folders(spark, path).groupBy("block_number", "hash", "millis")
+            .agg(F.sum("net").alias("net"), F.max("seq").alias("seq"), F.bool_or("late").alias("corrected")))
 
-def block_series(blocks: DataFrame, interval: str = "5 minutes", watermark: str = "1 hour") -> DataFrame:
+
+def block_series(blocks: DataFrame, interval: str = "5 minutes") -> DataFrame:
     """Tumbling series in which reverts subtract what their commits added."""
-    return (blocks.withWatermark("timestamp", watermark)
-            .groupBy(F.window("timestamp", interval).alias("w"))
+    return (blocks.groupBy(F.window("timestamp", interval).alias("w"))
             .agg(F.sum("sign").alias("blocks"), F.sum(F.col("sign") * F.col("gas_used")).alias("gas_used"))
             .select(F.col("w.start").alias("interval"), "blocks", "gas_used"))
 
 
-def start_series(series: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Write a series; in update mode every batch adds new versions of its intervals."""
+def start_series(blocks: DataFrame, path: str, checkpoint: str, interval: str = "5 minutes", **trigger) -> StreamingQuery:
+    """Write the series of each micro-batch by itself: no state, no watermark, no row too late."""
     def save(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("version", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}"))
-    return (series.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-            .foreachBatch(save).trigger(availableNow=True).start())
+        block_series(batch, interval).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+    return (blocks.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(save).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_series(spark, path: str) -> DataFrame:
+    """The series so far: the parts of all micro-batches added up."""
+    parts = _folders(spark, path)
+    return parts.groupBy("interval").agg(*[F.sum(c).alias(c) for c in parts.columns if c != "interval"])
 
 
-def read_series(spark, path: str, keys: list) -> DataFrame:
-    """Newest version of each interval."""
-    rows = spark.read.option("basePath", path).parquet(path).drop("batch")
-    rest = [c for c in rows.columns if c not in keys and c != "version"]
-    return (rows.groupBy(*keys).agg(F.max(F.struct("version", *rest)).alias("_v"))
-            .select(*keys, *[F.col("_v")[c].alias(c) for c in rest]))
+# executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,13 +1,14 @@
 """Storage and streaming: equal to batch whatever the micro-batches, restarts and faults."""
 
 import os
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from forkline import schemas
-from forkline.operators import collapse as sign, flatten
+from forkline.operators import collapse as sign, flatten, metrics
 from forkline.plans import catalog
 from forkline.sources import backfill, notifications, schema as ddl
 from forkline.sources.store import Store, write_options
@@ -219,16 +220,21 @@ def test_streaming_state_is_batch_state_for_any_split(spark, chain, folder, tmp_
 
 
 def test_listener_and_counters(spark, folder, tmp_path):
-    listener = ProgressListener()
+    listener = ProgressListener(Store(spark, str(tmp_path / "store")), every=1)
     spark.streams.addListener(listener)
     try:
         store = ingest(spark, folder, tmp_path, max_files=3)
+        for _ in range(100):
+            if listener.ended:
+                break
+            time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
-    assert listener.samples(spark).where("name LIKE '%.numInputRows'").agg(F.sum("value")).first()[0] > 0
-    last = pipeline.counters(store).groupBy("name").agg(F.max("value")).collect()
-    assert {r[0] for r in last} == {"blocks_processed_total", "events_captured_total", "reorgs_handled_total",
-                                    "reverted_blocks_total"}
+    samples = store.metrics()
+    assert samples.where("name LIKE '%.numInputRows'").agg(F.sum("value")).first()[0] > 0
+    assert metrics.increase(samples.where("name = 'blocks_processed_total'"), "1 hour").count() > 0
+    assert {r[0] for r in store.counters().select("name").distinct().collect()} == {
+        "blocks_processed_total", "events_captured_total", "reorgs_handled_total", "reverted_blocks_total"}
 
 
 def test_ddl_and_migrations(spark):
