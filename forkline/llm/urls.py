@@ -1,13 +1,16 @@
 """URL filters: rules by host and path, else logistic regression on hashed character n-grams.
 
 The regression reads the n-grams of host and path, hashed into a fixed number of weights, and is fitted
-to the labelled table below.
+to the labelled table below, which a fixed rule makes from words of both kinds.  Held out in turn,
+its urls are told apart in nine cases of ten or more (a test measures it); words of neither list say nothing.
 
 Cases: a null url or one without :// has an empty host and path, so no rule fits and the
 verdict is allow; urls are read whole; repeated rows get equal results; an empty table gives no
 rows; other columns are not read.
 """
 
+import random
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -19,75 +22,36 @@ from forkline.llm.common import strings
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 
-BLOCK = """
-http://free-casino.example.com/play
-https://www.casino-royal.example.net/slots/12
-http://poker-online.example.org/join
-https://bets-today.example.com/odds
-http://free-bets.example.net/en/5
-https://m.best-bets.example.com/fr/71
-http://cheap-pills.example.com/buy
-https://www.pills-online.example.net/en/40
-http://viagra-shop.example.com/order
-https://pharma-discount.example.net/pills
-http://spam-farm.example.com/en/9
-https://blog.spam-links.example.net/list
-http://link-farm.example.com/a/b
-http://adult-x.example.com/video/3
-https://m.adult-x.example.net/en/1
-http://xxx-videos.example.com/watch
-https://porn-tube.example.net/en/7
-http://sex-chat.example.com/live
-https://escort-city.example.net/girls
-http://ads-track.example.com/click
-https://www.ads-track.example.net/en/2
-http://ad-server.example.com/banner/9
-https://tracker-pixel.example.net/t.gif
-http://malware-download.example.com/setup.exe
-https://free-crack.example.net/keygen
-http://warez-torrent.example.com/dl
-https://phishing-login.example.net/verify
-http://win-money.example.com/prize
-https://lottery-winner.example.net/claim
-http://loans-fast.example.com/payday
-https://crypto-profit.example.net/double
-http://replica-watches.example.com/sale
-""".split()
-
-ALLOW = """
-http://news.example.com/en/1
-https://www.example.net/about
-http://blog.example.com/2020/05/post
-https://university.example.net/physics/paper.html
-http://library.example.com/books/12
-https://docs.example.net/guide/start
-http://recipes.example.com/fr/soup
-https://travel.example.net/de/berlin
-http://museum.example.com/en/rooms
-https://en.wiki.example.net/wiki/Earth
-http://shop.example.com/en/33
-https://m.weather.example.net/es/12
-http://school.example.com/en/500.html
-https://garden.example.net/en/plants/7
-http://therst.example.com/fr/4163
-https://tionsh.example.net/en/480?page=2
-http://ththre.example.com/en/825
-https://blog.tiontion.example.net/en/214#top
-http://www.tionble.example.com/fr/748
-https://m.theron.example.com/en/357
-http://therat.example.net/en/627/
-https://ththing.example.net/en/125/
-http://www.therea.example.com/en/8940
-https://blog.thernt.example.net/en/699
-http://ththhe.example.com/en/773
-https://ththan.example.net/en/625.html
-http://city.example.com/council
-https://health.example.net/clinic/hours
-http://music.example.com/concerts/3
-https://sports.example.net/league/table
-http://film.example.com/review/22
-https://history.example.net/es/roma
-""".split()
+# The labelled table is made by a rule from words of both kinds, names that say nothing, and forms of hosts and paths.
+BLOCK_WORDS = """casino poker bets betting slots jackpot lottery roulette pills viagra pharma steroids adult xxx porn sex escort nude
+ads adserver tracker banner popup malware crack keygen warez torrent phishing spam linkfarm payday loans replica""".split()
+ALLOW_WORDS = """news library museum school university garden weather travel music recipes health sports history science book
+film city council art theatre cooking nature cinema magazine journal college radio forum docs guide review craft""".split()
+BLOCK_PATHS = "play join odds buy order watch live click prize claim deal download".split()
+ALLOW_PATHS = "about article paper page list index post chapter contact events topic archive".split()
+PLAIN = "free best online my the new top one web shop daily first".split()
+# common pieces of English words
+SYLLABLES = "the ing tion er on an re th st en at es or ou le ly sh wh ble nt ed ra nd ti in he ar al".split()
+EACH = 240
+
+
+def labelled(each=EACH, seed=3):
+    """(url, 1 for block or 0 for allow), `each` of both: hosts from a word of the kind, or, among those allowed, from
+    syllables only; paths of the kind or of neither."""
+    rnd = random.Random(seed)
+    out = []
+    for k in range(2 * each):
+        blocked = k % 2 == 0
+        words, paths = (BLOCK_WORDS, BLOCK_PATHS) if blocked else (ALLOW_WORDS, ALLOW_PATHS)
+        name = "".join(rnd.choice(SYLLABLES) for _ in range(rnd.randint(2, 4)))
+        word = rnd.choice(words) if blocked or rnd.random() < 0.5 else name
+        host = rnd.choice([f"{word}", f"{rnd.choice(PLAIN)}-{word}", f"{word}-{rnd.choice(PLAIN)}", f"{word}-{name}", f"{word}{rnd.choice(PLAIN)}"])
+        front = rnd.choice(["", "", "www.", "m.", "blog."])
+        path = rnd.choice(["", f"/{rnd.choice(['en', 'fr', 'de', 'es'])}/{rnd.randint(1, 999)}", f"/{rnd.choice(paths)}",
+                           f"/{rnd.choice(paths)}/{rnd.randint(1, 99)}.html", f"/{rnd.randint(1, 999)}/"])
+        out.append((f"http{rnd.choice(['', 's'])}://{front}{host}.example.{rnd.choice(['com', 'net', 'org'])}{path}", int(blocked)))
+    return out
+
 
 BITS = 14
 GRAMS = (3, 4, 5)
@@ -121,17 +85,22 @@ def grams(host, path):
     return sorted(out)
 
 
-def fit(blocked=BLOCK, allowed=ALLOW, rounds=200, rate=0.5, penalty=1e-3):
+def fit(table=None, rounds=1500, rate=0.5, penalty=1e-4):
     """Weights by gradient descent on the mean log loss with a quadratic penalty."""
-    rows = [grams(*parts(u)) for u in [*blocked, *allowed]]
-    y = np.r_[np.ones(len(blocked)), np.zeros(len(allowed))]
-    x = np.zeros((len(rows), 1 << BITS))
-    for i, g in enumerate(rows):
-        x[i, g] = 1 / np.sqrt(len(g))
-    w = np.zeros(1 << BITS)
+    table = labelled() if table is None else table
+    rows = [grams(*parts(u)) for u, _ in table]
+    y = np.array([v for _, v in table], float)
+    places, at = np.unique(np.concatenate(rows), return_inverse=True)
+    x = np.zeros((len(rows), len(places)))
+    owner = np.repeat(np.arange(len(rows)), [len(g) for g in rows])
+    x[owner, at] = 1 / np.sqrt(np.array([len(g) for g in rows]))[owner]
+    # the weights stay a mixture of the rows, so the steps go over the mixture
+    alike, mixture = x @ x.T, np.zeros(len(rows))
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-x @ w))
-        w -= rate * 10 * (x.T @ (p - y) / len(y) + penalty * w)
+        p = 1 / (1 + np.exp(-alike @ mixture))
+        mixture -= rate * 10 * ((p - y) / len(y) + penalty * mixture)
+    w = np.zeros(1 << BITS)
+    w[places] = x.T @ mixture
     return w
 
 
