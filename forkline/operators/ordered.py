@@ -148,6 +148,6 @@ def tail_rolling_mean(df: DataFrame, order: list, value: str, n: int, k: int, ou
 
 def count_over(df: DataFrame, keys: list, out: str) -> DataFrame:
     """Add the number of rows with the same keys, as a window count would, from partial counts."""
-    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    same = [df[k].eqNullSafe(totals[k]) for k in keys]
-    return df.join(totals, same).select(*[df[c] for c in df.columns], totals[out])
+    data = df.withColumn("_key", F.struct(*keys))  # never null, equal field by field
+    totals = data.groupBy("_key").agg(F.count(F.lit(1)).alias(out))
+    return data.join(totals, "_key").select(*df.columns, out)
