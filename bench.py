@@ -110,8 +110,8 @@ def main():
     for name, make in queries.items():
         times[name] = best(lambda: sink(make()), runs)
 
-    # a real stream: forty micro-batches in the order of their numbers, read, flattened, written and committed
-    per_batch = max(1, nested.count() // 40)
+    # a real stream: ten micro-batches in the order of their numbers, read, flattened, written and committed
+    per_batch = max(1, -(-nested.count() // 10))
     query = pipeline.start(fresh(), sequence.ranges(spark, source, per_batch), scratch_dir(spark, "bench-checkpoint"), "0 seconds")
     sequence.drain(query)
     progress = [p for p in query.recentProgress if p["numInputRows"]]
