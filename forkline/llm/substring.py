@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from forkline.llm.common import WordHashes, keyed, mix, rolling, sliding, strings, written
+from forkline.llm.common import MIX, WordHashes, keyed, mix, rolling, sliding, strings, written
 
 WINDOW, PHRASE = 35, 8
 HOT = 10_000
@@ -132,12 +132,13 @@ def _passages(hashes, weights):
 
 def _search(texts, weights):
     """For each segment the flat [from, to, ...] of its words under passages that recur in these segments."""
-    hashes, letters, coded, words = WordHashes(), {}, [], []
+    letters, coded = {}, []
     for t in texts:
-        w = t.split(" ")
-        words.append(hashes.of([x.encode() for x in w]))
         # one letter per word; surrogates are no letters
-        coded.append("".join([letters.setdefault(x, chr(n if (n := len(letters) + 1) < 0xD800 else n + 0x800)) for x in w]))
+        coded.append("".join([letters.setdefault(w, chr(n if (n := len(letters) + 1) < 0xD800 else n + 0x800))
+                              for w in t.split(" ")]))
+    with np.errstate(over="ignore"):
+        words = [mix(np.frombuffer(s.encode("utf-32-le"), np.uint32).astype(np.uint64) * MIX) for s in coded]
     passages = [coded[s][a:b] for s, a, b in zip(*_passages(words, np.asarray(weights)), strict=True)]
     found, at = [[] for _ in coded], 0
     while at < len(passages):
