@@ -7,6 +7,7 @@ whole result; otherwise a top-k in a total order.
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from forkline import schemas
 from forkline.functions import bytesx, timex, u256
 from forkline.operators import collapse as sign, ordered
 
@@ -66,6 +67,21 @@ def latest_blocks(blocks: DataFrame, k: int = 10) -> DataFrame:
     return _top(rows, [F.desc("timestamp"), F.desc("block_number"), F.desc("seq")], k).drop("seq")
 
 
+def latest_current_blocks(blocks: DataFrame, k: int = 100) -> DataFrame:
+    """The last ``k`` blocks of the current state of a signed table.
+
+    Block times rise with the height, so the top heights decide.  Only they are collapsed; the
+    bound moves down, fourfold each time, while reverts leave fewer than ``k`` of them."""
+    ends = blocks.agg(F.max("block_number").alias("hi"), F.min("block_number").alias("lo")).first()
+    span = 2 * k
+    while True:
+        low = -1 if ends["hi"] is None else ends["hi"] - span
+        rows = sign.collapse(from_block(blocks, low), schemas.KEYS["blocks"])
+        if ends["hi"] is None or low < ends["lo"] or len(rows.select("block_number").limit(k).collect()) == k:
+            return latest_blocks(rows, k)
+        span *= 4
+
+
 def latest_block(blocks: DataFrame) -> DataFrame:
     rows = sign.active_rows(blocks).orderBy(F.desc("block_number"), F.desc("seq")).limit(1)
     return rows.select("block_number", bytesx.to_hex("hash").alias("block_hash"),
@@ -221,14 +237,50 @@ def nft_transfers(logs: DataFrame, min_block: int, k=50) -> DataFrame:
         u256.from_be(bytesx.topic(3)).alias("token_id"), "total_transfers")
 
 
+#: Gas values that are counted as one range before the range that holds a rank is ordered.
+GAS_RANGE = 4096
+
+
+def _interpolated(counts: DataFrame, totals: DataFrame, quantiles: dict) -> DataFrame:
+    """Interpolated quantiles of ``gas_used`` per contract from ``(to, gas_used, _n)``.
+
+    Ranges of gas are summed first; only the ranges that hold a wanted rank are ordered, so
+    a task orders a contract's ranges (the block gas limit over their width) or the values
+    of one range, however many calls or different values a contract has.
+    """
+    place = {name: (F.col("call_count") - 1) * F.lit(q) for name, q in quantiles.items()}
+    wanted = totals.select("to", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("_which"), F.lit(low).alias("_low"),
+                 (F.floor(at) if low else F.ceil(at)).alias("_rank"), (at - F.floor(at)).alias("_share"))
+        for name, at in place.items() for low in (True, False)])))
+    span = F.call_function("div", F.col("gas_used"), F.lit(GAS_RANGE).cast("bigint"))
+    ranged = counts.select("to", "gas_used", "_n", span.alias("_span")).join(totals.select("to"), "to", "left_semi")
+
+    def holding(rows, keys, by):
+        run = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn("_upto", F.sum("_n").over(run))
+
+    inside = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n"))
+    spans = holding(ranged.groupBy("to", "_span").agg(F.sum("_n").alias("_n")), ["to"], "_span")
+    found = (spans.join(wanted, "to").where(inside)
+             .select("to", "_span", "_which", "_low", "_share", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank")))
+    picked = holding(ranged, ["to", "_span"], "gas_used").join(found, ["to", "_span"]).where(inside)
+
+    def at(name, low):
+        return F.max(F.when((F.col("_which") == name) & (F.col("_low") == low), F.col("gas_used"))).cast("double")
+
+    return picked.groupBy("to").agg(*[
+        (at(name, True) + (at(name, False) - at(name, True)) * F.max(F.when(F.col("_which") == name, F.col("_share")))).alias(name)
+        for name in quantiles])
+
+
 def contract_gas(transactions: DataFrame, blocks: DataFrame, last_n: int = 50_000, min_calls: int = 100,
                  k=20, approximate: bool = False) -> DataFrame:
     """Mean, median and p95 gas per called contract.
 
     Calls are first counted by (contract, gas): that shuffle spreads a hot contract, and
-    every figure follows from the counts.  A contract has at most as many distinct gas
-    values as the block gas limit, which bounds the ordered part however many calls it has.
-    ``approximate`` takes both quantiles from one mergeable sketch instead.
+    every figure follows from the counts.  ``approximate`` takes both quantiles from one
+    mergeable sketch instead.
     """
     calls = last_blocks(sign.active_rows(transactions), blocks, last_n).where(
         F.col("to").isNotNull() & (F.col("status") == 1))
@@ -247,19 +299,7 @@ def contract_gas(transactions: DataFrame, blocks: DataFrame, last_n: int = 50_00
         (F.sum(F.col("gas_used").cast("decimal(20,0)") * F.col("_n")).cast("double") / F.sum("_n")).alias("avg_gas_per_call"),
         (F.sum("_cost").cast("double") / 1e18).alias("total_eth_cost")).where(F.col("call_count") > min_calls)
     chosen = totals if k is None else totals.orderBy(F.desc("total_eth_cost"), F.col("to")).limit(k)
-    by_gas = Window.partitionBy("to").orderBy("gas_used").rowsBetween(Window.unboundedPreceding, 0)
-    running = (counts.select("to", "gas_used", "_n").join(chosen.select("to", "call_count"), "to")
-               .withColumn("_upto", F.sum("_n").over(by_gas)))
-
-    def at(position):
-        return F.min(F.when(F.col("_upto") > position, F.col("gas_used"))).cast("double")
-
-    def quantile(q):
-        place = (F.col("call_count") - 1) * F.lit(q)
-        low = F.floor(place)
-        return at(low) + (at(F.ceil(place)) - at(low)) * F.max(place - low)
-
-    quantiles = running.groupBy("to").agg(quantile(0.5).alias("median_gas"), quantile(0.95).alias("p95_gas"))
+    quantiles = _interpolated(counts, chosen.select("to", "call_count"), {"median_gas": 0.5, "p95_gas": 0.95})
     return (chosen.join(quantiles, "to").orderBy(F.desc("total_eth_cost"), F.col("to"))
             .withColumn("contract", bytesx.to_hex("to"))
             .select("contract", "call_count", "avg_gas_per_call", "total_eth_cost", "median_gas", "p95_gas"))

@@ -3,7 +3,8 @@ can state it, carries the equivalent SQL."""
 
 import time
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from forkline import schemas
 from forkline.fixtures import Chain, LATENCY_BUCKETS
@@ -494,7 +495,7 @@ def _(c):
 SELECT block_number, hash, {ts("timestamp")} AS timestamp, gas_used, miner FROM final_blocks
 ORDER BY final_blocks.timestamp DESC, block_number DESC, seq DESC LIMIT 100""")
 def _(c):
-    return catalog.latest_blocks(sign.collapse(c.blocks, schemas.KEYS["blocks"]), 100)
+    return catalog.latest_current_blocks(c.blocks, 100)
 
 
 @query("k3_lookup_many", """
@@ -1442,3 +1443,179 @@ def _(c):
         return path
     return c.spark.read.schema("block_number string, hash string, gas_used string").option("header", True).csv(
         _once(c, "csv", make))
+
+
+# ---- reruns, faults, migrations, files -----------------------------------------------
+
+@query("s3_rerun_backfill", """
+SELECT CAST(0 AS BIGINT) AS chunks_again, count(*) AS blocks, max(block_number) AS cursor FROM final_blocks""")
+def _(c):
+    """A backfill whose cursor is at the head does nothing, and leaves what is there."""
+    store = _backfilled(c)
+    again = backfill.run(store, notifications.canonical_blocks(_notifications(c)), check_missing=False)
+    return store.progress().agg(F.lit(again).cast("bigint").alias("chunks_again"), F.sum("committed_blocks").alias("blocks"),
+                                F.max("hi").alias("cursor"))
+
+
+class _Interrupted(Store):
+    """A store whose writes fail: ``faults`` names the batch number and the errors it meets in turn."""
+
+    faults: dict = {}
+
+    def append(self, name, df, batch, rebalance=False, bulk=False):
+        waiting = self.faults.get(int(batch.rsplit("-", 1)[1]), [])
+        if name == "logs" and waiting:
+            raise waiting.pop(0)
+        return super().append(name, df, batch, rebalance, bulk)
+
+
+def _interrupted(c: Chain) -> tuple:
+    """A stream that meets a passing fault, then one that stops it, and is started again from
+    its checkpoint; at last an empty batch.  The store, and the batches committed at the stop."""
+    def make():
+        store = _Interrupted(c.spark, scratch_dir(c.spark, "interrupted"), bucket_width=_bucket_width(c))
+        store.faults = {0: [OSError("connection reset")], 1: [OSError("timeout"), TypeError("wrong row")]}
+        checkpoint = scratch_dir(c.spark, "interrupted-cp")
+
+        def stream():
+            return pipeline.start(store, notifications.stream(c.spark, _notification_folder(c), max_files=3), checkpoint,
+                                  first_delay=0.01)
+        try:
+            stream().awaitTermination()
+        except StreamingQueryException:
+            pass
+        stopped = store.committed_batches().count()
+        stream().awaitTermination()
+        pipeline.ingest_batch(store, _notifications(c).limit(0), 10 ** 6)
+        return store, stopped
+    return _once(c, "interrupted", make)
+
+
+@query("ms5_ms6_interrupted_transactions", f"SELECT {TX_COLUMNS} FROM transactions")
+def _(c):
+    return _interrupted(c)[0].table("transactions").drop("block_bucket")
+
+
+@query("ms5_ms6_interrupted_logs", f"SELECT {LOG_COLUMNS} FROM logs")
+def _(c):
+    return _typed(_interrupted(c)[0].table("logs")).drop("block_bucket")
+
+
+@query("ms4_ms6_commits", """
+SELECT CAST(1 AS BIGINT) AS batches_at_stop, CAST(0 AS BIGINT) AS empty_batches,
+       count(*) FILTER (WHERE sign = 1) AS committed_blocks, count(*) FILTER (WHERE sign = -1) AS reverted_blocks FROM blocks""")
+def _(c):
+    """The stop left one batch committed, the empty batch left none, and nothing counts twice."""
+    store, stopped = _interrupted(c)
+    return store.progress().agg(F.lit(stopped).cast("bigint").alias("batches_at_stop"), F.count_if(F.col("rows") == 0).alias("empty_batches"),
+                                F.sum("committed_blocks").alias("committed_blocks"), F.sum("reverted_blocks").alias("reverted_blocks"))
+
+
+def _migrated(c: Chain) -> tuple:
+    """A database whose tables are dropped, created and filled again, then migrated by a version
+    that derives a table from them.  Its name, problems after the drop, versions pending before."""
+    def make():
+        name = "forkline_" + scratch_dir(c.spark, "db").rsplit("-", 1)[1]
+        c.spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(c.spark, 'migrated')}'")
+        schema.migrate(c.spark, name)
+        schema.publish(_streamed(c), name, "blocks")
+        schema.drop_all(c.spark, name)
+        dropped = len(schema.verify(c.spark, name))
+        schema.migrate(c.spark, name)
+        schema.publish(_streamed(c), name, "blocks")
+        steps = [*schema.default_migrations(name), (2, "block_days", [
+            f"CREATE TABLE {name}.block_days USING parquet AS SELECT to_date(timestamp) AS day, "
+            f"sum(sign) AS blocks, sum(sign * gas_used) AS gas_used FROM {name}.blocks GROUP BY 1"])]
+        todo = [m[0] for m in schema.pending(c.spark, name, steps)]
+        if schema.migrate(c.spark, name, steps) != 1 or schema.migrate(c.spark, name, steps) != 0:
+            raise AssertionError("a migration ran twice or not at all")
+        return name, dropped, todo
+    return _once(c, "migrated", make)
+
+
+@query("f11_d5_migrated_days", """
+SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS day, CAST(sum(sign) AS BIGINT) AS blocks,
+       CAST(sum(sign * gas_used) AS BIGINT) AS gas_used, '2' AS pending, CAST(2 AS BIGINT) AS version FROM blocks GROUP BY 1""")
+def _(c):
+    name, _, todo = _migrated(c)
+    return c.spark.table(f"{name}.block_days").select("day", "blocks", "gas_used", F.lit(",".join(map(str, todo))).alias("pending"),
+                                                      F.lit(schema.current_version(c.spark, name)).alias("version"))
+
+
+@query("d4_dropped_and_filled_again", f"SELECT {BLOCK_COLUMNS}, CAST(4 AS BIGINT) AS problems_after_drop FROM blocks")
+def _(c):
+    name, dropped, _ = _migrated(c)
+    return c.spark.table(f"{name}.blocks").drop("block_bucket", "month").withColumn("problems_after_drop", F.lit(dropped))
+
+
+@query("d12_definitions", """
+SELECT name, provider, buckets, rows FROM (
+  SELECT 'blocks' AS name, 'parquet' AS provider, '8' AS buckets, CAST(count(*) AS VARCHAR) AS rows FROM blocks
+  UNION ALL SELECT 'transactions', 'parquet', '8', CAST(count(*) AS VARCHAR) FROM transactions
+  UNION ALL SELECT 'logs', 'parquet', '8', CAST(count(*) AS VARCHAR) FROM logs
+  UNION ALL SELECT 'storage_diffs', 'parquet', '8', CAST(count(*) AS VARCHAR) FROM storage_diffs)""")
+def _(c):
+    """Storage type, buckets and analysed row count of each published table, as the catalog describes it."""
+    db = _catalog(c)
+    out = None
+    for t in schemas.TABLES:
+        c.spark.sql(f"ANALYZE TABLE {db}.{t} COMPUTE STATISTICS")
+
+        def said(key, value=F.col("data_type")):
+            return F.max(F.when(F.col("col_name") == key, value))
+        one = schema.describe(c.spark, db, t).agg(
+            F.lit(t).alias("name"), said("Provider").alias("provider"), said("Num Buckets").alias("buckets"),
+            said("Statistics", F.regexp_extract("data_type", "([0-9]+) rows", 1)).alias("rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+FILE_ROWS = 500
+
+
+def _bulk(c: Chain) -> Store:
+    """The four tables written in bulk: clustered by bucket, LZ4, small files, bloom filters."""
+    def make():
+        store = Store(c.spark, scratch_dir(c.spark, "bulk"), bucket_width=_bucket_width(c), compression="lz4", max_records=FILE_ROWS)
+        store.write_batch({n: getattr(c, n) for n in schemas.TABLES}, "bulk", "test", rebalance=True, bulk=True)
+        return store
+    return _once(c, "bulk", make)
+
+
+def _files(store: Store, name: str) -> DataFrame:
+    return store.spark.read.schema(schemas.TABLES[name]).parquet(store.path(name, "batch=bulk")).withColumns(
+        {"file": F.col("_metadata.file_path"), "place": F.col("_metadata.row_index")})
+
+
+@query("d8_order_in_files", """
+SELECT name, rows, CAST(0 AS BIGINT) AS out_of_order FROM (
+  SELECT 'blocks' AS name, count(*) AS rows FROM blocks UNION ALL SELECT 'transactions', count(*) FROM transactions
+  UNION ALL SELECT 'logs', count(*) FROM logs UNION ALL SELECT 'storage_diffs', count(*) FROM storage_diffs)""")
+def _(c):
+    """Rows that stand before their predecessor in the order of their table; a file has a bounded number of rows."""
+    out = None
+    for t in schemas.TABLES:
+        key = F.struct(*schemas.SORT[t])
+        before = F.lag(key).over(Window.partitionBy("file").orderBy("place"))
+        one = (_files(_bulk(c), t).select(key.alias("_key"), before.alias("_before"))
+               .agg(F.lit(t).alias("name"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_key") < F.col("_before")).alias("out_of_order")))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("d11_codec_and_file_size", f"""
+SELECT 'lz4' AS codec, true AS bounded, count(*) AS rows, count(*) > {FILE_ROWS} AS several_files FROM transactions""")
+def _(c):
+    sizes = _files(_bulk(c), "transactions").groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    codec = F.regexp_extract("file", "[.](lz4|zstd|snappy)[^/]*parquet$", 1)
+    return sizes.agg(F.array_join(F.array_sort(F.collect_set(codec)), ",").alias("codec"), (F.max("n") <= FILE_ROWS).alias("bounded"),
+                     F.sum("n").alias("rows"), (F.count(F.lit(1)) > 1).alias("several_files"))
+
+
+@query("d9_sender_lookup", f"""
+SELECT {TX_COLUMNS} FROM transactions WHERE "from" = (SELECT "from" FROM transactions WHERE sign = 1 ORDER BY block_number DESC, tx_index DESC, seq DESC LIMIT 1)""")
+def _(c):
+    """Transactions of one sender from files with bloom filters on it; the test counts the rows the scan lets through."""
+    rows = _bulk(c).table("transactions").drop("block_bucket")
+    newest = sign.active_rows(c.transactions).orderBy(F.desc("block_number"), F.desc("tx_index"), F.desc("seq")).select("from").first()[0]
+    return rows.where(F.col("from") == F.lit(newest))

@@ -1,7 +1,9 @@
 """Catalogue behaviour that the SQL checks do not reach."""
 
 import hashlib
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,31 @@ def test_byte_helpers(spark):
         bytesx.to_hex(bytesx.from_hex(F.lit("0Xff01"))).alias("raw"),
         bytesx.short_hash(F.lit("0x" + "12345678" * 8)).alias("short")).first()
     assert (r.odd, r.padded, r.raw, r.short) == ("0abc", "00000001", "ff01", "0x12345678...12345678")
+
+
+def test_quantiles_over_many_ranges_of_gas(spark):
+    """Ties, ranges far apart and a contract whose ranks fall on the border of two ranges."""
+    rng = random.Random(7)
+    gas = {1: [rng.randrange(30_000_000) for _ in range(3000)], 2: [catalog.GAS_RANGE - 1] * 5 + [catalog.GAS_RANGE] * 5,
+           3: [21_000] * 400 + [rng.randrange(10 ** 12) for _ in range(20)]}
+    tx = spark.createDataFrame([(bytes([c]) * 20, g) for c, gs in gas.items() for g in gs], "to binary, gas_used bigint").selectExpr(
+        "*", "1L AS block_number", "CAST(1 AS TINYINT) AS sign", "1 AS status", "CAST(1 AS DECIMAL(38,0)) AS gas_price")
+    blocks = spark.createDataFrame([(1, 1)], "block_number bigint, sign int")
+    got = {int(r.contract[:2]): (r.median_gas, r.p95_gas) for r in catalog.contract_gas(tx, blocks, min_calls=0, k=None).collect()}
+    for c, gs in gas.items():
+        assert got[c] == pytest.approx(tuple(np.quantile(gs, [0.5, 0.95])))
+
+
+@pytest.mark.parametrize("k", [1, 5, 40, 1000])
+def test_last_current_blocks_below_a_long_revert(spark, chain, k):
+    """All of the top is reverted, so that the first bound holds too few blocks."""
+    top = chain.blocks.agg(F.max("block_number")).first()[0]
+    current = sign.collapse(chain.blocks, schemas.KEYS["blocks"])
+    gone = current.where(F.col("block_number") > top // 2).withColumn("sign", F.lit(-1).cast("byte")).withColumn("seq", F.lit(10 ** 6))
+    signed = chain.blocks.unionByName(gone.select(*chain.blocks.columns))
+    want = catalog.latest_blocks(sign.collapse(signed, schemas.KEYS["blocks"]), k).collect()
+    assert catalog.latest_current_blocks(signed, k).collect() == want and len(want) <= k
+
+
+def test_last_current_blocks_of_nothing(spark):
+    assert catalog.latest_current_blocks(spark.createDataFrame([], schemas.BLOCKS), 5).collect() == []
