@@ -241,37 +241,36 @@ def nft_transfers(logs: DataFrame, min_block: int, k=50) -> DataFrame:
 GAS_RANGE = 4096
 
 
-def _interpolated(counts: DataFrame, totals: DataFrame, quantiles: dict) -> DataFrame:
-    """Interpolated quantiles of ``gas_used`` per contract from ``(to, gas_used, _n)``.
-
-    Ranges of gas are summed first; only the ranges that hold a wanted rank are ordered, so
-    a task orders a contract's ranges (the block gas limit over their width) or the values
-    of one range, however many calls or different values a contract has.
-    """
-    place = {name: (F.col("call_count") - 1) * F.lit(q) for name, q in quantiles.items()}
-    wanted = totals.select("to", F.inline(F.array(*[
-        F.struct(F.lit(name).alias("_which"), F.lit(low).alias("_low"),
-                 (F.floor(at) if low else F.ceil(at)).alias("_rank"), (at - F.floor(at)).alias("_share"))
-        for name, at in place.items() for low in (True, False)])))
-    span = F.call_function("div", F.col("gas_used"), F.lit(GAS_RANGE).cast("bigint"))
-    ranged = counts.select("to", "gas_used", "_n", span.alias("_span")).join(totals.select("to"), "to", "left_semi")
+def _at_rank(pairs: str, rank: str) -> str:
+    """SQL: of sorted (value, n) pairs the value at a 0-based rank, and the rank inside it."""
+    here = f"s.value IS NULL AND {rank} < s.upto + p.n"
+    return (f"aggregate({pairs}, named_struct('upto', 0L, 'value', CAST(NULL AS BIGINT), 'inside', CAST(NULL AS BIGINT)), (s, p) -> "
+            f"named_struct('upto', s.upto + p.n, 'value', if({here}, p.value, s.value), 'inside', if({here}, {rank} - s.upto, s.inside)))")
 
-    def holding(rows, keys, by):
-        run = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
-        return rows.withColumn("_upto", F.sum("_n").over(run))
 
-    inside = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n"))
-    spans = holding(ranged.groupBy("to", "_span").agg(F.sum("_n").alias("_n")), ["to"], "_span")
-    found = (spans.join(wanted, "to").where(inside)
-             .select("to", "_span", "_which", "_low", "_share", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank")))
-    picked = holding(ranged, ["to", "_span"], "gas_used").join(found, ["to", "_span"]).where(inside)
-
-    def at(name, low):
-        return F.max(F.when((F.col("_which") == name) & (F.col("_low") == low), F.col("gas_used"))).cast("double")
-
-    return picked.groupBy("to").agg(*[
-        (at(name, True) + (at(name, False) - at(name, True)) * F.max(F.when(F.col("_which") == name, F.col("_share")))).alias(name)
-        for name in quantiles])
+def _interpolated(counts: DataFrame, totals: DataFrame, quantiles: dict) -> DataFrame:
+    """The totals with interpolated quantiles of ``gas_used`` per contract.
+
+    ``counts`` has ``(to, _span, gas_used, _n)`` and ``totals`` the counts of a contract's
+    ranges of gas.  Only values of ranges that hold a wanted rank are ordered: a row holds at
+    most as many ranges as the block gas limit has, or the values of one range per rank."""
+    place = {name: f"((call_count - 1) * {q}D)" for name, q in quantiles.items()}
+    ranks = [(f"{name}_{end}", f"{f}({at})", at) for name, at in place.items() for end, f in (("low", "floor"), ("high", "ceil"))]
+    # the totals travel along, so that they are worked out once
+    kept = ", ".join(c for c in totals.columns if c not in ("to", "_spans"))
+    wanted = totals.selectExpr("to", f"struct({kept}) AS _total", "inline(array(" + ", ".join(
+        f"named_struct('_which', '{which}', '_found', {_at_rank('_spans', rank)}, '_share', {at} - floor({at}))"
+        for which, rank, at in ranks) + "))").selectExpr(
+        "to", "_total", "_which", "_share", "_found.value AS _span", "_found.inside AS _rank")
+    held = counts.select("to", "_span", "gas_used", "_n").join(wanted, ["to", "_span"])
+    found = held.groupBy("to").agg(F.first("_total").alias("_total"), *[F.expr(e) for which, _, _ in ranks for e in (
+        f"array_sort(collect_list(struct(gas_used AS value, _n AS n)) FILTER (WHERE _which = '{which}')) AS {which}_pairs",
+        f"max(_rank) FILTER (WHERE _which = '{which}') AS {which}_rank",
+        f"max(_share) FILTER (WHERE _which = '{which}') AS {which}_share")])
+    exact = found.selectExpr("to", "_total.*", *[
+        f"CAST({_at_rank(f'{which}_pairs', f'{which}_rank')}.value AS DOUBLE) AS {which}" for which, _, _ in ranks],
+        *[f"{name}_low_share" for name in quantiles])
+    return exact.selectExpr("*", *[f"{n}_low + ({n}_high - {n}_low) * {n}_low_share AS {n}" for n in quantiles])
 
 
 def contract_gas(transactions: DataFrame, blocks: DataFrame, last_n: int = 50_000, min_calls: int = 100,
@@ -294,13 +293,16 @@ def contract_gas(transactions: DataFrame, blocks: DataFrame, last_n: int = 50_00
         return _top(sketched, [F.desc("total_eth_cost"), F.col("to")], k).select(
             bytesx.to_hex("to").alias("contract"), "call_count", "avg_gas_per_call", "total_eth_cost",
             F.col("_q")[0].cast("double").alias("median_gas"), F.col("_q")[1].cast("double").alias("p95_gas"))
-    totals = counts.groupBy("to").agg(
-        F.sum("_n").alias("call_count"),
-        (F.sum(F.col("gas_used").cast("decimal(20,0)") * F.col("_n")).cast("double") / F.sum("_n")).alias("avg_gas_per_call"),
-        (F.sum("_cost").cast("double") / 1e18).alias("total_eth_cost")).where(F.col("call_count") > min_calls)
+    counts = counts.withColumn("_span", F.call_function("div", F.col("gas_used"), F.lit(GAS_RANGE).cast("bigint")))
+    ranges = counts.groupBy("to", "_span").agg(F.sum("_n").alias("_n"), F.sum("_cost").alias("_cost"), F.sum(
+        F.col("gas_used").cast("decimal(20,0)") * F.col("_n")).alias("_gas"))
+    totals = ranges.groupBy("to").agg(
+        F.sum("_n").alias("call_count"), (F.sum("_gas").cast("double") / F.sum("_n")).alias("avg_gas_per_call"),
+        (F.sum("_cost").cast("double") / 1e18).alias("total_eth_cost"),
+        F.expr("array_sort(collect_list(struct(_span AS value, _n AS n)))").alias("_spans")).where(F.col("call_count") > min_calls)
     chosen = totals if k is None else totals.orderBy(F.desc("total_eth_cost"), F.col("to")).limit(k)
-    quantiles = _interpolated(counts, chosen.select("to", "call_count"), {"median_gas": 0.5, "p95_gas": 0.95})
-    return (chosen.join(quantiles, "to").orderBy(F.desc("total_eth_cost"), F.col("to"))
+    found = _interpolated(counts, chosen, {"median_gas": 0.5, "p95_gas": 0.95})
+    return (found.orderBy(F.desc("total_eth_cost"), F.col("to"))
             .withColumn("contract", bytesx.to_hex("to"))
             .select("contract", "call_count", "avg_gas_per_call", "total_eth_cost", "median_gas", "p95_gas"))
 
