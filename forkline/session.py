@@ -1,9 +1,13 @@
 """Session defaults and the shared scratch folder."""
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # The engine relies on these; a cluster only has to size shuffle.partitions (the
 # upper bound AQE coalesces from) to its data.
 DEFAULTS = {
@@ -15,8 +19,7 @@ DEFAULTS = {
     # a join on (height, sequence) may use tables that are bucketed by height alone
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: ROCKSDB,
 }
 
 
@@ -31,6 +34,21 @@ def local_session(cpus="*", shuffle_partitions=8, memory="12g", **conf):
     return builder.getOrCreate()
 
 
+@contextmanager
+def rocksdb_state(spark):
+    """Streams that start inside keep their state in RocksDB, whatever the session's default.
+
+    ``transformWithState`` has no other store.  A query copies the session's settings when it
+    starts, and one with a checkpoint goes by that, so the setting is put back at once.
+    """
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+
+
 def scratch_dir(spark, label):
     """A fresh folder every executor can reach.
 

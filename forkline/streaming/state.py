@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from forkline.operators.collapse import OWN
+from forkline.session import rocksdb_state
 
 
 def net_state(rows: DataFrame, keys: list) -> DataFrame:
@@ -120,8 +121,9 @@ def start_append(rows: DataFrame, path: str, checkpoint: str, **trigger) -> Stre
     """Write what a stream emits, a folder per micro-batch that a replay writes anew."""
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
-    return (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .foreachBatch(save).trigger(**(trigger or {"availableNow": True})).start())
+    with rocksdb_state(rows.sparkSession):
+        return (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+                .foreachBatch(save).trigger(**(trigger or {"availableNow": True})).start())
 
 
 def _folders(spark, path: str) -> DataFrame:

@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 from forkline import schemas
 from forkline.operators import collapse as sign, flatten, forks, sketches
+from forkline.plans import registered
+from forkline.session import STATE_STORE
 from forkline.sources import coverage, notifications, schema as ddl, sequence
 from forkline.sources.store import Store
 from forkline.streaming import live, pipeline, state
 
+from conftest import SF
+
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
 
@@ -154,6 +158,32 @@ def test_alerts_and_absence(spark, tmp_path):
                    ("a", 840, "absent"), ("b", 0, "inactive"), ("b", 600, "absent"), ("b", 900, "inactive"), ("b", 1500, "absent")]
 
 
+def test_alerts_keep_samples_that_share_a_millisecond(spark, tmp_path):
+    at = lambda us: START + dt.timedelta(microseconds=us)
+    source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    hour = 3_600_000_000
+    # written against the order of time; the hold is reached by 100 microseconds only
+    for batch in ([(at(300), 20.0), (at(100), 1.0)], [(at(200), 30.0)], [(at(120_000_200), 40.0), (at(120_000_150), 40.0)], [(at(hour), 1.0)]):
+        spark.createDataFrame([(t, "a", None, v) for t, v in batch], schemas.METRICS).coalesce(1).write.mode("append").parquet(source)
+        rows = spark.readStream.schema(schemas.METRICS).parquet(source)
+        state.start_append(live.alerts(rows, F.col("value") > 12, 120_000, "10 minutes", 2 * 3_600_000), out, checkpoint).awaitTermination()
+    got = sorted((r["millis"] - int(START.timestamp() * 1000), r["value"], r["state"]) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 1.0, "inactive"), (0, 20.0, "pending"), (0, 30.0, "pending"), (120_000, 40.0, "firing"), (120_000, 40.0, "pending")]
+
+
+@pytest.mark.parametrize("name", ["m10_live_alerts", "r13_finalized_blocks", "r13_corrected_outcomes", "t13_live_previous_slot_value"])
+def test_streams_with_state_run_under_any_default_store(spark, name):
+    before = spark.conf.get(STATE_STORE)
+    hdfs = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(STATE_STORE, hdfs)
+    try:
+        registered._RUNS.clear()
+        assert registered.QUERIES[name](spark, SF).count() > 0
+        assert spark.conf.get(STATE_STORE) == hdfs
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 # ---- fork tree
 
 @pytest.mark.parametrize("seed", [1, 2])
