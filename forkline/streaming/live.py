@@ -4,6 +4,7 @@ Each equals its batch counterpart on the same rows; see the functions in ``opera
 """
 
 import sys
+from itertools import islice
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, functions as F
@@ -75,48 +76,70 @@ def read_previous(versions: DataFrame) -> DataFrame:
 
 class AlertProcessor(StatefulProcessor):
     """Holds the samples of one series until the watermark is past them, then takes them in order
-    through inactive, pending and firing.  A timer after the last sample reports absence."""
+    through inactive, pending and firing.  A timer after the last sample reports absence.
+
+    Times are microseconds here, since several samples may share a millisecond.  One timer stands
+    at the earliest sample that waits."""
+
+    #: Samples that go to the state at once.
+    CHUNK = 10_000
 
     def __init__(self, hold_ms: int, absent_ms: int):
-        self.hold_ms, self.absent_ms = hold_ms, absent_ms
+        self.hold, self.absent = hold_ms * 1000, absent_ms * 1000
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "millis bigint", "value double, hot boolean")
-        self.state = handle.getValueState("state", "since bigint, last bigint, absent boolean")
+        self.waiting = handle.getListState("waiting", "micros bigint, value double, hot boolean")
+        self.state = handle.getValueState("state", "since bigint, last bigint, absent boolean, due bigint")
+
+    def _known(self):
+        return self.state.get() if self.state.exists() else (None, None, False, None)
 
     def handleInputRows(self, key, rows, timerValues):
-        due = set()
-        for r in rows:
-            self.waiting.updateValue((r["millis"],), (r["value"], r["hot"]))
-            due.add(r["millis"])
-        for millis in due:
-            self.handle.registerTimer(millis)
+        since, last, absent, due = self._known()
+        came = ((r["micros"], r["value"], r["hot"]) for r in rows)
+        first = None
+        while chunk := list(islice(came, self.CHUNK)):
+            self.waiting.appendList(chunk)
+            first = min(chunk[0][0] if first is None else first, *(c[0] for c in chunk))
+        if first is not None and (due is None or first < due):
+            self.handle.registerTimer(first // 1000)
+            self.state.update((since, last, absent, first))
         yield from ()
 
-    def _row(self, key, millis, value, since, state):
-        return Row(name=key[0], millis=millis, value=value, active_since=since, state=state)
+    def _row(self, key, micros, value, since, state):
+        return Row(name=key[0], millis=micros // 1000, value=value,
+                   active_since=None if since is None else since // 1000, state=state)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = timerValues.getCurrentWatermarkInMs()
-        since, last, absent = self.state.get() if self.state.exists() else (None, None, False)
-        ready = sorted((k[0], v[0], v[1]) for k, v in self.waiting.iterator() if k[0] <= now)
-        for millis, value, hot in ready:
-            self.waiting.removeKey((millis,))
-            if last is not None and not absent and last + self.absent_ms < millis:
-                yield self._row(key, last + self.absent_ms, None, since, "absent")
-            since = (millis if since is None else since) if hot else None
-            last, absent = millis, False
-            state = "inactive" if not hot else "firing" if millis >= since + self.hold_ms else "pending"
-            yield self._row(key, millis, value, since, state)
-        if last is None:
-            return
-        if not absent and last + self.absent_ms <= now:
-            yield self._row(key, last + self.absent_ms, None, since, "absent")
-            absent = True
-        elif ready:
-            self.handle.registerTimer(last + self.absent_ms)
-        self.state.update((since, last, absent))
+        now = timerValues.getCurrentWatermarkInMs() * 1000 + 999
+        since, last, absent, due = self._known()
+        ready = []
+        if due is not None and due <= now:
+            rest = []
+            for w in self.waiting.get():
+                (ready if w[0] <= now else rest).append(w)
+            ready.sort(key=lambda w: w[0])
+            self.waiting.clear()
+            for i in range(0, len(rest), self.CHUNK):
+                self.waiting.appendList(rest[i:i + self.CHUNK])
+            due = min((w[0] for w in rest), default=None)
+            if due is not None:
+                self.handle.registerTimer(due // 1000)
+        for micros, value, hot in ready:
+            if last is not None and not absent and last + self.absent < micros:
+                yield self._row(key, last + self.absent, None, since, "absent")
+            since = (micros if since is None else since) if hot else None
+            last, absent = micros, False
+            state = "inactive" if not hot else "firing" if micros >= since + self.hold else "pending"
+            yield self._row(key, micros, value, since, state)
+        if last is not None:
+            if not absent and last + self.absent <= now:
+                yield self._row(key, last + self.absent, None, since, "absent")
+                absent = True
+            elif ready:
+                self.handle.registerTimer((last + self.absent) // 1000)
+        self.state.update((since, last, absent, due))
 
     def close(self) -> None:
         pass
@@ -130,7 +153,7 @@ def alerts(samples: DataFrame, condition, hold_ms: int, delay: str, absent_ms: i
     (``delay`` behind the newest sample of any series) is past it; and a row ``absent`` where a
     series has had no sample for ``absent_ms`` though others go on."""
     rows = samples.withWatermark("ts", delay).select(
-        "name", F.unix_millis("ts").alias("millis"), "value", F.coalesce(condition, F.lit(False)).alias("hot"))
+        "name", F.unix_micros("ts").alias("micros"), "value", F.coalesce(condition, F.lit(False)).alias("hot"))
     return rows.groupBy("name").transformWithState(AlertProcessor(hold_ms, absent_ms), ALERT, "append", "EventTime")
 
 
