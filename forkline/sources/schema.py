@@ -4,6 +4,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forkline import schemas
 
+#: Heights of one bucket's rows that one task of a publication takes.
+HEIGHTS = 20_000
+
 
 def _columns(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -31,12 +34,16 @@ def publish(store, database: str, name: str, buckets: int | None = None, heights
 
     Whole partitions are overwritten, so a repeated or retried publication changes nothing.  With
     ``buckets`` (those the table was created with) rows are dealt the way the table is, one task per
-    bucket, so that no task writes a file of every bucket."""
+    bucket and ``HEIGHTS`` heights, so that no task writes a file of every bucket and none grows with
+    the chain."""
     rows = store.table(name)
     if heights is not None:
         rows = rows.where(F.col("block_bucket").between(*heights))
     if buckets:
-        rows = rows.repartition(buckets, "block_number")
+        lo, hi = store.progress().agg(F.min("lo"), F.max("hi")).first()
+        ranges = 1 if lo is None else (hi - lo) // HEIGHTS + 1
+        place = F.call_function("div", F.col("block_number") - F.lit(lo or 0).cast("bigint"), F.lit(HEIGHTS).cast("bigint"))
+        rows = rows.repartitionById(ranges * buckets, (F.pmod(place, F.lit(ranges)) * buckets + F.pmod(F.hash("block_number"), F.lit(buckets))).cast("int"))
     else:
         rows = rows.hint("rebalance", "block_bucket")
     folders = [f.name for f in schemas.PARTITIONS[name]]
