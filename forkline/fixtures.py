@@ -197,13 +197,20 @@ class Chain:
                        lambda l: F.struct(l["address"], l["topics"], l["data"])).alias("logs")
                    ).alias("receipt")))).alias("items")))
 
-        def state(rows, name):
-            return (rows.groupBy("block_number", "address", "slot")
-                    .agg(F.unhex(F.max_by("data", "log_index")).alias("value"))
-                    .groupBy("block_number", "address")
-                    .agg(F.map_from_entries(F.collect_list(F.struct("slot", "value"))).alias("slots"))
-                    .groupBy("block_number")
-                    .agg(F.map_from_entries(F.collect_list(F.struct("address", "slots"))).alias(name)))
+        # both forks' last values in one pass: the logs are put in order once for either
+        last = (self._logs.groupBy("block_number", "address", "slot")
+                .agg(F.unhex(F.max_by("data", "log_index")).alias("value0"),
+                     F.unhex(F.max_by(F.col("data"), F.when(F.col("tx_index") != 9, F.col("log_index")))).alias("value1")))
+
+        def slots(fork):
+            return F.collect_list(F.when(F.col(f"value{fork}").isNotNull(), F.struct("slot", F.col(f"value{fork}").alias("value"))))
+
+        def state(fork):
+            entries = F.collect_list(F.when(F.size(f"slots{fork}") > 0, F.struct("address", F.map_from_entries(f"slots{fork}").alias("slots"))))
+            return F.when(F.size(entries) > 0, F.map_from_entries(entries)).alias(f"state{fork}")
+
+        states = (last.groupBy("block_number", "address").agg(slots(0).alias("slots0"), slots(1).alias("slots1"))
+                  .groupBy("block_number").agg(state(0), state(1)))
 
         def block(fork):
             items = F.col("items") if fork == 0 else F.filter("items", lambda x: x["tx_index"] != 9)
@@ -223,8 +230,7 @@ class Chain:
             return F.array(*[F.struct(F.lit(i).alias("step"), F.lit(k).alias("kind")) for i, k in enumerate(kinds)])
 
         nested = (self._headers.join(txs, "block_number")
-                  .join(state(self._logs, "state0"), "block_number", "left")
-                  .join(state(self._logs.where("tx_index <> 9"), "state1"), "block_number", "left")
+                  .join(states, "block_number", "left")
                   .select("block_number", block(0).alias("b0"), block(1).alias("b1"))
                   .select("*", F.explode(F.when(kind == "replaced", steps("ChainCommitted", "ChainReorged"))
                                     .when(kind == "orphaned", steps("ChainCommitted", "ChainReverted"))

@@ -75,15 +75,32 @@ def _once(c: Chain, what: str, make):
     return _RUNS[key]
 
 
+#: Files of notifications, and bytes of a row group of them: a file is read by as many tasks as it has groups.
+FILES = 12
+ROW_GROUP = 8 << 20
+
+
+def _scratch(c: Chain, nested: DataFrame, label: str) -> str:
+    path = scratch_dir(c.spark, label)
+    nested.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    return path
+
+
 def _notification_folder(c: Chain) -> str:
     def make():
-        path = scratch_dir(c.spark, "notifications")
-        # in the order of time, a dozen files, so that every stream takes several batches
-        c.notifications.repartitionByRange(12, "seq").write.parquet(path)
-        return path
+        # in the order of time, a dozen files, so that every stream takes several batches; heights run
+        # from 0 on, so the cuts are known and no sample, which would build the notifications twice, is drawn
+        width = -(-(4 * (backfill.head(c.blocks) + 1)) // FILES)
+        file = F.call_function("div", F.col("seq"), F.lit(width).cast("bigint")).cast("int")
+        return _scratch(c, c.notifications.repartitionById(FILES, file), "notifications")
     return _once(c, "notifications", make)
 
 
+def _canonical(c: Chain, rows: DataFrame) -> DataFrame:
+    """The history to backfill, as files: each table and check reads them, none repeats the netting."""
+    return notifications.read_blocks(c.spark, _scratch(c, notifications.canonical_blocks(rows), "history"))
+
+
 def _notifications(c: Chain) -> DataFrame:
     return notifications.read(c.spark, _notification_folder(c))
 
@@ -1121,7 +1138,7 @@ def _streamed(c: Chain) -> Store:
 def _backfilled(c: Chain) -> Store:
     def make():
         store = Store(c.spark, scratch_dir(c.spark, "backfill"))
-        history = notifications.canonical_blocks(_notifications(c))
+        history = _canonical(c, _notifications(c))
         # reverted heights that nothing replaced are gaps of the canonical chain
         backfill.run(store, history, after=-1, check_missing=False)
         return store
@@ -1196,10 +1213,9 @@ def _seam(c: Chain) -> Store:
         store = Store(c.spark, scratch_dir(c.spark, "seam"), bucket_width=_bucket_width(c))
         every = _notifications(c)
         middle = every.agg(F.percentile("seq", 0.5)).first()[0]
-        live = scratch_dir(c.spark, "seam-live")
-        (every.where(F.col("seq") > middle).withColumn("seq", F.col("seq") - F.lit(int(middle)))
-         .repartitionByRange(4, "seq").write.parquet(live))
-        pipeline.backfill_then_live(store, notifications.canonical_blocks(every.where(F.col("seq") <= middle)),
+        live = _scratch(c, every.where(F.col("seq") > middle).withColumn("seq", F.col("seq") - F.lit(int(middle)))
+                        .repartitionByRange(4, "seq"), "seam-live")
+        pipeline.backfill_then_live(store, _canonical(c, every.where(F.col("seq") <= middle)),
                                     notifications.stream(c.spark, live, max_files=1),
                                     scratch_dir(c.spark, "seam-cp"), check_missing=False).awaitTermination()
         return store

@@ -10,6 +10,10 @@ from forkline.sources.store import Store
 from forkline.streaming.retry import with_retry
 
 
+#: Bytes of notification files that one task takes, as far as their row groups allow.
+SPLIT = 8 << 20
+
+
 def ingest_batch(store: Store, batch: DataFrame, batch_id: int, time_unit: str = "s", daily: bool = True,
                  prefix: str = "st", **retry) -> None:
     """Write one micro-batch.  Rows of all four tables, those set aside, the daily partials and
@@ -47,6 +51,8 @@ def start(store: Store, notifications: DataFrame, checkpoint: str, processing_ti
     def write(batch: DataFrame, batch_id: int) -> None:
         if not known:
             known.append(store.spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"])
+            # the stream's own copy of the session: a task's share of a batch does not grow with the batch
+            batch.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", SPLIT)
         rows = sequence.fetch(batch) if by_number else batch
         ingest_batch(store, rows, batch_id, time_unit, daily, f"st-{known[0]}", **retry)
 

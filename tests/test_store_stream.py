@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from forkline import schemas
 from forkline.operators import collapse as sign, flatten, metrics
-from forkline.plans import catalog
+from forkline.plans import catalog, registered
 from forkline.sources import backfill, notifications, schema as ddl
 from forkline.sources.store import Store, write_options
 from forkline.streaming import pipeline, state
@@ -285,3 +285,30 @@ def test_bloom_filters_skip_row_groups(spark, chain, tmp_path):
         finally:
             spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert read[False] > 0.9 * once.count() and read[True] < 0.1 * read[False]
+
+
+def test_notifications_order_the_logs_twice_only(chain):
+    plan = chain.notifications._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2
+
+
+def test_history_is_read_from_files(spark, chain):
+    history = registered._canonical(chain, chain.notifications)
+    assert "Exchange" not in history._jdf.queryExecution().executedPlan().toString()
+    assert same(history.select("header"), notifications.canonical_blocks(chain.notifications).select("header"))
+
+
+def test_publication_deals_by_bucket_and_heights(spark, chain, tmp_path, monkeypatch):
+    monkeypatch.setattr(ddl, "HEIGHTS", 25)
+    store = Store(spark, str(tmp_path / "store"), bucket_width=50)
+    store.write_batch(chain.tables, "b-0", "test")
+    name = f"published_{tmp_path.name.replace('-', '_')}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path / 'db'}'")
+    spark.sql(ddl.create_statement(name, "transactions", 4))
+    ddl.publish(store, name, "transactions", 4)
+    table = spark.table(f"{name}.transactions")
+    assert same(table.drop("block_bucket"), chain.transactions)
+    # each file holds heights of one task's range and of one bucket
+    files = table.groupBy(F.input_file_name()).agg(
+        F.count_distinct(F.pmod(F.hash("block_number"), F.lit(4))).alias("buckets"), F.count_distinct(F.floor(F.col("block_number") / 25)).alias("ranges"))
+    assert files.agg(F.max("buckets"), F.max("ranges"), F.count("*") > 8).first()[:] == (1, 1, True)
