@@ -11,8 +11,9 @@ limit), as in the data model itself.
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from forkline import schemas
+from forkline import nesting, schemas
 from forkline.functions import bytesx
 
 TRANSFER_TOPIC = "ddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
@@ -20,6 +21,9 @@ TRANSFER_TOPIC = "ddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3
 # columns made by Chain._header_columns, in its order
 HEADER_COLUMNS = ["hash", "parent_hash", "gas_limit", "base_fee", "miner", "state_root", "extra_data"]
 
+# order of the logs of one transaction
+LOG_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+
 LATENCY_BUCKETS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5]
 
 
@@ -116,28 +120,30 @@ class Chain:
     def _logs(self) -> DataFrame:
         """Logs of fork 0.  Order keys beyond the newest event fold back onto it, so
         every lineitem is a log of an existing transaction."""
-        li = self.table("lineitem")
+        index = Window.partitionBy("block_number").orderBy("tx_index", *LOG_ORDER)
+        return (self._log_rows.withColumn("log_index", F.row_number().over(index) - 1)
+                .select("block_number", "tx_index", "log_index",
+                        _sha(F.concat(F.lit("tx:"), F.col("event_id").cast("string"))).alias("tx_hash"),
+                        *self._log_columns()))
+
+    @cached_property
+    def _log_rows(self) -> DataFrame:
         events = self.table("events").agg((F.max("event_id") + 1).alias("n")).scalar()
-        event = F.pmod(F.col("l_orderkey"), events)
-        index = Window.partitionBy("block_number").orderBy(
-            "tx_index", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            "l_extendedprice", "l_shipdate")
+        return (self.table("lineitem").withColumn("event_id", F.pmod(F.col("l_orderkey"), events))
+                .withColumn("block_number", F.call_function("div", F.col("event_id"), F.lit(10).cast("bigint")))
+                .withColumn("tx_index", (F.col("event_id") % 10).cast("int")))
+
+    @staticmethod
+    def _log_columns() -> list:
         transfer = F.col("l_returnflag").isin("A", "R")
         topics = F.array(_number(F.col("l_partkey") % 20 + 1, 32), _number(F.col("l_suppkey") % 20 + 1, 32))
         nft = (F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 1)
         cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-        return (li.withColumn("event_id", event)
-                .withColumn("block_number", F.call_function("div", F.col("event_id"), F.lit(10).cast("bigint")))
-                .withColumn("tx_index", (F.col("event_id") % 10).cast("int"))
-                .withColumn("log_index", F.row_number().over(index) - 1)
-                .select("block_number", "tx_index", "log_index",
-                        _sha(F.concat(F.lit("tx:"), F.col("event_id").cast("string"))).alias("tx_hash"),
-                        _number(F.lit(49152) + F.col("l_suppkey") % 5, 20).alias("address"),
-                        F.when(transfer, bytesx.literal(TRANSFER_TOPIC)).otherwise(_sha(F.lit("other"))).alias("topic0"),
-                        F.when(nft, F.concat(topics, F.array(_number(F.col("l_partkey"), 32))))
-                        .otherwise(topics).alias("topics"),
-                        F.concat(F.lpad(F.lower(F.hex(cents)), 52, "0"), F.lit("0" * 12)).alias("data"),
-                        _number(F.col("l_partkey") % 8, 32).alias("slot")))
+        return [_number(F.lit(49152) + F.col("l_suppkey") % 5, 20).alias("address"),
+                F.when(transfer, bytesx.literal(TRANSFER_TOPIC)).otherwise(_sha(F.lit("other"))).alias("topic0"),
+                F.when(nft, F.concat(topics, F.array(_number(F.col("l_partkey"), 32)))).otherwise(topics).alias("topics"),
+                F.concat(F.lpad(F.lower(F.hex(cents)), 52, "0"), F.lit("0" * 12)).alias("data"),
+                _number(F.col("l_partkey") % 8, 32).alias("slot")]
 
     def _signed(self, df: DataFrame, by_tx: bool) -> DataFrame:
         rows = (df.withColumn("_s", F.explode(_steps(F.col("block_number"))))
@@ -243,6 +249,45 @@ class Chain:
             F.when(F.col("s.step") == 0, F.array("b0")).when(F.col("s.kind") == "ChainReorged", F.array("b1"))
             .otherwise(none).alias("new"))
 
+    @cached_property
+    def head(self) -> int:
+        """Newest height."""
+        return (self.table("events").agg(F.max("event_id")).first()[0] or 0) // 10
+
+    def nested(self, parts: int, heights: int) -> DataFrame:
+        """``notifications``, dealt by height: part ``i`` holds heights from ``i * heights`` on, in order.
+
+        One shuffle and one sort of flat rows, which tasks nest by offsets; a part is a task."""
+        block = {f.name: f.dataType for f in schemas.BLOCK.fields}
+        tx, receipt = block["transactions"].elementType, block["receipts"].elementType
+        made = {"number": F.col("block_number"), "timestamp": F.unix_seconds("timestamp"), "gas_used": F.col("gas_used")}
+
+        def header(fork):
+            named = made | dict(zip(HEADER_COLUMNS, self._header_columns(F.lit(fork))))
+            return F.struct(*[named[f.name].cast(f.dataType).alias(f.name) for f in schemas.HEADER.fields])
+
+        number = F.col("block_number")
+        heads = self._headers.select("block_number", F.struct(
+            _fork_class(number).alias("kind"), header(0).alias("b0"), header(1).alias("b1")).alias("head"))
+        names = {"hash": "tx_hash"}
+        txs = self._tx.select("block_number", "tx_index", F.struct(
+            F.struct(*[F.col(names.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in tx.fields]).alias("tx"),
+            F.col("status").cast(receipt["status"].dataType).alias("status"),
+            F.col("gas_used").cast(receipt["gas_used"].dataType).alias("used")).alias("tx"))
+        logs = self._log_rows.select("block_number", "tx_index", *LOG_ORDER, "l_returnflag", "l_linestatus")
+        rows = (heads.unionByName(txs, allowMissingColumns=True).unionByName(logs, allowMissingColumns=True)
+                .where(number.isNotNull()))
+        part = F.call_function("div", number, F.lit(heights).cast("bigint"))
+        # nulls come first: a block before its transactions, each of them before its logs
+        flat = (rows.repartitionById(parts, F.pmod(part, F.lit(parts)).cast("int"))
+                .sortWithinPartitions("block_number", "tx_index", *LOG_ORDER, "tx"))
+        log = {c: F.col(c) for c in ("address", "data", "slot")}
+        log["topics"] = F.concat(F.array("topic0"), F.col("topics"))
+        log["data"] = F.unhex("data")
+        out = flat.select("block_number", "tx_index", "head", "tx", *self._log_columns()).select(
+            "block_number", "tx_index", "head", "tx", *[c.alias(n) for n, c in log.items()])
+        return out.mapInArrow(nesting.nest(to_arrow_schema(schemas.NOTIFICATION)), schemas.NOTIFICATION)
+
     @cached_property
     def metrics(self) -> DataFrame:
         """Samples in long form: a resetting counter per event type, a gauge, and a

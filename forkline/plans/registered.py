@@ -75,8 +75,10 @@ def _once(c: Chain, what: str, make):
     return _RUNS[key]
 
 
-#: Files of notifications, and bytes of a row group of them: a file is read by as many tasks as it has groups.
+#: Files of notifications (times a whole number on a long chain), the heights of one of them at most, and
+#: bytes of a row group of them: a file is made by one task and read by as many as it has groups.
 FILES = 12
+HEIGHTS = 5_000
 ROW_GROUP = 8 << 20
 
 
@@ -86,13 +88,20 @@ def _scratch(c: Chain, nested: DataFrame, label: str) -> str:
     return path
 
 
+def _file_count(c: Chain) -> int:
+    return FILES * _once(c, "files", lambda: -(-(c.head + 1) // (FILES * HEIGHTS)))
+
+
+def _quarter(c: Chain) -> int:
+    """Files of a micro-batch: four batches whatever the length of the chain."""
+    return _file_count(c) // 4
+
+
 def _notification_folder(c: Chain) -> str:
     def make():
-        # in the order of time, a dozen files, so that every stream takes several batches; heights run
-        # from 0 on, so the cuts are known and no sample, which would build the notifications twice, is drawn
-        width = -(-(4 * (backfill.head(c.blocks) + 1)) // FILES)
-        file = F.call_function("div", F.col("seq"), F.lit(width).cast("bigint")).cast("int")
-        return _scratch(c, c.notifications.repartitionById(FILES, file), "notifications")
+        # in the order of time, in files by height, so that every stream takes several batches
+        files = _file_count(c)
+        return _scratch(c, c.nested(files, -(-(c.head + 1) // files)), "notifications")
     return _once(c, "notifications", make)
 
 
@@ -1119,7 +1128,7 @@ def _(c):
 
 def _bucket_width(c: Chain) -> int:
     """At least ten buckets whatever the size of the chain."""
-    return _once(c, "width", lambda: max(1, (backfill.head(c.blocks) + 1) // 12))
+    return _once(c, "width", lambda: max(1, (c.head + 1) // 12))
 
 
 def _live(c: Chain, source=sequence.stream) -> DataFrame:
@@ -1212,11 +1221,14 @@ def _seam(c: Chain) -> Store:
     def make():
         store = Store(c.spark, scratch_dir(c.spark, "seam"), bucket_width=_bucket_width(c))
         every = _notifications(c)
-        middle = every.agg(F.percentile("seq", 0.5)).first()[0]
-        live = _scratch(c, every.where(F.col("seq") > middle).withColumn("seq", F.col("seq") - F.lit(int(middle)))
-                        .repartitionByRange(4, "seq"), "seam-live")
+        # any cut will do; an exact one would count every number in one task
+        middle = every.agg(F.percentile_approx("seq", 0.5)).first()[0]
+        files = 4 * -(-_file_count(c) // 8)
+        width = -(-(4 * (c.head + 1) - middle) // files)
+        renumbered = every.where(F.col("seq") > middle).withColumn("seq", F.col("seq") - F.lit(middle))
+        live = _scratch(c, renumbered.repartitionById(files, F.call_function("div", F.col("seq"), F.lit(width).cast("bigint")).cast("int")), "seam-live")
         pipeline.backfill_then_live(store, _canonical(c, every.where(F.col("seq") <= middle)),
-                                    notifications.stream(c.spark, live, max_files=1),
+                                    notifications.stream(c.spark, live, max_files=files // 4),
                                     scratch_dir(c.spark, "seam-cp"), check_missing=False).awaitTermination()
         return store
     return _once(c, "seam", make)
@@ -1227,7 +1239,7 @@ def _tailed(c: Chain) -> Store:
     def make():
         store = Store(c.spark, scratch_dir(c.spark, "tailed"), bucket_width=_bucket_width(c))
         every = _notifications(c)
-        cut = every.agg(F.percentile("seq", F.array(F.lit(0.4), F.lit(0.8)))).first()[0]
+        cut = every.agg(F.percentile_approx("seq", F.array(F.lit(0.4), F.lit(0.8)))).first()[0]
         parts = (F.col("seq") <= cut[0], (F.col("seq") > cut[0]) & (F.col("seq") <= cut[1]), F.col("seq") > cut[1])
         pipeline.ingest_batch(store, every.where(parts[0]), 0)
         for name in schemas.TABLES:
@@ -1264,7 +1276,7 @@ SELECT block_number, hash, seq, parent_hash, gas_used FROM final_blocks""")
 def _(c):
     def make():
         path = scratch_dir(c.spark, "current")
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=3))
+        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=_quarter(c)))
         rows = rows.select("block_number", "hash", "sign", "seq", "parent_hash", "gas_used")
         state.start_current(rows, schemas.KEYS["blocks"], path, scratch_dir(c.spark, "current-cp")).awaitTermination()
         return path
@@ -1292,8 +1304,8 @@ def _(c):
     def make():
         # files out of order, a watermark of a minute, state kept for a minute: many rows come late
         source, path = scratch_dir(c.spark, "shuffled"), scratch_dir(c.spark, "early")
-        c.notifications.repartition(12, "seq").write.parquet(source)
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, source, max_files=3))
+        _notifications(c).repartition(_file_count(c), "seq").write.parquet(source)
+        rows = flatten.flatten_blocks(notifications.stream(c.spark, source, max_files=_quarter(c)))
         state.start_append(state.outcomes(rows, "1 minute", keep_ms=60_000), path, scratch_dir(c.spark, "early-cp")).awaitTermination()
         return path
     until = flatten.flatten_blocks(_notifications(c)).agg(F.max("timestamp") - F.expr("INTERVAL 2 DAYS")).scalar()
@@ -1307,7 +1319,7 @@ SELECT {ts("time_bucket(INTERVAL 5 MINUTE, timestamp)")} AS "interval", CAST(sum
 def _(c):
     def make():
         path = scratch_dir(c.spark, "series")
-        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=3))
+        rows = flatten.flatten_blocks(notifications.stream(c.spark, _notification_folder(c), max_files=_quarter(c)))
         state.start_series(rows, path, scratch_dir(c.spark, "series-cp")).awaitTermination()
         return path
     return state.read_series(c.spark, _once(c, "series", make))
@@ -1340,7 +1352,7 @@ def _(c):
         listener = ProgressListener(store, every=2)
         c.spark.streams.addListener(listener)
         try:
-            found = notifications.stream(c.spark, _notification_folder(c), max_files=3).select("seq")
+            found = notifications.stream(c.spark, _notification_folder(c), max_files=_quarter(c)).select("seq")
             state.start_append(found, scratch_dir(c.spark, "measured-out"), scratch_dir(c.spark, "measured-cp")).awaitTermination()
             # progress events come by a queue of their own
             for _ in range(100):
@@ -1494,7 +1506,7 @@ def _interrupted(c: Chain) -> tuple:
         checkpoint = scratch_dir(c.spark, "interrupted-cp")
 
         def stream():
-            return pipeline.start(store, notifications.stream(c.spark, _notification_folder(c), max_files=3), checkpoint,
+            return pipeline.start(store, notifications.stream(c.spark, _notification_folder(c), max_files=_quarter(c)), checkpoint,
                                   first_delay=0.01)
         try:
             stream().awaitTermination()
