@@ -7,7 +7,7 @@ its block sit in the same row.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from forkline import schemas
 from forkline.functions import bytesx, timex
@@ -43,15 +43,21 @@ def flatten_blocks(notifications: DataFrame, time_unit: str = "s") -> DataFrame:
         "base_fee": "coalesce(base_fee, 0)", "extra_data": "lower(hex(extra_data))"})
 
 
-def flatten_transactions(notifications: DataFrame, time_unit: str = "s", block_time: bool = False) -> DataFrame:
-    """Transactions with their receipt's status and gas; ``block_time`` adds the header's."""
+def flatten_transactions(notifications: DataFrame, time_unit: str = "s", block_time: bool = False,
+                         uneven: Observation | None = None) -> DataFrame:
+    """Transactions with their receipt's status and gas; ``block_time`` adds the header's.
+    ``uneven`` counts, on the way, the blocks that :func:`misaligned` would give."""
     b = _segments(notifications, {"block_number": "header.number", "time": "header.timestamp",
                                   "transactions": "transactions", "receipts": "receipts"})
     # zipping with null would be null, so missing receipts become an empty array
     rows = (b.selectExpr("block_number", "sign", "seq", "time", "transactions AS tx",
                          "coalesce(receipts.status, array()) AS status", "coalesce(receipts.gas_used, array()) AS used")
-            .selectExpr("block_number", "sign", "seq", "time", "posexplode(arrays_zip(tx, status, used)) AS (tx_index, p)")
-            .where("p.tx IS NOT NULL"))
+            .selectExpr("block_number", "sign", "seq", "time", *(["size(coalesce(tx, array())) AS _n", "size(status) AS _m"] if uneven else []),
+                        "posexplode(arrays_zip(tx, status, used)) AS (tx_index, p)"))
+    if uneven:
+        # the first row of a block stands for it
+        rows = rows.observe(uneven, F.count_if(F.expr("tx_index = 0 AND _m <> 0 AND _m <> _n")).alias("n"))
+    rows = rows.where("p.tx IS NOT NULL")
     made = {f.name: f"p.tx.`{f.name}`" for f in schemas.TRANSACTION.fields if f.name != "hash"}
     made |= {"tx_hash": "p.tx.hash", "from": f"coalesce(p.tx.`from`, {_zeros(20)})",
              "input": "lower(hex(p.tx.input))", "gas_price": "coalesce(p.tx.gas_price, 0)",
@@ -128,10 +134,14 @@ def missing_receipts(notifications: DataFrame) -> DataFrame:
 def split_by_width(df: DataFrame, widths: dict) -> tuple:
     """``(good, quarantined)``: rows whose byte columns have their fixed width, or are
     null, and the rest."""
-    ok = reduce(Column.__and__, [F.coalesce(F.octet_length(c) == n, F.lit(True)) for c, n in widths.items()])
+    ok = _wide(widths)
     return df.where(ok), df.where(~ok)
 
 
+def _wide(widths: dict) -> Column:
+    return reduce(Column.__and__, [F.coalesce(F.octet_length(c) == n, F.lit(True)) for c, n in widths.items()])
+
+
 def set_aside(tables: dict, widths: dict, notifications: DataFrame) -> tuple:
     """``(good, bad)``: the tables without rows of a wrong width, and those rows, as JSON
     with their table and the reason, next to the blocks whose receipts do not match."""
@@ -146,6 +156,15 @@ def set_aside(tables: dict, widths: dict, notifications: DataFrame) -> tuple:
     return good, reduce(DataFrame.unionByName, bad)
 
 
+def counted(notifications: DataFrame, time_unit: str, widths: dict) -> tuple:
+    """``(good, seen)``: the tables without rows of a wrong width, and observations ``n`` of how many
+    rows :func:`set_aside` would set aside, known once all tables were written."""
+    seen = {name: Observation() for name in [*schemas.TABLES, "receipts"]}
+    tables = flatten(notifications, time_unit) | {"transactions": flatten_transactions(notifications, time_unit, uneven=seen["receipts"])}
+    return {name: rows.observe(seen[name], F.count_if(~_wide(widths[name])).alias("n")).where(_wide(widths[name]))
+            for name, rows in tables.items()}, seen
+
+
 def split_by_cast(df: DataFrame, types: dict) -> tuple:
     """``(cast, quarantined)``: a value that does not fit its type is set aside whole,
     never turned into null."""

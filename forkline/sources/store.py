@@ -145,19 +145,26 @@ class Store:
          .write.mode("overwrite").parquet(self.path("progress", f"batch={batch}")))
 
     def write_batch(self, tables: dict, batch: str, source: str, rebalance: bool = False,
-                    bulk: bool = False, span=None, also: dict | None = None) -> dict:
-        """All tables of a batch side by side, then the commit.  Order among the tables does
-        not matter: none of them counts before the commit.  A committed batch is left as it
-        is, and is an error if another source committed it."""
+                    bulk: bool = False, span=None, also: dict | None = None, after: dict | None = None) -> dict:
+        """All tables of a batch side by side, ``also`` beside them and ``after`` them, then the
+        commit.  Order among the tables does not matter: none of them counts before the commit.
+        A committed batch is left as it is, and is an error if another source committed it."""
         owner = self.committed_by(batch)
         if owner is not None:
             if owner != source:
                 raise ValueError(f"batch {batch} was committed by {owner}, not {source}")
             return {}
-        jobs = {name: (lambda name=name: self.append(name, tables[name], batch, rebalance, bulk)) for name in schemas.TABLES}
-        jobs["index"] = lambda: self.append_index(tables["transactions"], batch)
-        jobs["coverage"] = lambda: self.append_coverage(tables["blocks"], batch, bulk)
-        done = self.together({**jobs, **(also or {})})
+        # index and coverage read what was written: two narrow columns instead of nested blocks
+        derived = {"transactions": lambda rows: self.append_index(rows, batch),
+                   "blocks": lambda rows: self.append_coverage(rows, batch, bulk)}
+
+        def table(name):
+            seen = self.append(name, tables[name], batch, rebalance, bulk)
+            if name in derived:
+                derived[name](self._read(f"{name}/batch={batch}", schemas.TABLES[name], schemas.PARTITIONS[name]))
+            return seen
+        done = self.together({**{name: (lambda name=name: table(name)) for name in schemas.TABLES}, **(also or {})})
+        done |= {name: job() for name, job in (after or {}).items()}
         seen = {name: done[name] for name in schemas.TABLES}
         if span is None and not any(s["commits"] + s["reverts"] for s in seen.values()) and not done.get("quarantined"):
             # nothing came: the empty folders do not count without a commit
@@ -246,8 +253,9 @@ class Store:
         """Where the transactions of a batch are: hash and height bucket, in folders by the first
         hex digit of the hash, sorted by it inside."""
         rows = transactions.select("tx_hash", timex.block_bucket("block_number", self.bucket_width).alias("block_bucket"))
-        # a transaction that is committed and reverted in one batch is named twice, which lookups do not mind
-        (rows.withColumn("prefix", self._prefix()).sortWithinPartitions("prefix", "tx_hash")
+        # a transaction that is committed and reverted in one batch is named twice, which lookups do not mind;
+        # a folder takes the files its rows need, not one of every task
+        (rows.withColumn("prefix", self._prefix()).hint("rebalance", "prefix").sortWithinPartitions("prefix", "tx_hash")
          .write.mode("overwrite").partitionBy("prefix").parquet(self.path("transactions_index", f"batch={batch}")))
 
     @staticmethod

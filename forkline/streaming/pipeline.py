@@ -28,9 +28,14 @@ def ingest_batch(store: Store, batch: DataFrame, batch_id: int, time_unit: str =
         if daily:
             timed = flatten.flatten_transactions(batch, time_unit, block_time=True)
             also["daily"] = lambda: store.append_daily(timed, name)
-        good, bad = flatten.set_aside(flatten.flatten(batch, time_unit), schemas.WIDTHS, batch)
-        also["quarantined"] = lambda: store.append_quarantine(bad, name)
-        store.write_batch(good, name, "stream", also=also)
+        good, seen = flatten.counted(batch, time_unit, schemas.WIDTHS)
+
+        def quarantine():
+            # the tables count what they leave out; the batch is read again only if there is any
+            if not any(s.get["n"] for s in seen.values()):
+                return 0
+            return store.append_quarantine(flatten.set_aside(flatten.flatten(batch, time_unit), schemas.WIDTHS, batch)[1], name)
+        store.write_batch(good, name, "stream", also=also, after={"quarantined": quarantine})
 
     with_retry(write, **retry)
 

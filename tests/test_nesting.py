@@ -1,9 +1,16 @@
-"""Notifications nested by offsets."""
+"""Notifications nested by offsets, and an ingest that reads each batch no more often than it must."""
+
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from forkline import schemas
 from forkline.fixtures import Chain
+from forkline.operators import flatten
 from forkline.plans import registered
+from forkline.sources.store import Store
+from forkline.streaming import pipeline
 
 
 def rows(df):
@@ -43,3 +50,25 @@ def test_files_grow_in_number_with_the_chain(spark, monkeypatch):
     monkeypatch.setattr(registered, "_RUNS", {})
     c = Chain(spark, "/root/testdata/sf0.001")
     assert registered._file_count(c) == 60 and registered._quarter(c) == 15
+
+
+def test_clean_batches_are_not_read_for_quarantine(spark, chain, tmp_path, monkeypatch):
+    called = []
+    kept = Store.append_quarantine
+    monkeypatch.setattr(Store, "append_quarantine", lambda self, bad, batch: called.append(batch) or kept(self, bad, batch))
+    chain.notifications.repartition(6, "seq").write.parquet(str(tmp_path / "in"))
+    clean = spark.read.schema(schemas.NOTIFICATION).parquet(str(tmp_path / "in"))
+    store = Store(spark, str(tmp_path / "s"), bucket_width=1000)
+    pipeline.ingest_batch(store, clean, 0)
+    assert called == [] and store.progress().first()["quarantined"] == 0
+    # one bucket, so one file for each first digit of a hash
+    index = [f for d, _, fs in os.walk(tmp_path / "s" / "transactions_index") for f in fs if f.endswith(".parquet")]
+    assert len(index) == 16
+    fewer = F.transform("new", lambda b: b.withField("receipts", F.slice(b["receipts"], 1, F.size(b["receipts"]) - 1)))
+    cut = F.transform("new", lambda b: b.withField("header", b["header"].withField("miner", F.lit(b"\x01"))))
+    for i, new in ((1, fewer), (2, cut)):
+        damaged = clean.withColumn("new", F.when(F.col("seq") < 40, new).otherwise(F.col("new")))
+        bad = flatten.set_aside(flatten.flatten(damaged), schemas.WIDTHS, damaged)[1].count()
+        pipeline.ingest_batch(store, damaged, i)
+        assert bad > 0 and store.progress().where(F.col("batch").endswith(f"{i:012d}")).first()["quarantined"] == bad
+    assert len(called) == 2
