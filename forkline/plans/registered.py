@@ -1599,17 +1599,32 @@ def _(c):
 
 
 FILE_ROWS = 500
+#: On a long chain a bulk file holds this part of the transactions: files grow in size, not in number.
+FILE_SHARE = 400
+
+
+def _bulk_store(c: Chain, label: str, rows: int) -> Store:
+    return Store(c.spark, scratch_dir(c.spark, label), bucket_width=_bucket_width(c), compression="lz4", max_records=rows)
 
 
 def _bulk(c: Chain) -> Store:
     """The four tables written in bulk: clustered by bucket, LZ4, small files, bloom filters."""
     def make():
-        store = Store(c.spark, scratch_dir(c.spark, "bulk"), bucket_width=_bucket_width(c), compression="lz4", max_records=FILE_ROWS)
+        store = _bulk_store(c, "bulk", max(FILE_ROWS, 10 * (c.head + 1) // FILE_SHARE))
         store.write_batch({n: getattr(c, n) for n in schemas.TABLES}, "bulk", "test", rebalance=True, bulk=True)
         return store
     return _once(c, "bulk", make)
 
 
+def _bounded(c: Chain) -> Store:
+    """The transactions in bulk, ``FILE_ROWS`` rows a file whatever their number."""
+    def make():
+        store = _bulk_store(c, "bounded", FILE_ROWS)
+        store.append("transactions", c.transactions, "bulk", rebalance=True, bulk=True)
+        return store
+    return _once(c, "bounded", make)
+
+
 def _files(store: Store, name: str) -> DataFrame:
     return store.spark.read.schema(schemas.TABLES[name]).parquet(store.path(name, "batch=bulk")).withColumns(
         {"file": F.col("_metadata.file_path"), "place": F.col("_metadata.row_index")})
@@ -1634,7 +1649,7 @@ def _(c):
 @query("d11_codec_and_file_size", f"""
 SELECT 'lz4' AS codec, true AS bounded, count(*) AS rows, count(*) > {FILE_ROWS} AS several_files FROM transactions""")
 def _(c):
-    sizes = _files(_bulk(c), "transactions").groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    sizes = _files(_bounded(c), "transactions").groupBy("file").agg(F.count(F.lit(1)).alias("n"))
     codec = F.regexp_extract("file", "[.](lz4|zstd|snappy)[^/]*parquet$", 1)
     return sizes.agg(F.array_join(F.array_sort(F.collect_set(codec)), ",").alias("codec"), (F.max("n") <= FILE_ROWS).alias("bounded"),
                      F.sum("n").alias("rows"), (F.count(F.lit(1)) > 1).alias("several_files"))

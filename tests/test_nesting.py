@@ -1,4 +1,4 @@
-"""Notifications nested by offsets, and an ingest that reads each batch no more often than it must."""
+"""Notifications nested by offsets, files that grow with the chain, and an ingest that reads each batch no more often than it must."""
 
 import os
 
@@ -52,6 +52,19 @@ def test_files_grow_in_number_with_the_chain(spark, monkeypatch):
     assert registered._file_count(c) == 60 and registered._quarter(c) == 15
 
 
+def test_bulk_files_grow_with_the_chain_and_bounded_ones_do_not(spark, monkeypatch):
+    monkeypatch.setattr(registered, "_RUNS", {})
+    monkeypatch.setattr(registered, "FILE_ROWS", 3)
+    monkeypatch.setattr(registered, "FILE_SHARE", 50)
+    c = Chain(spark, "/root/testdata/sf0.001")
+
+    def most(store):
+        return registered._files(store, "transactions").groupBy("file").count().agg(F.max("count"), F.sum("count")).first()[:]
+    assert most(registered._bounded(c)) == (3, c.transactions.count())
+    size, rows = most(registered._bulk(c))
+    assert 3 < size <= 20 and rows == c.transactions.count()
+
+
 def test_clean_batches_are_not_read_for_quarantine(spark, chain, tmp_path, monkeypatch):
     called = []
     kept = Store.append_quarantine
