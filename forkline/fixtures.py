@@ -299,8 +299,12 @@ class Chain:
         counters = ranked.select("ts", F.concat(F.lit("events_total_"), F.col("event_type")).alias("name"),
                                  F.lit(None).cast("double").alias("le"),
                                  (F.col("rank") % 500).cast("double").alias("value"))
-        gauge = e.select("ts", F.lit("buffer_rows").alias("name"), F.lit(None).cast("double").alias("le"),
-                         F.round("value").alias("value"))
         latency = e.select("ts", F.lit("latency_seconds").alias("name"), F.lit(None).cast("double").alias("le"),
                            (F.col("value") / 1000).alias("value"))
-        return counters.unionByName(gauge).unionByName(latency)
+        return counters.unionByName(self.gauge).unionByName(latency)
+
+    @cached_property
+    def gauge(self) -> DataFrame:
+        """The samples of ``metrics`` named ``buffer_rows``."""
+        return self.table("events").select(F.col("ts").cast("timestamp").alias("ts"), F.lit("buffer_rows").alias("name"),
+                                           F.lit(None).cast("double").alias("le"), F.round("value").alias("value"))

@@ -1066,10 +1066,11 @@ def _(c):
     """The alert of m10 from a stream; samples wait until the watermark is past them."""
     def make():
         source, path = scratch_dir(c.spark, "samples"), scratch_dir(c.spark, "alerts")
-        samples = c.metrics.where("name = 'buffer_rows'")
-        samples.repartition(6, "ts").write.parquet(source)
-        rows = c.spark.readStream.schema(schemas.METRICS).option("maxFilesPerTrigger", 2).parquet(source)
+        files = _file_count(c) // 2
+        c.gauge.repartition(files, "ts").write.parquet(source)
+        rows = c.spark.readStream.schema(schemas.METRICS).option("maxFilesPerTrigger", files // 3).parquet(source)
         # files in any order: the delay is the whole span of the samples, and one sample later still lets all go
+        samples = c.spark.read.schema(schemas.METRICS).parquet(source)
         span = samples.agg(F.max(F.unix_seconds("ts")) - F.min(F.unix_seconds("ts"))).first()[0] + 1
         last = samples.agg((F.max("ts") + F.make_dt_interval(secs=F.lit(2.0 * span))).alias("ts")).select(
             "ts", F.lit("clock").alias("name"), F.lit(None).cast("double").alias("le"), F.lit(0.0).alias("value"))

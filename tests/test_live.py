@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import random
+import types
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -171,6 +172,116 @@ def test_alerts_keep_samples_that_share_a_millisecond(spark, tmp_path):
     assert got == [(0, 1.0, "inactive"), (0, 20.0, "pending"), (0, 30.0, "pending"), (120_000, 40.0, "firing"), (120_000, 40.0, "pending")]
 
 
+class _Handle:
+    """State and timers of one key; ``calls`` counts what would go to the state server."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def _state(self):
+        handle, held = self, {}
+
+        class State:
+            def __getattr__(self, name):
+                handle.calls += 1
+                return {"exists": lambda: None in held, "get": lambda: held[None], "update": lambda v: held.__setitem__(None, v),
+                        "getValue": held.get, "updateValue": held.__setitem__, "removeKey": held.pop, "keys": lambda: list(held)}[name]
+        return State()
+
+    def getValueState(self, name, schema):
+        return self._state()
+
+    def getMapState(self, name, key, schema):
+        return self._state()
+
+    def registerTimer(self, millis):
+        self.calls += 1
+        self.timers.add(millis)
+
+
+def _rows(columns, schema, pack):
+    return [r for b in pack([pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*columns), schema)], [n for n, _ in schema])])
+            for r in b.to_pylist()]
+
+
+SAMPLE = [("name", pa.string()), ("micros", pa.int64()), ("value", pa.float64()), ("hot", pa.bool_())]
+
+
+@pytest.mark.parametrize("merge", [live.MERGE, 300])
+def test_alerts_call_the_state_once_for_many_samples(monkeypatch, merge):
+    """Samples in any order, over several watermarks: state, start and absence of each, by a few calls."""
+    monkeypatch.setattr(live, "MERGE", merge)
+    monkeypatch.setattr(live, "CHUNK", 250)
+    rnd, hold, absent = random.Random(3), 50, 90
+    times = sorted(rnd.sample(range(0, 200_000), 6_000))
+    values = [None if rnd.random() < 0.02 else float(rnd.random() < 0.9) * 20 for _ in times]
+    samples = [("a", t * 1000, v, v is not None and v > 12) for t, v in zip(times, values)]
+    handle, processor, got = _Handle(), live.AlertProcessor(hold, absent), []
+    processor.init(handle)
+
+    def timers(watermark):
+        for t in sorted(t for t in handle.timers if t <= watermark):
+            handle.timers.discard(t)
+            packed = [r.asDict() for r in processor.handleExpiredTimer(("a",), types.SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark), None)]
+            for r in packed:
+                batch = pa.RecordBatch.from_pylist([r], pa.schema([("name", pa.string()), ("part", pa.int64()), ("packed", pa.binary())]))
+                got.extend(x for b in live._unpack_alerts([batch]) for x in b.to_pylist())
+    for lo, hi in ((0, 2_000), (2_000, 2_100), (2_100, 6_000)):
+        some = samples[lo:hi]
+        rnd.shuffle(some)
+        for a in range(0, len(some), 1_000):
+            list(processor.handleInputRows(("a",), iter(_rows(some[a:a + 1_000], SAMPLE, live._pack_samples)), None))
+        timers(times[hi - 1] - 100)
+    timers(10 ** 6)
+    want, since, last = [], None, None
+    for t, v, hot in ((x[1] // 1000, x[2], x[3]) for x in samples):
+        if last is not None and last + absent < t:
+            want.append((last + absent, None, since, "absent"))
+        since = (t if since is None else since) if hot else None
+        want.append((t, v, since, "inactive" if not hot else "firing" if t >= since + hold else "pending"))
+        last = t
+    want.append((last + absent, None, since, "absent"))
+    key = lambda r: (r[0], r[3] != "absent")
+    assert sorted(((r["millis"], r["value"], r["active_since"], r["state"]) for r in got), key=key) == sorted(want, key=key)
+    assert handle.calls < len(samples) / 20
+
+
+CHANGE = [("address", pa.binary()), ("slot", pa.binary()), ("block_number", pa.int64()), ("sign", pa.int64()), ("seq", pa.int64()), ("value", pa.binary())]
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_previous_values_call_the_state_once_for_many_changes(monkeypatch, shuffled):
+    """Commits, reverts and replacements of one slot over many pieces: after every batch what is read
+    equals the changes in order, by a few calls."""
+    monkeypatch.setattr(live, "HEIGHTS", 64)
+    rnd, changes = random.Random(5), []
+    for height in rnd.sample(range(0, 2_000), 1_200):
+        changes.append((b"a", b"s", height, 1, 8 * height + 1, rnd.choice([b"", b"x%d" % height, None])))
+        if rnd.random() < 0.3:
+            changes.append((b"a", b"s", height, -1, 8 * height + 2, b"gone"))
+            if rnd.random() < 0.5:
+                changes.append((b"a", b"s", height, 1, 8 * height + 3, b"y%d" % height))
+    changes.sort(key=lambda r: rnd.random() if shuffled else r[4])
+    handle, processor, newest = _Handle(), live.SlotProcessor(), {}
+    processor.init(handle)
+    for a in range(0, len(changes), 300):
+        packed = _rows(changes[a:a + 300], CHANGE, live._pack_changes)
+        out = [r.asDict() for r in processor.handleInputRows((b"a", b"s"), iter(packed), None)]
+        schema = pa.schema([("address", pa.binary()), ("slot", pa.binary()), ("version", pa.int64()), ("packed", pa.binary())])
+        for b in live._unpack_changes([pa.RecordBatch.from_pylist(out, schema)]):
+            for r in b.to_pylist():
+                newest[r["block_number"]] = max(newest.get(r["block_number"], (0,)), (r["version"], r["live"], r["value"], r["previous_value"]), key=lambda v: v[0])
+        net, top = {}, {}
+        for _, _, height, sg, seq, value in changes[:a + 300]:
+            net[height] = net.get(height, 0) + sg
+            if sg == 1:
+                top[height] = max(top.get(height, (-1, None)), (seq, value), key=lambda v: v[0])
+        alive = sorted(h for h in net if net[h] > 0)
+        want = {h: (top[h][1], top[alive[i - 1]][1] if i else None) for i, h in enumerate(alive)}
+        assert {h: v[2:] for h, v in newest.items() if v[1]} == want
+    assert handle.calls < len(changes) / (2 if shuffled else 10)
+
+
 @pytest.mark.parametrize("name", ["m10_live_alerts", "r13_finalized_blocks", "r13_corrected_outcomes", "t13_live_previous_slot_value"])
 def test_streams_with_state_run_under_any_default_store(spark, name):
     before = spark.conf.get(STATE_STORE)
