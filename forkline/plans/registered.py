@@ -245,7 +245,7 @@ def _(c):
     """Kept on write: reverts and replacements change the next change's previous value."""
     def make():
         path = scratch_dir(c.spark, "slots")
-        rows = live.previous_slot_values(flatten.flatten_state(_live(c)))
+        rows = live.previous_slot_values(flatten.flatten_state(_live(c, fields=["header.number", "state"])))
         sequence.drain(state.start_append(rows, path, scratch_dir(c.spark, "slots-cp"), processingTime="0 seconds"))
         return path
     return live.read_previous(c.spark.read.parquet(_once(c, "slots", make))).select(
@@ -1132,9 +1132,9 @@ def _bucket_width(c: Chain) -> int:
     return _once(c, "width", lambda: max(1, (c.head + 1) // 12))
 
 
-def _live(c: Chain, source=sequence.stream) -> DataFrame:
+def _live(c: Chain, source=sequence.stream, **options) -> DataFrame:
     """The notifications as a stream in the order of their numbers, in four to five batches."""
-    return source(c.spark, _notification_folder(c), max(1, _notifications(c).count() // 4))
+    return source(c.spark, _notification_folder(c), max(1, _notifications(c).count() // 4), **options)
 
 
 def _streamed(c: Chain) -> Store:
@@ -1293,7 +1293,7 @@ GROUP BY 1, 2 HAVING any_value(timestamp) <= (SELECT max(timestamp) FROM blocks)
 def _(c):
     def make():
         path = scratch_dir(c.spark, "final")
-        rows = flatten.flatten_blocks(_live(c))
+        rows = flatten.flatten_blocks(_live(c, fields=["header"]))
         sequence.drain(state.start_append(state.outcomes(rows, "2 days"), path, scratch_dir(c.spark, "final-cp"),
                                           processingTime="0 seconds"))
         return path

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.streaming import StreamingQuery
 
@@ -91,7 +91,21 @@ class SequenceSource(DataSource):
         return SequenceReader(self.options["path"], int(self.options["maxRows"]))
 
 
-def _fetch(names: list):
+def _leaves(file, names: list, fields: list | None) -> list:
+    """Columns of a file to read: ``names``, of lists of blocks only the parts named in ``fields``."""
+    if fields is None:
+        return names
+    found = []
+    for i in range(file.metadata.num_columns):
+        # a list's own two levels lie between its column and what a block holds
+        path = file.metadata.schema.column(i).path.split(".")
+        inside = ".".join(path[3:])
+        if path[0] in names and (not inside or any(f"{inside}.".startswith(f"{f}.") for f in fields)):
+            found.append(".".join(path))
+    return found
+
+
+def _fetch(names: list, fields: list | None = None):
     def run(batches):
         for ranges in batches:
             for r in ranges.to_pylist():
@@ -103,7 +117,7 @@ def _fetch(names: list):
                     seen = file.metadata.row_group(g).column(seq).statistics
                     if seen is not None and seen.has_min_max and (seen.max <= r["lo"] or seen.min > r["hi"]):
                         continue
-                    for batch in file.iter_batches(64, row_groups=[g], columns=names):
+                    for batch in file.iter_batches(64, row_groups=[g], columns=_leaves(file, names, fields)):
                         wanted = pc.and_(pc.greater(batch.column("seq"), r["lo"]), pc.less_equal(batch.column("seq"), r["hi"]))
                         if pc.any(wanted).as_py():
                             yield pa.RecordBatch.from_arrays([batch.column(n).filter(wanted) for n in names], names)
@@ -133,11 +147,26 @@ def fetch(batch: DataFrame) -> DataFrame:
         max(1, -(-sum(r["rows"] for r in rows) // TASK)))
 
 
-def stream(spark: SparkSession, path: str, max_rows: int) -> DataFrame:
+def _part(kind, fields: list):
+    """The struct ``kind`` with ``fields`` (paths with dots) only."""
+    wanted = {}
+    for name, _, rest in (f.partition(".") for f in fields):
+        wanted.setdefault(name, []).append(rest)
+    if lost := set(wanted) - set(kind.names):
+        raise ValueError(f"a block has no {', '.join(sorted(lost))}")
+    return T.StructType([T.StructField(f.name, f.dataType if "" in wanted[f.name] else _part(f.dataType, wanted[f.name]))
+                         for f in kind if f.name in wanted])
+
+
+def stream(spark: SparkSession, path: str, max_rows: int, fields: list | None = None) -> DataFrame:
     """The notifications themselves as a stream, for stateful operators.  The executors read the
-    ranges, one task per file and batch."""
-    return ranges(spark, path, max_rows).repartition(F.col("path")).mapInArrow(
-        _fetch([f.name for f in schemas.NOTIFICATION.fields]), schemas.NOTIFICATION)
+    ranges, one task per file and batch; of blocks only ``fields``, if there are any, such as
+    ``header.number``: the scan of a stream in Python is not pruned by itself."""
+    schema = schemas.NOTIFICATION
+    if fields is not None:
+        kind = T.ArrayType(_part(schemas.BLOCK, fields))
+        schema = T.StructType([T.StructField(f.name, kind if f.name in ("old", "new") else f.dataType) for f in schema])
+    return ranges(spark, path, max_rows).repartition(F.col("path")).mapInArrow(_fetch(schema.names, fields), schema)
 
 
 def drain(query: StreamingQuery) -> None:

@@ -97,6 +97,16 @@ def test_stream_by_number_goes_on_after_a_restart(spark, chain, tmp_path):
 
 # ---- outcomes
 
+def test_stream_of_some_fields_holds_the_same_rows(spark, folder, tmp_path):
+    rows = sequence.stream(spark, folder, 60, fields=["header.number", "state"])
+    assert [f.name for f in rows.schema["new"].dataType.elementType] == ["header", "state"]
+    out = str(tmp_path / "out")
+    sequence.drain(state.start_append(flatten.flatten_state(rows), out, str(tmp_path / "cp"), processingTime="0 seconds"))
+    assert same(spark.read.parquet(out).drop("batch"), flatten.flatten_state(notifications.read(spark, folder)))
+    with pytest.raises(ValueError):
+        sequence.stream(spark, folder, 60, fields=["header.nothing"])
+
+
 def outcomes(blocks):
     return blocks.groupBy("block_number", "hash").agg(
         F.sum("sign").alias("net"), F.max(F.when(F.col("sign") == 1, F.col("seq"))).alias("seq"))
