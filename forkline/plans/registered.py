@@ -12,7 +12,7 @@ from forkline.functions import bytesx, timex, u256
 from forkline.operators import collapse as sign, flatten, forks, metrics, ordered, sketches, stats
 from forkline.plans import catalog
 from forkline.plans.oracles import CHAIN_SQL
-from forkline.session import scratch_dir
+from forkline.session import scratch_dir, shuffles_removed
 from forkline.sources import backfill, notifications, schema, sequence
 from forkline.sources.store import Store, export_csv
 from forkline.streaming import live, pipeline, state
@@ -84,7 +84,8 @@ ROW_GROUP = 8 << 20
 
 def _scratch(c: Chain, nested: DataFrame, label: str) -> str:
     path = scratch_dir(c.spark, label)
-    nested.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    with shuffles_removed(c.spark):
+        nested.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return path
 
 

@@ -1,12 +1,15 @@
 """Session defaults and the shared scratch folder."""
 
 import uuid
+from collections import Counter
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import SparkSession
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # The engine relies on these; a cluster only has to size shuffle.partitions (the
 # upper bound AQE coalesces from) to its data.
@@ -49,6 +52,35 @@ def rocksdb_state(spark):
         spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
 
 
+_inside, _before, _lock = Counter(), {}, Lock()
+
+
+@contextmanager
+def shuffles_removed(*sessions):
+    """Writes inside remove their shuffle files as soon as they end.
+
+    Otherwise these stay until the driver happens to collect its garbage, and the steps of a long
+    job add up on the disks.  Threads may be inside together; the last one out puts the setting back.
+    """
+    found = {s._jsparkSession.toString(): s for s in sessions}
+    with _lock:
+        for name, spark in found.items():
+            if not _inside[name]:
+                _before[name] = spark.conf.get(SHUFFLE_CLEANUP, None)
+                spark.conf.set(SHUFFLE_CLEANUP, "true")
+            _inside[name] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            for name, spark in found.items():
+                _inside[name] -= 1
+                if not _inside[name]:
+                    del _inside[name]
+                    before = _before.pop(name)
+                    spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def scratch_dir(spark, label):
     """A fresh folder every executor can reach.
 

@@ -30,6 +30,7 @@ from forkline import schemas
 from forkline.functions import timex
 from forkline.operators import collapse as sign
 from forkline.plans import catalog
+from forkline.session import shuffles_removed
 from forkline.sources import coverage
 
 PROGRESS = T.StructType([
@@ -82,6 +83,10 @@ BATCH = T.StructField("batch", T.StringType())
 GENERATION = T.StructField("gen", T.LongType())
 
 
+#: Rows of a log, all tables together, above which its buckets are compacted one after another.
+PASS_ROWS = 20_000_000
+
+
 def _folders(name: str) -> list:
     return [f.name for f in schemas.PARTITIONS[name]]
 
@@ -163,8 +168,9 @@ class Store:
             if name in derived:
                 derived[name](self._read(f"{name}/batch={batch}", schemas.TABLES[name], schemas.PARTITIONS[name]))
             return seen
-        done = self.together({**{name: (lambda name=name: table(name)) for name in schemas.TABLES}, **(also or {})})
-        done |= {name: job() for name, job in (after or {}).items()}
+        with shuffles_removed(self.spark, *(df.sparkSession for df in tables.values())):
+            done = self.together({**{name: (lambda name=name: table(name)) for name in schemas.TABLES}, **(also or {})})
+            done |= {name: job() for name, job in (after or {}).items()}
         seen = {name: done[name] for name in schemas.TABLES}
         if span is None and not any(s["commits"] + s["reverts"] for s in seen.values()) and not done.get("quarantined"):
             # nothing came: the empty folders do not count without a commit
@@ -322,12 +328,21 @@ class Store:
         log = self._log(name).join(seen, "batch", "left_semi").drop("batch")
         if buckets is not None:
             log = log.where(F.col("block_bucket").between(*buckets))
-        current = sign.collapse(log.drop(*_folders(name)), schemas.KEYS[name])
-        (self._laid_out(current, name, rebalance=True).write.mode("overwrite")
-         .options(**write_options(name, self.compression, self.max_records))
-         .partitionBy(*_folders(name)).parquet(self.path(f"{name}_current", f"gen={gen}")))
-        (log.select(F.col("block_bucket").alias("covered_bucket")).distinct().coalesce(1)
-         .write.mode("overwrite").parquet(self.path(f"{name}_manifest", f"gen={gen}")))
+        manifest = self.path(f"{name}_manifest", f"gen={gen}")
+        # a list of folder numbers, from the folders alone; nothing reads the generation before its manifest
+        held = [r[0] for r in log.select("block_bucket").distinct().collect()]
+        whole = (self.progress().agg(F.sum("rows")).first()[0] or 0) <= PASS_ROWS
+        passes = [log] if whole or len(held) < 2 else [
+            log.where(F.col("block_bucket").eqNullSafe(F.lit(b).cast("bigint"))) for b in sorted(held, key=lambda b: (b is not None, b))]
+        with shuffles_removed(self.spark):
+            for i, part in enumerate(passes):
+                current = sign.collapse(part.drop(*_folders(name)), schemas.KEYS[name])
+                # the rows of one bucket are spread over tasks by key, which is all that a bucket's files need
+                (self._laid_out(current, name, rebalance=len(passes) == 1).write.mode("append" if i else "overwrite")
+                 .options(**write_options(name, self.compression, self.max_records))
+                 .partitionBy(*_folders(name)).parquet(self.path(f"{name}_current", f"gen={gen}")))
+            (self.spark.createDataFrame([(b,) for b in held], "covered_bucket bigint").coalesce(1)
+             .write.mode("overwrite").parquet(manifest))
         return sign.anomalies(log, schemas.KEYS[name])
 
     def current(self, name: str) -> DataFrame:

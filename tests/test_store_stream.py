@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from forkline import schemas
 from forkline.operators import collapse as sign, flatten, metrics
 from forkline.plans import catalog, registered
-from forkline.sources import backfill, notifications, schema as ddl
+from forkline.session import SHUFFLE_CLEANUP
+from forkline.sources import backfill, notifications, schema as ddl, store as store_module
 from forkline.sources.store import Store, write_options
 from forkline.streaming import pipeline, state
 from forkline.streaming.listener import ProgressListener
@@ -112,6 +113,36 @@ def test_compaction(spark, chain, folder, tmp_path):
     assert same(store.current("blocks").drop("block_bucket", "month"), want.where("block_number >= 32"))
 
 
+def shuffled_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_"))
+
+
+@pytest.mark.parametrize("rows", [0, 10 ** 9])
+def test_compaction_leaves_no_shuffle_files(spark, chain, folder, tmp_path, monkeypatch, rows):
+    """Bucket by bucket or at once, the generation is the same; what was shuffled is gone, the setting as before."""
+    monkeypatch.setattr(store_module, "PASS_ROWS", rows)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    store = ingest(spark, folder, tmp_path)
+    held = shuffled_bytes(spark)
+    store.compact("logs")
+    for _ in range(50):
+        # lists of folders are left, a few hundred bytes of each task; the rows themselves were far more
+        if shuffled_bytes(spark) - held < 50_000:
+            break
+        time.sleep(0.2)
+    else:
+        raise AssertionError("the rows that were shuffled are still on the disk")
+    store.compact("blocks")
+    for name in ("blocks", "logs"):
+        assert same(store.current(name).drop("block_bucket", "month"), sign.collapse(getattr(chain, name), schemas.KEYS[name]))
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    # a part of the buckets: one pass of each, or all at once
+    store.compact("logs", buckets=(0, 1))
+    assert same(store.current("logs").drop("block_bucket"), sign.collapse(chain.logs, schemas.KEYS["logs"]))
+    assert [r[0] for r in store._manifest("logs").where("gen = 2").orderBy("covered_bucket").collect()] == [0, 1]
+
+
 def test_latest_after_many_generations(spark, chain, folder, tmp_path):
     store = Store(spark, str(tmp_path / "s"), bucket_width=32)
     every = notifications.read(spark, folder)
